@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from docloom.llm.lines import OP5_SQL, op5_line_dedup
+from docloom.llm.mixing import OP7_SQL, op7_mixing
 from docloom.llm.token_counts import op1_token_counts
 from docloom.llm.token_ids import op2_token_ids
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_token_ids": op2_token_ids,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_mixing": op7_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_line_dedup": OP5_SQL,
+    "op7_mixing": OP7_SQL,
+}
