@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from docloom.llm.lines import OP5_SQL, op5_line_dedup
 from docloom.llm.mixing import OP7_SQL, op7_mixing
+from docloom.llm.quality import OP10_SQL, op10_quality_rules
+from docloom.llm.simhash import op4_simhash
 from docloom.llm.token_counts import op1_token_counts
 from docloom.llm.token_ids import op2_token_ids
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_token_ids": op2_token_ids,
+    "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL = {
     "op5_line_dedup": OP5_SQL,
     "op7_mixing": OP7_SQL,
+    "op10_quality_rules": OP10_SQL,
 }
