@@ -9,6 +9,7 @@ decoding from the middle. The shared frequency table lies beside them as a secon
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,35 +27,65 @@ from docloom.llm.rans import Coder, Table, scaled
 
 #: Ids of a block, about; a longer document makes a longer block.
 BLOCK_TOKENS = 1 << 18
-#: Words whose ids a worker keeps; beyond that it starts anew. Bounds memory, not results.
+#: Words whose ids a worker keeps, about: when half as many are new since the last time, the older ones go. Bounds
+#: memory, not results.
 KEPT_WORDS = 700_000
 
 BLOCKS = "part int, block int, before long, doc_ids array<long>, n_tokens array<long>, payload binary, crc32 long"
 
 
+#: A word and the ASCII punctuation after it, without apostrophes: two pieces to the tokenizer.
+_ENDED = re.compile(rb"([A-Za-z0-9\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+
+
 class WordIds(dict):
     """The ids (packed, unsigned 32-bit) of each word seen so far; new words go to the tokenizers library in batches.
 
-    Right for tokenizers whose pieces don't reach over ASCII white space and drop it, like word_bpe_49k.json.
+    Right for tokenizers that lower-case, drop white space and have no piece that reaches over ASCII white space, or
+    from a letter to punctuation: word_bpe_49k.json.
     """
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
 
-    def all_of(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(self) >= KEPT_WORDS:
+    def learn(self, new: set[bytes]) -> None:
+        """Get the ids of words that aren't here: from the older words, else from the library."""
+        if len(self) > KEPT_WORDS // 2:
+            self.older = dict(self)
             self.clear()
-        new = list(set().union(*words).difference(self))
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
+        older = self.older
+        unknown = []
+        for w in new:
+            if (x := older.get(w)) is None:
+                unknown.append(w)
+            else:
+                self[w] = x
+        split = {w: m.groups() for w in unknown if (m := _ENDED.fullmatch(w)) and m[1].decode("utf-8", "replace").isalnum()}
+        parts = set(unknown).difference(split).union(*split.values())
+        plain = [w for w in parts if w not in self and w not in older]
+        got = {w: older[w] for w in parts if w in older}
+        for i in range(0, len(plain), 4096):
+            some = plain[i : i + 4096]
             found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
-        return [b"".join(map(self.__getitem__, w)) for w in words]
+            got.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
+        self.update(got)
+        self.update((w, self[a] + self[b]) for w, (a, b) in split.items())
+
+    def all_of(self, texts: list[bytes]) -> list[bytes]:
+        # A-Z are lowered at once, unless a special string, which knows case, could be in the text.
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        found = [list(map(self.get, w)) for w in words]
+        new = {w for ws, xs in zip(words, found, strict=True) if None in xs for w, x in zip(ws, xs, strict=True) if x is None}
+        if not new:
+            return [b"".join(x) for x in found]
+        self.learn(new)
+        either = lambda w: x if (x := self.get(w)) is not None else self.older[w]
+        return [b"".join([either(w) if x is None else x for w, x in zip(ws, xs, strict=True)] if None in xs else xs) for ws, xs in zip(words, found, strict=True)]
 
 
 @lru_cache(maxsize=4)
