@@ -64,8 +64,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
             joined = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
             hashes = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in joined), np.uint64, len(words) - shingle + 1)
         ones = np.zeros(64, np.int64)
-        for i in range(0, len(hashes), 1 << 16):
-            ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        for i in range(0, len(hashes), 255):  # as many as a byte can count
+            ones += np.unpackbits(hashes[i : i + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
         return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -101,7 +101,6 @@ def links(distinct: DataFrame) -> DataFrame:
 
     a = few.select("family", "key", F.col("fp").alias("a"), F.col("dists").alias("da"))
     b = few.select("family", "key", F.col("fp").alias("b"), F.col("dists").alias("db"))
-    # Same parity of a distance's change for every pivot, so the test on the base comes first and is cheap.
     near = F.forall(F.zip_with("da", "db", lambda x, y: F.abs(x - y)), lambda d: d <= MAX_BITS)
     pairs = a.join(b, ["family", "key"]).where(F.col("a") < F.col("b")).where(near)
     pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select("a", "b")
@@ -133,21 +132,6 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` of which one stays for each near-duplicate group: the one with the smallest id (null last;
-    among equal ids the one with the smallest text digest)."""
-    tagged = docs.withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    prints = materialise(
-        fingerprints(tagged.select(F.col(doc_id).alias("doc_id"), "__digest", F.col(text).alias("text")), shingle, keep=["doc_id", "__digest"]), "prints"
-    )
-    distinct = materialise(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__digest")).alias("best")), "distinct-prints")
-    groups = connected_components(links(distinct.select("fp")), "a", "b")
-    rooted = distinct.join(groups, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("component", "fp"))
-    stay = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__d"), F.col("best.__digest").alias("__u"))
-    same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__u"))
-    return tagged.dropDuplicates([doc_id, "__digest"]).join(stay, same, "left_semi").select(*docs.columns)
-
-
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicate_groups(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
