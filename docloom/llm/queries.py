@@ -5,6 +5,7 @@ from __future__ import annotations
 from docloom.llm.decontamination import op8_decontamination
 from docloom.llm.html_text import op3_html_text
 from docloom.llm.language import language_id_pages, op9_language_id
+from docloom.llm.language_model import op6_language_model
 from docloom.llm.lines import OP5_SQL, op5_line_dedup
 from docloom.llm.mixing import OP7_SQL, op7_mixing
 from docloom.llm.quality import OP10_SQL, op10_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_html_text": op3_html_text,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_model": op6_language_model,
     "op7_mixing": op7_mixing,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
