@@ -58,7 +58,7 @@ class Model:
         return (total + n * np.log(BUCKETS)).tolist(), n
 
 
-def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int = 20, seed: int = 1) -> Model:
+def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int = 5, seed: int = 1) -> Model:
     """Fit on about `sample` labelled rows, chosen by a hash of the text; languages of fewer than `min_docs` of them
     are left out (unless all are). What reaches the driver is a row per language and bucket."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
