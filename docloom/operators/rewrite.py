@@ -59,10 +59,10 @@ def normal_value(value: Column, kind: Column) -> Column:
 def prune_defaults(leaves: DataFrame, defaults: DataFrame, untouched: Sequence[str] = ("AttachedDecals",)) -> DataFrame:
     """DOC-6: leaves without those that equal the default of their last key; what lies below an `untouched` key stays.
 
-    `defaults` (key, value, kind) is a short constant table of configuration, so it is broadcast.
+    `defaults` is a table (key, value, kind).
     """
     own = F.try_element_at("path", F.lit(-1))
-    known = F.broadcast(defaults.select(F.col("key").alias("__k"), normal_value(F.col("value"), F.col("kind")).alias("__v")).limit(10_000))
+    known = defaults.select(F.col("key").alias("__k"), normal_value(F.col("value"), F.col("kind")).alias("__v"))
     safe = F.arrays_overlap("path", F.array(*map(F.lit, untouched))) if untouched else F.lit(False)
     same = (F.coalesce(own, F.lit("")) == F.col("__k")) & (normal_value(F.col("value"), F.col("kind")) == F.col("__v")) & ~safe
     return leaves.join(known, same, "left_anti")
