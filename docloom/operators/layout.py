@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 
 #: Lengths below are shares of a reference image of this height.
 REFERENCE_HEIGHT = 1050.0
+#: Height of a card on the table.
+CARD_HEIGHT = 3.062473
 
 
 def filter_boxes(boxes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """WIN-12: boxes (image_id, x_px, z_px, w_px, h_px, img_w, img_h, solidity, corners) to (kept, discarded), with the
-    centre (x, z) as shares of half the image, -1 to 1: nearly square, of plausible size and shape, at the left edge."""
+    centre (x, z) in units of the table, from the image's centre: nearly square, of plausible size and shape, at the left."""
     shape = F.col("w_px") / F.col("h_px")
-    told = boxes.withColumn("x", (F.col("x_px") + F.col("w_px") / 2) / F.col("img_w") * 2 - 1).withColumn("z", (F.col("z_px") + F.col("h_px") / 2) / F.col("img_h") * 2 - 1)
+    unit = F.lit(CARD_HEIGHT) / F.col("img_h")
+    told = boxes.withColumn("x", (F.col("x_px") + F.col("w_px") / 2 - F.col("img_w") / 2) * unit).withColumn("z", (F.col("z_px") + F.col("h_px") / 2 - F.col("img_h") / 2) * unit)
+    size = [(F.col(c) / F.col("img_h") > 20 / REFERENCE_HEIGHT) & (F.col(c) / F.col("img_h") < 45 / REFERENCE_HEIGHT) for c in ("w_px", "h_px")]
     good = (
-        (shape > 0.9) & (shape < 1.1) & (F.col("w_px") / F.col("img_h") > 20 / REFERENCE_HEIGHT) & (F.col("h_px") / F.col("img_h") < 45 / REFERENCE_HEIGHT)
+        (shape > 0.9) & (shape < 1.1) & size[0] & size[1]
         & (F.col("solidity") > 0.7) & F.col("corners").between(3, 10) & (F.col("x") > -0.9) & (F.col("x") < -0.5)
     )
     return told.where(good), told.where(~F.coalesce(good, F.lit(False)))
 
 
 def group_rows(boxes: DataFrame, threshold: float = 0.03) -> DataFrame:
-    """WIN-9, SRT-3: boxes with `row`, from 0: by z, a new row where the step is over the threshold, a share of the
-    reference height times two (z runs from -1 to 1)."""
+    """WIN-9, SRT-3: boxes with `row`, from 0: by z, a new row where the step is over the threshold (for an image of the
+    reference height, in proportion for others)."""
     w = Window.partitionBy("image_id").orderBy("z", "x", "w_px", "h_px")
-    new = F.coalesce((F.abs(F.col("z") - F.lag("z").over(w)) > threshold).cast("int"), F.lit(0))
+    new = F.coalesce((F.abs(F.col("z") - F.lag("z").over(w)) > F.col("img_h") * (threshold / REFERENCE_HEIGHT)).cast("int"), F.lit(0))
     return boxes.withColumn("__new", new).withColumn("row", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("__new")
 
 
@@ -47,8 +51,8 @@ def prune_tails(rows: DataFrame, limit: float = 1.1) -> DataFrame:
 
 def prune_row_starts(rows: DataFrame, limit: float = 0.07) -> DataFrame:
     """WIN-11: rows whose smallest x lies within the limit of the mean of the image's row starts."""
-    starts = rows.groupBy("image_id", "row").agg(F.min("x").alias("start"))
-    near = F.abs(F.col("start") - F.avg("start").over(Window.partitionBy("image_id"))) <= limit
+    starts = rows.groupBy("image_id", "row").agg(F.min("x").alias("start"), F.max("img_h").alias("img_h"))
+    near = F.abs(F.col("start") - F.avg("start").over(Window.partitionBy("image_id"))) <= F.col("img_h") * (limit / REFERENCE_HEIGHT)
     kept = starts.withColumn("near", near).where("near").select("image_id", "row")
     return rows.join(kept, ["image_id", "row"], "left_semi")
 

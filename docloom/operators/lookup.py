@@ -63,9 +63,9 @@ def localize_by_name(objects: DataFrame, catalog: DataFrame, sheet_url: str, tab
     smallest five-digit code. A taboo name adds -t to the id; a customizable card on the sheet -c, and no description."""
     keyed = catalog.where(F.length("code") == 5).select(_with_xp(F.col("name"), F.col("xp")).alias("k"), "code", "subname", "customizable")
     table = build_lookup(keyed, ["k"], ["code"], "first")
-    is_taboo = F.endswith("nickname", F.lit(taboo))
+    is_taboo = F.endswith(F.col("nickname"), F.lit(taboo))
     plain = F.lower(F.when(is_taboo, F.left("nickname", F.length("nickname") - len(taboo))).otherwise(F.col("nickname")))
-    hit = objects.where(F.coalesce("gm_notes", F.lit("")) == "").withColumn("k", plain).join(table, "k")
+    hit = objects.where(F.coalesce("gm_notes", F.lit("")) == "").select("obj_id", "nickname", "back_url", plain.alias("k")).join(table, "k")
     custom = F.col("customizable") & (F.col("back_url") == sheet_url)
     new_id = F.concat(F.col("code"), F.when(is_taboo, "-t").otherwise(""), F.when(custom, "-c").otherwise(""))
     return hit.select("obj_id", new_id.alias("id"), F.when(~custom, F.col("subname")).alias("description"))
@@ -85,7 +85,7 @@ def localize_by_id(objects: DataFrame, catalog: DataFrame, trimmed: Sequence[str
     rows = rows.withColumn("key", F.when(trim, cut).otherwise(F.col("code"))).withColumn("second", (trim & F.endswith("code", F.lit("b"))).cast("int"))
     rows = rows.withColumn("order", -F.col("second"))
     table = build_lookup(rows.select("key", "code", "name", "real_name", "subname", "order"), ["key"], ["order", "code"], "last")
-    hit = objects.where(needs_processing(F.col("gm_notes"))).join(table, F.col("nickname") == F.col("key"))
+    hit = objects.where(needs_processing(F.col("gm_notes"))).select("obj_id", "nickname").join(table, F.col("nickname") == F.col("key"))
     name = F.coalesce(F.nullif("name", F.lit("")), F.col("real_name"))
     notes = F.concat(F.lit('{"id": "'), F.col("key"), F.lit('"}'))
     return hit.select("obj_id", F.col("key").alias("code"), name.alias("new_name"), F.nullif(F.trim("subname"), F.lit("")).alias("description"), notes.alias("gm_notes"))
