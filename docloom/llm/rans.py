@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LANES = 1024
+LANES = 4096
 CHECKPOINT = 128
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)

@@ -26,7 +26,7 @@ from docloom.llm.common import batch, longs, map_batches, read, utf8
 from docloom.llm.rans import Coder, Table, scaled
 
 #: Ids of a block, about; a longer document makes a longer block.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 #: Words whose ids a worker keeps, about: when half as many are new since the last time, the older ones go. Bounds
 #: memory, not results.
 KEPT_WORDS = 700_000
@@ -38,6 +38,17 @@ BLOCKS = "part int, block int, before long, doc_ids array<long>, n_tokens array<
 _ENDED = re.compile(rb"([A-Za-z0-9\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
 
 
+def _gaps(xs: list) -> list[int]:
+    """Places of None."""
+    found, i = [], -1
+    try:
+        while True:
+            i = xs.index(None, i + 1)
+            found.append(i)
+    except ValueError:
+        return found
+
+
 class WordIds(dict):
     """The ids (packed, unsigned 32-bit) of each word seen so far; new words go to the tokenizers library in batches.
 
@@ -80,12 +91,12 @@ class WordIds(dict):
         # A-Z are lowered at once, unless a special string, which knows case, could be in the text.
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         found = [list(map(self.get, w)) for w in words]
-        new = {w for ws, xs in zip(words, found, strict=True) if None in xs for w, x in zip(ws, xs, strict=True) if x is None}
-        if not new:
-            return [b"".join(x) for x in found]
-        self.learn(new)
-        either = lambda w: x if (x := self.get(w)) is not None else self.older[w]
-        return [b"".join([either(w) if x is None else x for w, x in zip(ws, xs, strict=True)] if None in xs else xs) for ws, xs in zip(words, found, strict=True)]
+        gaps = [(ws, xs, i) for ws, xs in zip(words, found, strict=True) for i in _gaps(xs)]
+        if gaps:
+            self.learn({ws[i] for ws, _, i in gaps})
+            for ws, xs, i in gaps:
+                xs[i] = x if (x := self.get(ws[i])) is not None else self.older[ws[i]]
+        return [b"".join(x) for x in found]
 
 
 @lru_cache(maxsize=4)
