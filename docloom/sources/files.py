@@ -35,7 +35,7 @@ def select_files(files: DataFrame, suffixes: Sequence[str] = (), exclude_dirs: S
 
 def decode_text(files: DataFrame, source: str = "content", bom: bool = True, errors: str = "replace") -> DataFrame:
     """SRC-2: bytes to text (UTF-8), a leading byte order mark cut off; with errors="ignore" undecodable bytes go."""
-    text = F.decode(F.col(source), "UTF-8") if files.schema[source].dataType.simpleString() == "binary" else F.col(source)
+    text = F.make_valid_utf8(F.col(source).cast("string")) if files.schema[source].dataType.simpleString() == "binary" else F.col(source)
     text = F.regexp_replace(text, "^﻿", "") if bom else text
     return files.withColumn("content", F.translate(text, "�", "") if errors == "ignore" else text)
 

@@ -42,7 +42,7 @@ def flatten_objects(docs: DataFrame, key: str, text: str, root: str = "ObjectSta
 
 def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> DataFrame:
     """(key, path, value, kind): a row for each scalar, null, and empty container; `path` is an array of keys and
-    0-based positions written as [i]. Keys of objects come in alphabetical order, list elements in place."""
+    0-based positions written as [i]; `key` must have another name than these. Keys of objects come in alphabetical order, list elements in place."""
     level = docs.select(F.col(key), F.array().cast("array<string>").alias("path"), F.try_parse_json(F.col(text)).alias("v")).where("v is not null")
     found = None
     for _ in range(max_depth):
