@@ -246,12 +246,13 @@ def test_language_model(spark, docs, odd, nothing):
 def test_language_model_sums_to_one(spark, docs):
     """Over all words, and the unknown one, after any context, in each sample."""
     source, prior = docs.where("doc_id < 60").select("doc_id", "text"), lm.Prior()
-    buckets = lm.materialise(lm.merge_buckets(lm.pack(source, 3, 7, 2), 3))
-    shared = lm.train(buckets, prior, 2, 1)
+    frequent = lm.frequent_words(source)
+    buckets = lm.materialise(lm.merge_buckets(lm.pack(source, 3, 7, 2, frequent), 3))
+    shared = lm.train(buckets, frequent, prior, 2, 1)
     rows = [r.asDict() for r in buckets.where("w is not null").collect()]
-    assert len(rows) == 3
+    assert len(rows) == 3 and 0 < len(frequent) <= 400
     for k, totals in enumerate(shared.sweeps):
-        sums, parents = np.zeros(lm.CONTEXTS), 0.0
+        sums, parents = np.zeros(lm.CONTEXTS), {}
         new = (prior.theta + prior.d * totals.tables) / (prior.theta + shared.customers)
         for row in rows:
             seats = lm.Seating(row, shared, prior, 1)
@@ -261,9 +262,10 @@ def test_language_model_sums_to_one(spark, docs):
             known = np.repeat(seats.word_c > 0, seats.wn)
             p, parent = seats.probabilities(totals), np.repeat(seats.parent(totals), seats.wn)
             np.add.at(sums, seats.ctx[known], (p - parent * new[seats.ctx])[known])
-            parents += seats.parent(totals)[seats.word_c > 0].sum()
+            parents |= {w: x for w, x, c in zip(lm.unpacked(row["w"], "<u8"), seats.parent(totals), seats.word_c, strict=True) if c}
+        assert len(parents) == shared.v
         unknown = (prior.theta1 + prior.d1 * totals.tables1) / (prior.theta1 + totals.customers1) / (shared.v + 1)
-        assert math.isclose(parents + unknown, 1.0, rel_tol=1e-9)
+        assert math.isclose(sum(parents.values()) + unknown, 1.0, rel_tol=1e-9)
         assert np.allclose(sums + new, 1.0)
     s = np.exp(log_stirling(0.5, 6))
     assert np.allclose(s[3, 1:4], [0.75, 1.5, 1.0])
