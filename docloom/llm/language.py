@@ -114,7 +114,7 @@ def host_priors(votes: DataFrame, languages: list[str]) -> DataFrame:
     suffix and vote (the index of the language); counts are summed per key with partial sums first."""
     n = len(languages)
     each = [F.sum((F.col("vote") == i).cast("long")).alias(f"n{i}") for i in range(n)]
-    by_host = votes.groupBy("host", "suffix").agg(*each)
+    by_host = materialise(votes.groupBy("host", "suffix").agg(*each), "votes")
     total = sum((F.col(f"n{i}") for i in range(1, n)), F.col("n0")) if n else F.lit(0)
     per_suffix = by_host.groupBy(F.col("suffix").alias("s")).agg(*(F.sum(f"n{i}").alias(f"s{i}") for i in range(n)))
     overall = per_suffix.agg(*(F.sum(f"s{i}").alias(f"g{i}") for i in range(n))).first()
