@@ -285,7 +285,16 @@ def win4(s, d):
     return dedupe.unique_names(f, taken).select("obj_id", "new_name")
 
 
-@query("win6_canonical_ids")
+CANON = """, m as (select container_id, pos, cast(deck_key as int) as own, face_url, back_url, CARD as card_id, path from members join cards using (obj_id))
+, firsts as (select container_id, face_url, back_url, min(pos) as pos, arg_min(own, pos) as own from m group by 1, 2, 3)
+, folded as (select container_id, list({'f': face_url, 'b': back_url} order by pos) as prints,
+    list_reduce(list([own] order by pos), lambda a, x: list_append(a, case when list_contains(a, x[1]) then list_max(a) + 1 else x[1] end)) as ids from firsts group by 1)
+, ids as (select container_id, unnest(prints).f as face_url, unnest(prints).b as back_url, unnest(ids) as new_key from folded)
+, canon as (select container_id, pos, new_key, cast(new_key || lpad(cast(card_id % 100 as string), 2, '0') as bigint) as new_card_id, path from m join ids using (container_id, face_url, back_url)) """
+FIXED = "cast(deck_key || right(lpad(cast(card_id as string), greatest(length(cast(card_id as string)), 2)::int, '0'), 2) as bigint)"
+
+
+@query("win6_canonical_ids", CANON.replace("CARD", "card_id") + "select container_id, pos, new_key, new_card_id from canon", ("cards", "members"))
 def win6(s, d):
     return dedupe.canonical_deck_ids(deck_members(s, d))
 
@@ -312,6 +321,16 @@ def set1(s, d):
     return view(s, d, "catalog").select("code", "name").unionByName(cards(s, d).select(F.col("nickname").alias("name"), F.col("guid").alias("code")))
 
 
+@query("set2_union_of_tags", "select obj_id, array_to_string(list_sort(list_distinct([name, 'own', nickname])), ',') as tags from cards", ("cards",))
+def set2(s, d):
+    return cards(s, d).select("obj_id", F.array_join(F.sort_array(F.array_union(F.array("name", F.lit("own")), F.array("nickname", "name"))), ",").alias("tags"))
+
+
+@query("set3_unmanaged_tags", "select obj_id, case when name in ('Card', 'Deck') then nickname else nickname || ',' || name end as tags from cards", ("cards",))
+def set3(s, d):
+    return cards(s, d).select("obj_id", F.array_join(F.array_except(F.array("nickname", "name"), F.array(F.lit("Card"), F.lit("Deck"))), ",").alias("tags"))
+
+
 @query("set4_unused_rows", "select code from catalog where code not in (select mid from meta where mid is not null)", ("cards", "catalog"))
 def set4(s, d):
     return lookup.unmatched(view(s, d, "catalog"), meta(s, d).where("mid is not null"), "code", "mid").select("code")
@@ -481,9 +500,14 @@ def job_reprint_map(s, d):
     return jobs.reprint_map(view(s, d, "catalog"))
 
 
-@query("job_clean_decks")
+@query(
+    "job_clean_decks",
+    CANON.replace("CARD", FIXED) + """, o as (select *, row_number() over (partition by container_id order by new_card_id desc, pos) as p from canon)
+    select container_id, p as pos, new_card_id as deck_id, min(path) over w as file, path <> min(path) over w as discarded from o window w as (partition by container_id, new_card_id)""",
+    ("cards", "members"),
+)
 def job_clean_decks(s, d):
-    return jobs.clean_decks(view(s, d, "members"), cards(s, d))
+    return jobs.clean_decks(view(s, d, "members"), cards(s, d)).drop("old_file")
 
 
 @query("job_strip_localized")
