@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='spark-docloom-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one where that is unset (tests, local mode)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='docloom-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
