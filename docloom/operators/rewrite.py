@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.checkpoints import materialise
 from docloom.functions import json, numbers, paths
 from docloom.operators.lookup import resolve
 
@@ -17,6 +18,27 @@ def drop_keys(leaves: DataFrame, keys: Sequence[str]) -> DataFrame:
     return leaves.where(~F.arrays_overlap("path", F.array(*map(F.lit, keys)))) if keys else leaves
 
 
+def rebuild_documents(leaves: DataFrame, key: str) -> DataFrame:
+    """(key, content): JSON texts from leaves (key, path, value, kind), keys in alphabetical order.
+
+    Works from the deepest level up: the parts of each object or list are joined by one grouping per level, so what is
+    gathered is one container's own parts. Containers left without any part are gone.
+    """
+    quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+    text = F.when(F.col("value").isNull() | (F.col("kind") == "VOID"), "null").when(F.col("kind") == "STRING", quoted("value")).otherwise(F.col("value"))
+    rows = materialise(leaves.select(key, "path", text.alias("text")), "parts")
+    depth = rows.agg(F.max(F.size("path"))).first()[0] or 0
+    for level in range(depth, 0, -1):
+        deep = rows.where(F.size("path") == level).withColumn("seg", F.try_element_at("path", F.lit(-1)))
+        part = F.struct(F.regexp_extract("seg", r"^\[(\d+)\]$", 1).try_cast("int").alias("i"), F.col("seg"), quoted("seg").alias("name"), F.col("text"))
+        whole = deep.groupBy(key, F.slice("path", 1, level - 1).alias("path")).agg(F.array_sort(F.collect_list(part)).alias("m"))
+        listed = F.concat(F.lit("["), F.array_join(F.transform("m", lambda x: x["text"]), ","), F.lit("]"))
+        named = F.concat(F.lit("{"), F.array_join(F.transform("m", lambda x: F.concat(x["name"], F.lit(":"), x["text"])), ","), F.lit("}"))
+        built = whole.select(key, "path", F.when(F.col("m")[0]["i"].isNotNull(), listed).otherwise(named).alias("text"))
+        rows = materialise(rows.where(F.size("path") < level).unionAll(built), "parts")
+    return rows.select(key, F.col("text").alias("content"))
+
+
 def keep_metadata_keys(notes: Column, keep: Sequence[str], guid: str = "TtsZoopGuid") -> Column:
     """DOC-2: the top-level map of the metadata with these keys only; a missing id is taken from the guid."""
     m = json.as_map(notes)

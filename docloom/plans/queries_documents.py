@@ -41,6 +41,16 @@ def doc1(s, d):
     return rewrite.drop_keys(leaves(s, d), ["BackURL", "Tags"]).select("obj_id", F.array_join("path", "/").alias("path"), "value")
 
 
+@query(
+    "doc1_rebuilt_documents",
+    """select obj_id, '{"AltLook":0,"CardID":' || card_id || ',"CustomDeck":{"' || deck_key || '":{"FaceURL":"' || face_url || '"}},"Locked":' || case when obj_id % 2 = 0 then 'true' else 'false' end ||
+    ',"Name":"' || name || '","Tags":["' || description || '","x"]}' as content from cards""",
+    ("cards",),
+)
+def doc1_rebuilt(s, d):
+    return rewrite.rebuild_documents(rewrite.drop_keys(leaves(s, d), ["BackURL", "NumWidth", "Nickname"]), "obj_id")
+
+
 @query("doc2_keep_metadata_keys", "select obj_id, mid as id, case when mid is null then null else 2 end as n from meta", ("cards",))
 def doc2(s, d):
     notes = F.replace("gm_notes", F.lit('"id"'), F.lit('"TtsZoopGuid"'))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.checkpoints import materialise
+
 CONTAINER = r"^(OBJECT|ARRAY)"
 
 
@@ -33,6 +35,7 @@ def flatten_objects(docs: DataFrame, key: str, text: str, root: str = "ObjectSta
         level = _children(level.where("list is not null"), "list").select(
             key, F.concat("at", F.array("pos")).alias("ord_path"), F.lit(depth).alias("depth"), F.col("value").alias("object")
         )
+        level = materialise(level, "level")
         if level.isEmpty():
             return level if found is None else found
         found = level if found is None else found.unionAll(level)
@@ -42,7 +45,8 @@ def flatten_objects(docs: DataFrame, key: str, text: str, root: str = "ObjectSta
 
 def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> DataFrame:
     """(key, path, value, kind): a row for each scalar, null, and empty container; `path` is an array of keys and
-    0-based positions written as [i]; `key` must have another name than these. Keys of objects come in alphabetical order, list elements in place."""
+    0-based positions written as [i]; `key` must have another name than these. Keys of objects come in alphabetical
+    order, list elements in place. Levels are written down, so none is worked out twice."""
     level = docs.select(F.col(key), F.array().cast("array<string>").alias("path"), F.try_parse_json(F.col(text)).alias("v")).where("v is not null")
     found = None
     for _ in range(max_depth):
@@ -52,7 +56,7 @@ def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> Da
         empty = F.when(F.col("kind") == "OBJECT<>", "{}").when(F.col("kind") == "ARRAY<VOID>", F.coalesce("value", F.lit("[]"))).otherwise(F.col("value"))
         flat = flat.withColumn("value", empty)
         found = flat if found is None else found.unionAll(flat)
-        rest = level.where(nested).drop("kind")
+        rest = materialise(level.where(nested).drop("kind"), "level")
         if rest.isEmpty():
             return found
         step = F.coalesce(F.col("key_"), F.concat(F.lit("["), F.col("pos"), F.lit("]")))

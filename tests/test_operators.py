@@ -74,6 +74,14 @@ def test_leaves_and_rounding(spark):
     assert (got["pos/[0]"], got["pos/[1]/x"], got["i"]) == ("1.2346", "2", "7")
 
 
+def test_rebuilding_leaves_gives_the_document(spark):
+    texts_ = ['{"b":{"d":1,"c":[{"z":1.5,"y":"q\\"é"},[],{}]},"a":null,"l":[1,2,3,4,5,6,7,8,9,10,11,12],"t":true}', '{"a":{}}']
+    docs = texts(spark, texts_).withColumnRenamed("path", "doc")
+    rebuilt = rewrite.rebuild_documents(nested.json_leaves(docs, "doc", "content"), "doc")
+    want = docs.select("doc", rewrite.sort_keys(F.col("content")).alias("content"))
+    assert sorted(map(tuple, rebuilt.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_defaults_hold_zero_and_false_for_the_same(spark):
     leaves = nested.json_leaves(texts(spark, ['{"a":0,"b":false,"c":0.0,"d":"0","AttachedDecals":{"a":0}}']).withColumnRenamed("path", "doc"), "doc", "content")
     defaults = spark.createDataFrame([(k, "false", "BOOLEAN") for k in "abcd"], "key string, value string, kind string")
