@@ -125,7 +125,7 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_
     """
     prints = prints if prints is not None else materialise(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle), "prints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
-    groups = connected_components(links(distinct.select("fp")), "a", "b")
+    groups = connected_components(materialise(links(distinct.select("fp")), "links"), "a", "b")
     rooted = distinct.join(groups, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("component", "fp"))
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
