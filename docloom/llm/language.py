@@ -59,14 +59,13 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int = 5, seed: int = 1) -> Model:
-    """Fit on about `sample` labelled rows, chosen by a hash of the row, so that copies
-    of one text don't come all together; languages of fewer than `min_docs` of them
-    are left out (unless all are). What reaches the driver is a row per language and bucket."""
+    """Fit on about `sample` labelled rows, chosen by a hash of the row, so that copies of one text don't come all
+    together; languages of fewer than `min_docs` of them are left out (unless all are). What reaches the driver is a row per language and bucket."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     total = known.count()
     if total > sample:
         whole = [F.col(f.name) for f in known.schema if f.dataType.simpleString() in ("string", "bigint", "int", "double", "date", "timestamp")]
-        known = known.where(F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(1_000_000)) < int(1e6 * sample / total))
+        known = known.where(F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(1 << 40)) < int((1 << 40) * sample / total))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
