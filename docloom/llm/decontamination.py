@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import batch, longs, read, utf8
+from docloom.llm.common import longs, read, utf8
 
 #: Cared positions of the masks (weight 6); windows of ten or eleven tokens.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 6, 7, 9), (0, 2, 3, 7, 8, 10), (0, 1, 4, 5, 8, 9))
