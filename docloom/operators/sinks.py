@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import paths
 
+#: Fixed values of the file format.
 SIDECARS = (".json", ".gmnotes", ".ttslua", ".luascriptstate")
 
 
