@@ -2,9 +2,9 @@
 
 For similar, not nearly equal, texts 64 bits say too little: at a Jaccard similarity of 0.8 some ten of them differ.
 Here a fingerprint has 512 bits, from eight independent 64-bit hashes of each shingle. A family of pivots are reference
-fingerprints that differ from a base only in twenty or more chosen bits; a text's coordinates in the family are its distances
-to the members less the distance to the base. Pairs whose coordinates are equal in at least one of some 64 families
-(more for more texts) are candidates, all others are discarded; candidates are verified on all bits, from which, with the numbers of shingles, the
+fingerprints that differ from a base only in twenty or more bits, chosen from all; a text's coordinates in the family are its distances
+to the members less the distance to the base. Pairs whose coordinates are equal in at least one of some 100 families
+(more for more texts, so that as many pairs meet) are candidates, all others are discarded; candidates are verified on all bits, from which, with the numbers of shingles, the
 similarity is estimated.
 
 Texts that meet in a family form a run. A run is searched by growing groups: a text is compared with those of the run that
@@ -14,6 +14,7 @@ make thousands of links, not millions of pairs.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -35,27 +36,48 @@ HASHES, MEMBERS = 8, 16
 FAMILY_BITS = 20
 #: Texts of a run up to which all its pairs are compared.
 SHORT_RUN = 12
-#: Share of pairs at the limit of similarity that meet in some family.
-RECALL = 0.91
+#: Share of pairs at the limit of similarity that meet in some family and pass the test of all bits, for any number of texts.
+RECALL = 0.92
+#: Families whose keys are made at once.
+AT_ONCE = 16
+
+
+def expected_recall(bits: int, families: int, similarity: float = SIMILARITY, least: float = SIMILARITY - NOISE) -> float:
+    """Share of pairs of this similarity that meet and whose estimate is `least` or more. A pair's differing bits are
+    binomial; given their number, families meet independently, for each draws its bits from all."""
+    size = 64 * HASHES
+    apart = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    differ = np.arange(size + 1)
+    log_choose = np.array([math.lgamma(size + 1) - math.lgamma(d + 1) - math.lgamma(size - d + 1) for d in differ])
+    chance = np.exp(log_choose + differ * np.log(apart) + (size - differ) * np.log1p(-apart))
+    drawn = np.arange(bits)
+    agree = np.prod(np.clip(size - differ[:, None] - drawn, 0, None) / (size - drawn), axis=1)
+    cosine = np.cos(np.pi * differ / size)
+    return float(np.sum(chance * (1 - (1 - agree) ** families) * (cosine >= 2 * least / (1 + least))))
 
 
 def family_plan(texts: int, similarity: float = SIMILARITY) -> tuple[int, int]:
-    """(bits, families) for so many texts: a bit of two texts agrees with the chance that their angle gives, and there
-    are families enough for RECALL."""
+    """(bits, families) for so many texts, families enough for RECALL (or as near as the test of all bits lets it come)."""
     bits = min(max(FAMILY_BITS, int(np.ceil(np.log2(max(texts, 2)))) + 4), 48)
-    agree = 1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return bits, int(np.ceil(np.log(1 - RECALL) / np.log1p(-(agree**bits))))
-
-
-def _families(bits: int, families: int, seed: int = 11) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """The base, and for each family the 64-bit word it lies in and its members' bits of that word."""
+    least = similarity - NOISE
+    want = min(RECALL, 0.99 * expected_recall(0, 1, similarity, least))
+    low, high = 1, 2
+    while expected_recall(bits, high, similarity, least) < want:
+        low, high = high, 2 * high
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if expected_recall(bits, middle, similarity, least) >= want else (middle + 1, high)
+    return bits, high
+
+
+def _families(bits: int, families: int, seed: int = 11) -> tuple[np.ndarray, list[tuple[list[int], np.ndarray]]]:
+    """The base, and for each family the bits of all 512 that it looks at and which of them each member flips."""
     rnd = random.Random(seed)
     base = np.array([rnd.getrandbits(64) for _ in range(HASHES)], np.uint64)
     found = []
-    for i in range(families):
-        word, chosen = i % HASHES, rnd.sample(range(64), bits)
-        members = [int(base[word]) ^ sum(1 << b for b in chosen if rnd.random() < 0.5) for _ in range(MEMBERS)]
-        found.append((word, np.array(members, np.uint64)))
+    for _ in range(families):
+        chosen = rnd.sample(range(64 * HASHES), bits)
+        found.append((chosen, np.array([[rnd.random() < 0.5 for _ in range(MEMBERS)] for _ in chosen], np.float32)))
     return base, found
 
 
@@ -97,20 +119,23 @@ def prints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
 def coordinates(distinct: DataFrame, bits: int, count: int) -> DataFrame:
     """(family, key, id): a row for each family; the key is a hash of the coordinates, a byte each."""
 
-    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, families = _families(bits, count)
-        fps = _fps(b.column("fp"))
-        to_base = np.bitwise_count(fps ^ base).astype(np.int8)
-        keys = []
-        for w, members in families:
-            packed = (np.bitwise_count(fps[:, w, None] ^ members).astype(np.int8) - to_base[:, w, None]).view(np.uint64)
-            keys.append((packed[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ packed[:, 1]).view(np.int64))
-        n = len(fps)
-        return batch(
-            family=pa.array(np.repeat(np.arange(count, dtype=np.int32), n)), key=longs(np.concatenate(keys)), id=longs(np.tile(b.column("id").to_numpy(), count))
-        )
-
-    return map_batches(distinct.select("id", "fp"), each, "family int, key long, id long")
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, fps = b.column("id").to_numpy(), _fps(b.column("fp"))
+            # a flipped bit is one step farther than the base where the text agrees with the base, one nearer where not
+            steps = 1 - 2 * np.unpackbits((fps ^ base).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+            for start in range(0, count, AT_ONCE):
+                keys = []
+                for chosen, flipped in families[start : start + AT_ONCE]:
+                    packed = np.ascontiguousarray((steps[:, chosen] @ flipped).astype(np.int8)).view(np.uint64)
+                    keys.append((packed[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ packed[:, 1]).view(np.int64))
+                family = np.repeat(np.arange(start, start + len(keys), dtype=np.int32), len(ids))
+                yield batch(family=pa.array(family), key=longs(np.concatenate(keys)), id=longs(np.tile(ids, len(keys))))
+
+    return distinct.select("id", "fp").mapInArrow(each, "family int, key long, id long")
 
 
 def similar(fps: np.ndarray, n: np.ndarray, fp: np.ndarray, size: np.ndarray | float, least: float) -> np.ndarray:

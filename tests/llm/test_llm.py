@@ -369,3 +369,20 @@ def test_pipeline(spark, library):
     got = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert sorted((r.doc_id, r.ids_crc32) for r in got.collect()) == want
     assert sizes[1] <= sizes[0] and sizes[2] <= sizes[1]
+
+
+def similar_sets(rnd, n, shared):
+    """Two sets of n random hashes that share so many."""
+    draw = lambda k: [rnd.getrandbits(64) for _ in range(k)]
+    both = draw(shared)
+    return [np.array(both + draw(n - shared), np.uint64) for _ in range(2)]
+
+
+def test_near_dedup_pairs_meet_under_the_plan_of_many_texts(spark):
+    rnd, rows = random.Random(2), []
+    for i in range(400):  # 320 of 400 - 360 of 400: a Jaccard similarity of 0.8
+        rows += [(2 * i + k, near_dedup.wide_fingerprint(s)) for k, s in enumerate(similar_sets(rnd, 360, 320))]
+    for texts in (1000, 10_000_000):
+        keys = near_dedup.coordinates(spark.createDataFrame(rows, "id long, fp binary"), *near_dedup.family_plan(texts))
+        met = keys.selectExpr("family", "key", "id div 2 as pair").groupBy("family", "key", "pair").count().where("count = 2").select("pair").distinct().count()
+        assert met >= 0.9 * 400
