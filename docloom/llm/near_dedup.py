@@ -4,12 +4,13 @@ For similar, not nearly equal, texts 64 bits say too little: at a Jaccard simila
 Here a fingerprint has 512 bits, from eight independent 64-bit hashes of each shingle. A family of pivots are reference
 fingerprints that differ from a base only in twenty or more bits, chosen from all; a text's coordinates in the family are its distances
 to the members less the distance to the base. Pairs whose coordinates are equal in at least one of some 100 families
-(more for more texts, so that as many pairs meet) are candidates, all others are discarded; candidates are verified on all bits, from which, with the numbers of shingles, the
-similarity is estimated.
+(more for more texts, so that as many pairs meet) are candidates, all others are discarded. From all bits and the numbers of shingles the similarity is estimated; pairs whose
+estimate isn't far below the limit are verified on the shingles of both texts.
 
-Texts that meet in a family form a run. A run is searched by growing groups: a text is compared with those of the run that
-no group has yet, and the ones it reaches join its group. Each text sends one link, so thousands of copies of one text
-make thousands of links, not millions of pairs.
+Texts that meet in a family form a run. All pairs of a short run are looked at. A long one is first searched by growing groups:
+a text is compared with those of the run that no group has yet, and the ones it reaches join its group. Each text sends one
+link, so thousands of copies of one text make thousands of links, not millions of pairs. Then texts propose partners in groups
+that verified links don't connect with their own, more in each round, until all such pairs have been verified.
 """
 
 from __future__ import annotations
@@ -29,8 +30,12 @@ from docloom.llm.common import batch, longs, map_batches, utf8
 from docloom.operators.graph import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Allowance for the noise of 512 bits (standard deviation 0.03 at 0.8).
-NOISE = 0.04
+#: Allowance of the test of 512 bits for their noise (standard deviation 0.03 at 0.8); what passes is verified exactly.
+NOISE = 0.1
+#: Margin from which on an estimate makes a first link within a long run.
+SURE = 0.04
+#: Partners in other groups that each text of a long run proposes in the first round; four times as many in each next.
+PROPOSED = 4
 HASHES, MEMBERS = 8, 16
 #: Bits of a family at least; each doubling of the texts beyond 2**16 adds one, so that chance meetings don't grow.
 FAMILY_BITS = 20
@@ -161,9 +166,9 @@ def run_links(ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float) ->
     return found
 
 
-def runs_links(bounds: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+def runs_links(bounds: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float, sure: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links within runs, which lie between the bounds one after the other. Short runs are compared pair by pair, all at
-    once; long ones by growing groups."""
+    once; long ones by growing groups of texts whose estimate is `sure` or more."""
     sizes, found = np.diff(bounds), []
     run = np.repeat(np.arange(len(sizes)), sizes)
     short = sizes <= SHORT_RUN
@@ -173,7 +178,7 @@ def runs_links(bounds: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarr
         found.append((ids[at], ids[at + step]))
     for r in np.flatnonzero(~short):
         a, b = bounds[r], bounds[r + 1]
-        pairs = run_links(ids[a:b], fps[a:b], n[a:b], least)
+        pairs = run_links(ids[a:b], fps[a:b], n[a:b], sure)
         found.append((np.array([x for x, _ in pairs], np.int64), np.array([y for _, y in pairs], np.int64)))
     return found
 
@@ -182,30 +187,119 @@ def _fps(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, HASHES)
 
 
-def _found(links: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    if sum(len(a) for a, _ in links):
-        yield batch(a=longs(np.concatenate([a for a, _ in links])), b=longs(np.concatenate([b for _, b in links])))
+def proposals(group: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """For each text of a run the `most` likeliest partners in other groups, and whether there are more."""
+    for x in range(len(ids)):
+        other = np.flatnonzero(group != group[x])
+        other = other[similar(fps[other], n[other], fps[x], n[x], least)]
+        if len(other):
+            near = np.argsort(np.bitwise_count(fps[other] ^ fps[x]).sum(1, dtype=np.int64), kind="stable")[:most]
+            yield np.full(len(near), ids[x]), ids[other[near]], len(other) > most
 
 
-def candidate_links(distinct: DataFrame, least: float) -> DataFrame:
-    """(a, b): verified links between ids of different fingerprints."""
-    table = coordinates(distinct, *family_plan(distinct.count())).withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("family", "key"))).where("met > 1")
-    runs = table.drop("met").join(distinct, "id").repartition("family", "key").sortWithinPartitions("family", "key", "id")
+def _whole_runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Bounds of whole runs, and the columns' values (fingerprints as words), from rows sorted by family and key."""
+    held = None
+    for b in batches:
+        own = [_fps(b.column(c)) if c == "fp" else b.column(c).to_numpy() for c in ("family", "key", *columns)]
+        rows = own if held is None else [np.concatenate(x) for x in zip(held, own, strict=True)]
+        new = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
+        last = int(new[-1]) if len(new) else 0  # the last run may go on in the next batch
+        if last:
+            yield np.append(0, new), [x[:last] for x in rows[2:]]
+        held = [x[last:] for x in rows]
+    if held is not None and len(held[0]):
+        yield np.array([0, len(held[0])]), held[2:]
+
+
+def _by_run(runs: DataFrame, distinct: DataFrame, *columns: str) -> DataFrame:
+    rows = runs.join(distinct.select("id", "fp", "n"), "id").withColumn("n", F.col("n").cast("double"))
+    return rows.repartition("family", "key").sortWithinPartitions("family", "key", "id").select("family", "key", *columns)
+
+
+def meetings(distinct: DataFrame) -> DataFrame:
+    """(family, key, id, met): texts that meet others, and how many share the run."""
+    return coordinates(distinct, *family_plan(distinct.count())).withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("family", "key"))).where("met > 1")
+
+
+def candidate_links(runs: DataFrame, distinct: DataFrame, least: float, sure: float) -> DataFrame:
+    """(a, b), a < b: all pairs of short runs that pass the test of all bits, and first links of long ones."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
-            own = (b.column("family").to_numpy(), b.column("key").to_numpy(), b.column("id").to_numpy(), _fps(b.column("fp")), b.column("n").to_numpy().astype(np.float64))
-            rows = own if held is None else tuple(np.concatenate(x) for x in zip(held, own, strict=True))
-            new = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
-            last = int(new[-1]) if len(new) else 0  # the last run may go on in the next batch
-            if last:
-                yield from _found(runs_links(np.append(0, new), *(x[:last] for x in rows[2:]), least))
-            held = tuple(x[last:] for x in rows)
-        if held is not None and len(held[0]):
-            yield from _found(runs_links(np.array([0, len(held[0])]), *held[2:], least))
+        for bounds, columns in _whole_runs(batches, "id", "fp", "n"):
+            links = runs_links(bounds, *columns, least, sure)
+            if sum(len(a) for a, _ in links):
+                a, b = (np.concatenate(x) for x in zip(*links, strict=True))
+                yield batch(a=longs(np.minimum(a, b)), b=longs(np.maximum(a, b)))
+
+    return _by_run(runs, distinct, "id", "fp", "n").mapInArrow(search, "a long, b long").distinct()
+
+
+def proposed_links(runs: DataFrame, distinct: DataFrame, least: float, most: int) -> DataFrame:
+    """(a, b, more), a < b: what texts of runs with several groups propose. `runs` has the column root."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bounds, columns in _whole_runs(batches, "root", "id", "fp", "n"):
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                if links := list(proposals(*(x[i:j] for x in columns), least, most)):
+                    a, b = (np.concatenate([x[k] for x in links]) for k in (0, 1))
+                    yield batch(a=longs(np.minimum(a, b)), b=longs(np.maximum(a, b)), more=pa.array([any(x[2] for x in links)] * len(a)))
+
+    found = _by_run(runs, distinct, "root", "id", "fp", "n").mapInArrow(search, "a long, b long, more boolean")
+    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
-    return runs.select("family", "key", "id", "fp", "n").mapInArrow(search, "a long, b long").distinct()
+
+def shingle_sets(tagged: DataFrame, wanted: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(id, hashes): the distinct shingle hashes, eight bytes each, of a text of each fingerprint in `wanted`."""
+    source = tagged.select(F.col(doc_id).alias("d"), F.col("__digest").alias("u"), F.col(text).alias("text"))
+    named = wanted.select("id", F.col("best.doc_id").alias("e"), F.col("best.digest").alias("v"))
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        return batch(id=b.column("id"), hashes=pa.array([shingle_hashes(x, shingle).tobytes() for x in utf8(b.column("text"))], pa.binary()))
+
+    texts = source.join(named, F.col("d").eqNullSafe(F.col("e")) & (F.col("u") == F.col("v"))).select("id", "text")
+    return map_batches(texts, each, "id long, hashes binary").dropDuplicates(["id"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets have a Jaccard similarity of `similarity` or more."""
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        passed = []
+        for x, y in zip(b.column("x"), b.column("y"), strict=True):
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            passed.append(shared + 1e-9 >= similarity * (len(x) + len(y) - shared))
+        return b.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
+
+    x, y = (sets.select(F.col("id").alias(end), F.col("hashes").alias(name)) for end, name in (("a", "x"), ("b", "y")))
+    return map_batches(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y"), each, "a long, b long")
+
+
+def near_links(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): verified links between ids of different fingerprints. They connect whatever all pairs that meet, pass the
+    test of all bits and are verified connect."""
+    least = similarity - NOISE
+    runs = materialise(meetings(distinct), "runs")
+    long = runs.where(F.col("met") > SHORT_RUN).select("family", "key", "id")
+    checked = materialise(candidate_links(runs, distinct, least, similarity + SURE), "candidates")
+    wanted = checked.select(F.col("a").alias("id")).unionAll(checked.select(F.col("b").alias("id"))).unionAll(long.select("id")).distinct()
+    sets = materialise(shingle_sets(tagged, distinct.join(wanted, "id", "left_semi"), doc_id, text, shingle), "shingles")
+    links, most = materialise(verified(checked, sets, similarity), "links"), PROPOSED
+    while not long.isEmpty():
+        linked = connected_components(links, "a", "b")
+        rooted = long.join(linked, F.col("id") == F.col("node"), "left").select("family", "key", "id", F.coalesce("component", "id").alias("root"))
+        several = rooted.groupBy("family", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("family", "key")
+        found = materialise(proposed_links(rooted.join(several, ["family", "key"], "left_semi"), distinct, least, most), "proposed")
+        more = found.agg(F.max("more")).first()[0]
+        if more is None:
+            break
+        new = materialise(found.select("a", "b").join(checked, ["a", "b"], "left_anti"), "candidates")
+        links = links.unionAll(materialise(verified(new, sets, similarity), "links"))
+        if not more:
+            break
+        checked, most = checked.unionAll(new), 4 * most
+    return links
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -213,7 +307,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     last, then by the text's digest). Columns as in `docs`.
 
     Texts are near-duplicates if the Jaccard similarity of their sets of `shingle`-word shingles is `similarity` or
-    more, as estimated from 512 bits; groups are what links reach. Texts of fewer words are one shingle; null and
+    more, verified on the sets; pairs are found with a recall of RECALL at the limit. Groups are what links reach. Texts whose
+    512 bits and numbers of shingles are equal count as equal. Texts of fewer words are one shingle; null and
     empty texts are alike and one of them stays. Rows equal in id and text are one document; other columns don't
     matter; an empty table gives an empty one. Equal fingerprints are reduced to one row first, so copies by the
     thousand cost one row.
@@ -222,8 +317,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("digest"))
     groups = prints(tagged, doc_id, text, shingle).groupBy("fp", "n").agg(F.min(order).alias("best"))
     distinct = materialise(groups.withColumn("id", F.xxhash64("fp", "n")), "fingerprints")
-    links = materialise(candidate_links(distinct.select("id", "fp", "n"), similarity - NOISE), "links")
-    linked = connected_components(links, "a", "b")
+    linked = connected_components(near_links(tagged, distinct, doc_id, text, shingle, similarity), "a", "b")
     rooted = distinct.join(linked, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "id"))
     stay = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__d"), F.col("best.digest").alias("__u"))
     same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__u"))
