@@ -2,8 +2,9 @@
 
 A mask of cared and ignored positions turns a window of tokens into a seed: a hash of the cared tokens only, so a
 substitution at an ignored position leaves it as it is. Seeds of documents and of benchmark items that are equal give
-a diagonal (document, item, offset), along which the overlap is grown around the hit and measured, with substitutions
-tolerated up to a share.
+a diagonal (document, item, offset), along which overlaps are grown around its hits and measured, with substitutions
+tolerated up to a share. Stretches on neighbouring diagonals, between which words were put in or left out, are added up.
+Items too short for a seed are looked up whole.
 
 Texts are lower-cased, ASCII punctuation is dropped, tokens stand between ASCII white space. Benchmark items are taken
 in blocks of a bounded number of tokens; each block goes to all tasks and all documents are scanned against it, so
@@ -68,19 +69,22 @@ class Block:
         for name, text in items:
             self.names.append(name)
             self.ids.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens(text)], np.int64))
-        self.tables = []
+        self.tables, self.short = [], []
+        for size in range(1, MASKS[0][-1] + 1):
+            own = [(int(seeds(ids, tuple(range(size)))[0]), i) for i, ids in enumerate(self.ids) if len(ids) == size]
+            if own:
+                h, which = np.unique(np.array([x for x, _ in own], np.uint64), return_inverse=True)
+                items = [[i for (_, i), w in zip(own, which, strict=True) if w == k] for k in range(len(h))]
+                self.short.append((size, h, items))
         for mask in MASKS:
             found = [(s, i, k) for i, ids in enumerate(self.ids) for k, s in enumerate(seeds(ids, mask)) if s]
             found.sort()
             h = np.array([x[0] for x in found], np.uint64)
             self.tables.append((mask, h, np.array([x[1:] for x in found], np.int64).reshape(-1, 2)))
 
-    def hits(self, data: bytes) -> set[tuple[int, int, int]]:
-        """(item, offset of the item in the document, hit position in the document), one for each diagonal."""
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, 0) for w in tokens(data)), np.int64)
-        self.last = ids
-        found = {}
+    def hits(self, ids: np.ndarray) -> dict[tuple[int, int], set[int]]:
+        """Hit positions in the document by (item, offset of the item in the document)."""
+        found: dict[tuple[int, int], set[int]] = {}
         for mask, table, places in self.tables:
             s = seeds(ids, mask)
             if not len(s) or not len(table):
@@ -91,19 +95,56 @@ class Block:
             for p, i in zip(known[ok := table[at] == s[known]], at[ok], strict=True):
                 while i < len(table) and table[i] == s[p]:
                     item, k = places[i]
-                    found.setdefault((int(item), int(p - k)), int(p))
+                    found.setdefault((int(item), int(p - k)), set()).add(int(p))
                     i += 1
-        return {(item, offset, p) for (item, offset), p in found.items()}
+        return found
 
-    def overlaps(self, data: bytes, min_share: float, min_matches: int, penalty: float) -> list[tuple[int, int, int, int]]:
-        """(item id, first token, end, matches) of each item that overlaps enough; the best diagonal of each."""
-        best: dict[int, tuple[int, int, int]] = {}
-        for item, offset, p in self.hits(data):
-            own, ids = self.ids[item], self.last
+    def stretches(self, ids: np.ndarray, penalty: float) -> dict[int, list[tuple[int, int, int, int]]]:
+        """For each item, (offset, begin, end, matches) of the stretches around its hits, by offset and place."""
+        found: dict[int, list[tuple[int, int, int, int]]] = {}
+        for (item, offset), places in sorted((x, sorted(y)) for x, y in self.hits(ids).items()):
+            own, done = self.ids[item], -1
             a, b = max(0, offset), min(len(ids), offset + len(own))
-            begin, end, matches = grown(ids[a:b] == own[a - offset : b - offset], p - a, penalty)
-            if matches >= min(min_matches, len(own)) and matches >= min_share * len(own):
-                best[item] = max(best.get(item, (0, 0, 0)), (matches, -(a + begin), a + end))
+            same = ids[a:b] == own[a - offset : b - offset]
+            for p in places:
+                if p >= done:  # others lie in a stretch that is known
+                    begin, end, matches = grown(same, p - a, penalty)
+                    done = a + end
+                    found.setdefault(item, []).append((offset, a + begin, a + end, matches))
+        return found
+
+    def together(self, ids: np.ndarray, item: int, parts: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
+        """(matches, begin, end) of the parts on neighbouring diagonals; a token of the item counts once."""
+        own, group = self.ids[item], []
+        for part in [*parts, None]:
+            if group and (part is None or part[0] - group[-1][0] > max(8, len(own) // 4)):
+                if len(group) > 1:
+                    seen = np.zeros(len(own), bool)
+                    for offset, begin, end, _ in group:
+                        seen[begin - offset : end - offset] |= ids[begin:end] == own[begin - offset : end - offset]
+                    yield int(seen.sum()), min(x[1] for x in group), max(x[2] for x in group)
+                group = []
+            group.append(part)
+
+    def overlaps(self, data: bytes, min_share: float, min_matches: int, penalty: float, stretch: int) -> list[tuple[int, int, int, int]]:
+        """(item id, first token, end, matches) of each item that overlaps enough: its best stretch, or else its best
+        group of stretches."""
+        get = self.vocabulary.get
+        ids = np.fromiter((get(w, 0) for w in tokens(data)), np.int64)
+        best: dict[int, tuple[int, int, int]] = {}
+        for item, parts in self.stretches(ids, penalty).items():
+            size = len(self.ids[item])
+            much = lambda m: m >= min(min_matches, size) and m >= min_share * size  # noqa: B023, E731
+            enough = [(m, -begin, end) for _, begin, end, m in parts if much(m) or m >= min(stretch, size)]
+            if enough := enough or [(m, -begin, end) for m, begin, end in self.together(ids, item, parts) if much(m)]:
+                best[item] = max(enough)
+        for size, table, items in self.short:
+            s = seeds(ids, tuple(range(size)))
+            at = np.minimum(np.searchsorted(table, s), len(table) - 1)
+            places = np.flatnonzero(table[at] == s)
+            for k, first in zip(*np.unique(at[places], return_index=True), strict=True):
+                p = int(places[first])
+                best |= {i: (size, -p, p + size) for i in items[k] if np.array_equal(ids[p : p + size], self.ids[i])}
         return [(self.names[i], -b, e, m) for i, (m, b, e) in sorted(best.items())]
 
 
@@ -132,12 +173,15 @@ def overlaps(
     item_id: str = "item_id",
     item_text: str = "text",
     keep: str | None = None,
+    stretch: int = 13,
 ) -> DataFrame:
     """(doc_id, item_id, first_token, end_token, matches): every benchmark item that a document overlaps.
 
-    An item counts as overlapped if the stretch around some seed hit matches at least `min_share` of its tokens and
-    at least `min_matches` of them (all, if the item is shorter); `penalty` tolerates one substitution for that many matches.
-    Items of fewer tokens than the shortest window (6) can't be hit.
+    An item counts as overlapped if the stretch around some seed hit matches `stretch` of its tokens or more (all, if
+    the item is shorter), however long the item; or if a stretch, or stretches together whose diagonals lie side by
+    side, match at least `min_share` of its tokens and at least `min_matches` of them (all, if the item is shorter).
+    `penalty` tolerates one substitution for that many matches. Items of fewer tokens than the shortest window (6) count where
+    they stand whole; of these the first place is told.
 
     Null and empty texts, of documents and items, overlap nothing; rows with null or equal ids are looked at each;
     repeated rows give repeated results; other columns are ignored; an empty table on either side gives an empty
@@ -154,7 +198,7 @@ def overlaps(
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = Block(shared.value)
             for b in batches:
-                rows = [(i, *x) for i, data in enumerate(utf8(b.column("__text"))) for x in block.overlaps(data, min_share, min_matches, penalty)]
+                rows = [(i, *x) for i, data in enumerate(utf8(b.column("__text"))) for x in block.overlaps(data, min_share, min_matches, penalty, stretch)]
                 if rows:
                     at, item, first, end, matches = zip(*rows, strict=True)
                     columns = [b.column(named).take(pa.array(at)), *(longs(x) for x in (item, first, end, matches))]

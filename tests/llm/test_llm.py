@@ -416,3 +416,19 @@ def test_near_dedup_verifies_on_the_sets(spark, monkeypatch):
     monkeypatch.undo()
     kept = {r.doc_id for r in near_dedup.near_dedup(df).collect()}
     assert kept >= set(want) and len(kept) <= len(want) + 4
+
+
+def test_decontamination_finds_passages_of_long_items_and_short_items(spark):
+    rnd = random.Random(12)
+    noise = lambda n: ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    middle, long, thirds, edited, few = noise(59), noise(200), noise(30), noise(60), noise(3)
+    apart = lambda words: [*words[:10], *noise(2), *words[10:20], *noise(2), *words[20:]]
+    texts = {
+        1: noise(30) + middle[10:39] + noise(30), 2: long[50:149], 3: noise(9) + apart(thirds) + noise(9), 4: noise(7) + edited[:8] + noise(30) + edited[38:] + noise(5),
+        5: noise(20) + few + noise(20), 6: noise(20) + few[:2] + noise(20), 7: noise(10) + middle[10:18] + noise(9), 8: noise(5) + long[3:15] + noise(5), 9: few,
+    }
+    items = {1: middle, 2: long, 3: thirds, 4: edited, 5: few}
+    df = table(spark, [*map(" ".join, texts.values())], [*texts])
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.first_token, r.end_token, r.matches) for r in decontamination.overlaps(df, bench).collect()}
+    assert got == {(1, 1): (30, 59, 29), (2, 2): (0, 99, 99), (3, 3): (9, 43, 30), (4, 4): (45, 67, 22), (5, 5): (20, 23, 3), (9, 5): (0, 3, 3)}
