@@ -38,6 +38,11 @@ def letters(text: bytes) -> bytes:
     return b" ".join(text.decode("utf-8", "replace").lower().encode().translate(None, b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~").split())
 
 
+def primary(code: Column) -> Column:
+    """The language of a code: its first part, lower-cased."""
+    return F.lower(F.substring_index(F.substring_index(code.cast("string"), "-", 1), "_", 1))
+
+
 @dataclass(frozen=True)
 class Model:
     """logp: one row per language over the buckets; floor: of text in no language, all buckets alike."""
@@ -58,14 +63,23 @@ class Model:
         return (total + n * np.log(BUCKETS)).tolist(), n
 
 
-def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int = 5, seed: int = 1) -> Model:
-    """Fit on about `sample` labelled rows, chosen by a hash of the row, so that copies of one text don't come all
-    together; languages of fewer than `min_docs` of them are left out (unless all are). What reaches the driver is a row per language and bucket."""
+def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int = 5, seed: int = 1, least: int = 500) -> Model:
+    """Fit on about `sample` labelled rows, but of each language about `least` (all, if it has no more), chosen by a hash of
+    the row, so that copies of one text don't come all together. Languages of fewer than `min_docs` labelled rows in the whole
+    table are left out (unless all are). What reaches the driver is a row per language and bucket, and a count per language."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    total = known.count()
+    labelled = {r["l"]: r["n"] for r in known.groupBy(primary(F.col(lang)).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, enough = sum(labelled.values()), min(min_docs, max(labelled.values(), default=0))
+    known = known.where(primary(F.col(lang)).isin([x for x, n in labelled.items() if n >= enough]))
     if total > sample:
         whole = [F.col(f.name) for f in known.schema if f.dataType.simpleString() in ("string", "bigint", "int", "double", "date", "timestamp")]
-        known = known.where(F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(1 << 40)) < int((1 << 40) * sample / total))
+        at, share = F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(1 << 40)), sample / total
+        limit = F.lit(int((1 << 40) * share))
+        # of small languages, whose copies would else decide whether any row is chosen, all rows
+        for label in (x for x, n in labelled.items() if n * share < least):
+            own = 1.0 if labelled[label] <= 2 * least else least / labelled[label]
+            limit = F.when(primary(F.col(lang)) == label, F.lit(int((1 << 40) * max(own, share)))).otherwise(limit)
+        known = known.where(at < limit)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
@@ -79,10 +93,10 @@ def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int
             seen = np.flatnonzero(own)
             yield batch(lang=pa.array([label] * (len(seen) + 1), pa.string()), bucket=longs([-1, *seen]), n=longs([docs_of[label], *own[seen]]))
 
-    rows = known.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).mapInArrow(counts, "lang string, bucket long, n long")
+    rows = known.select(F.col(text).alias("text"), primary(F.col(lang)).alias("lang")).mapInArrow(counts, "lang string, bucket long, n long")
     table = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     size = table[table["bucket"] == -1].set_index("lang")["n"].to_dict()
-    names = sorted(x for x in size if size[x] >= min(min_docs, max(size.values())))
+    names = sorted(size)
     logp = np.zeros((len(names), BUCKETS), np.float32)
     for i, name in enumerate(names):
         own = table[(table["lang"] == name) & (table["bucket"] >= 0)]
@@ -144,6 +158,11 @@ def identify(
     least `min_posterior` and the text, where it has 50 trigrams or more, is by at least `min_gain` nats a trigram likelier
     in it than letters at random.
 
+    A declared language (a code of two or three letters) that the model lacks is contradicted by a text that is by
+    `min_gain` likelier in a language of the model, where that has `min_posterior`, and by a suffix that stands for another
+    language of the model. If nothing contradicts it, it is the row's language, with the chance that declared languages
+    are right for posterior, and the row is accepted if its text has letters.
+
     Empty and null texts give no text evidence: the other evidence decides, and such rows are not accepted. Null
     evidence counts for nothing; null hosts share a prior. Rows and extra columns pass unchanged; columns of the
     input with the names of the four results are replaced. An empty table gives an empty one.
@@ -151,9 +170,8 @@ def identify(
     names, n = model.languages, len(model.languages)
     out = [c for c in docs.columns if c not in ("language", "posterior", "text_language", "accepted")]
     none = F.lit(None).cast("string")
-    first = lambda c: F.lower(F.substring_index(F.substring_index(c.cast("string"), "-", 1), "_", 1))
     ready = docs.select(
-        *out, (none if declared is None else first(declared)).alias("__declared"), (none if suffix is None else first(suffix)).alias("__sfx"),
+        *out, (none if declared is None else primary(declared)).alias("__declared"), (none if suffix is None else primary(suffix)).alias("__sfx"),
         (none if host is None else host.cast("string")).alias("__h"),
     )
     if not n:
@@ -182,10 +200,15 @@ def identify(
     at = F.array_position("__log", F.col("__top")).cast("int")
     scored = scored.withColumn("language", F.element_at(known, at)).withColumn("posterior", 1.0 / F.col("__sum"))
     scored = scored.withColumn("text_language", F.when(F.col("__n") > 0, F.element_at(known, best + 1)))
-    gain = F.element_at("__ll", at) / F.col("__n")
+    gain = F.element_at("__ll", at) / F.greatest("__n", F.lit(1))
     fits = (F.col("__n") > 0) & ((F.col("__n") < 50) | (gain >= min_gain))
     accepted = F.when(fits, F.col("posterior") >= min_posterior).otherwise(False)
-    return scored.select(*out, "language", "posterior", "text_language", accepted.alias("accepted"))
+    code, contrary = F.col("__declared"), (gain >= min_gain) & (F.col("posterior") >= min_posterior) | F.coalesce(F.array_contains(known, F.col("__sfx")), F.lit(False))
+    alone = F.coalesce(code.rlike("^[a-z]{2,3}$") & ~F.array_contains(known, code) & (F.col("__n") > 0) & ~contrary, F.lit(False))
+    return scored.select(
+        *out, F.when(alone, code).otherwise(F.col("language")).alias("language"), F.when(alone, F.lit(DECLARED_RIGHT)).otherwise(F.col("posterior")).alias("posterior"),
+        "text_language", (alone | accepted).alias("accepted"),
+    )
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:

@@ -432,3 +432,17 @@ def test_decontamination_finds_passages_of_long_items_and_short_items(spark):
     bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.first_token, r.end_token, r.matches) for r in decontamination.overlaps(df, bench).collect()}
     assert got == {(1, 1): (30, 59, 29), (2, 2): (0, 99, 99), (3, 3): (9, 43, 30), (4, 4): (45, 67, 22), (5, 5): (20, 23, 3), (9, 5): (0, 3, 3)}
+
+
+def test_language_id_of_rare_languages(spark, docs):
+    """A language of few rows among many is in the model; documents in one that isn't keep what they declare."""
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem"
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах, они наделены разумом и совестью"
+    rare = table(spark, [f"{polish} {i}" for i in range(6)] + [russian, russian + " опять", "short Это"], range(-9, 0), ["rare"] * 9, ["pl-PL"] * 6 + ["ru"] * 3)
+    shared = docs.select("doc_id", "text", "source", "lang")
+    df = shared.unionAll(rare.select(*shared.columns)).unionAll(shared.where("lang = 'en'").limit(1).withColumns({"doc_id": F.lit(-20).cast("long"), "lang": F.lit("ru")}))
+    model = language.fit(df, "text", "lang", sample=20)
+    assert set(model.languages) >= {"pl", *(r.lang for r in docs.select("lang").distinct().collect() if r.lang)} and "ru" not in model.languages
+    got = {r.doc_id: (r.language, r.accepted) for r in language.identify(df, model, declared=F.col("lang"), host=F.col("source")).where("doc_id < 0").collect()}
+    assert {got[i] for i in range(-9, -3)} == {("pl", True)} and got[-3] == got[-2] == ("ru", True)
+    assert got[-20] == ("en", True)
