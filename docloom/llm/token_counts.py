@@ -23,7 +23,7 @@ from docloom.llm.common import longs, map_batches, read, utf8
 KEPT_WORDS = 1_000_000
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: itself where printable, else from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -44,7 +44,7 @@ class PairMerger:
         for rank, (a, b) in enumerate(pairs):
             joined = (a[:-suffix] if suffix and a.endswith(end) else a) + b
             self.ranks[vocab[a], vocab[b]] = (rank, vocab[joined])
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = [vocab[letters[b]] for b in range(256)]
         self.last = [vocab[letters[b] + end] for b in range(256)]
         steps = spec["pre_tokenizer"]["pretokenizers"]

@@ -10,13 +10,16 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,101 +27,168 @@ from pyspark.sql import functions as F
 from docloom.checkpoints import materialise, shared_dir
 from docloom.llm.common import batch, longs, map_batches, read, utf8
 from docloom.llm.rans import Coder, Table, scaled
+from docloom.llm.token_counts import byte_letters
 
 #: Ids of a block, about; a longer document makes a longer block.
 BLOCK_TOKENS = 1 << 20
-#: Words whose ids a worker keeps, about: when half as many are new since the last time, the older ones go. Bounds
-#: memory, not results.
-KEPT_WORDS = 700_000
+#: Words whose ids a worker keeps, about; then it begins anew. Bounds memory, not results.
+KEPT_WORDS = 600_000
 
 BLOCKS = "part int, block int, before long, doc_ids array<long>, n_tokens array<long>, payload binary, crc32 long"
 
 
-#: A word and the ASCII punctuation after it, without apostrophes: two pieces to the tokenizer.
-_ENDED = re.compile(rb"([A-Za-z0-9\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+#: ASCII punctuation without the apostrophe, which begins endings of English words.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: Words of small Latin letters that lower-casing and composing leave as they are.
+_SMALL = re.compile(f"[{''.join(c for c in map(chr, range(97, 0x250)) if c.isalpha() and c == c.lower() == unicodedata.normalize('NFC', c))}]+")
+#: Letters of one text to the library, and bytes of texts worked on at once: longer texts are cut at blanks.
+_TOGETHER, _AT_ONCE = 2048, 8 << 20
 
 
-def _gaps(xs: list) -> list[int]:
-    """Places of None."""
-    found, i = [], -1
-    try:
-        while True:
-            i = xs.index(None, i + 1)
-            found.append(i)
-    except ValueError:
-        return found
+def _gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of `ids` one after the other, and where each ends."""
+    ends = np.cumsum(size)
+    places = np.repeat(start - ends + size, size)
+    places += np.arange(len(places))
+    return ids[places], ends
 
 
-class WordIds(dict):
-    """The ids (packed, unsigned 32-bit) of each word seen so far; new words go to the tokenizers library in batches.
+class WordIds:
+    """The ids of texts, by those of their words: words that this worker hasn't seen go to the tokenizers library.
 
     Right for tokenizers that lower-case, drop white space and have no piece that reaches over ASCII white space, or
-    from a letter to punctuation: word_bpe_49k.json.
+    from a letter or digit to punctuation: word_bpe_49k.json.
     """
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.older: dict[bytes, bytes] = {}
+    def __init__(self, path: str, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-
-    def learn(self, new: set[bytes]) -> None:
-        """Get the ids of words that aren't here: from the older words, else from the library."""
-        if len(self) > KEPT_WORDS // 2:
-            self.older = dict(self)
-            self.clear()
-        older = self.older
-        unknown = []
-        for w in new:
-            if (x := older.get(w)) is None:
-                unknown.append(w)
-            else:
-                self[w] = x
-        split = {w: m.groups() for w in unknown if (m := _ENDED.fullmatch(w)) and m[1].decode("utf-8", "replace").isalnum()}
-        parts = set(unknown).difference(split).union(*split.values())
-        plain = [w for w in parts if w not in self and w not in older]
-        got = {w: older[w] for w in parts if w in older}
-        for i in range(0, len(plain), 4096):
-            some = plain[i : i + 4096]
-            found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            got.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
-        self.update(got)
-        self.update((w, self[a] + self[b]) for w, (a, b) in split.items())
-
-    def all_of(self, texts: list[bytes]) -> list[bytes]:
-        # A-Z are lowered at once, unless a special string, which knows case, could be in the text.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        found = [list(map(self.get, w)) for w in words]
-        gaps = [(ws, xs, i) for ws, xs in zip(words, found, strict=True) for i in _gaps(xs)]
-        if gaps:
-            self.learn({ws[i] for ws, _, i in gaps})
-            for ws, xs, i in gaps:
-                xs[i] = x if (x := self.get(ws[i])) is not None else self.older[ws[i]]
-        return [b"".join(x) for x in found]
+        # Small letters are as the normalizer leaves them and one piece: the model alone is enough, on letters that stand for bytes.
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = byte_letters() | {32: " "}
+        vocabulary = self.library.get_vocab()
+        suffix, top = self.library.model.end_of_word_suffix, max(vocabulary.values())
+        self.last = np.zeros(top + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.width = 4 if max(end_id, top) >= 1 << 16 else 2
+        self.kind = f"<u{self.width}"
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.start, self.size, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, self.kind)
+        self.held = 0
+
+    def add(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        n, m = len(self.index), self.held
+        while n + len(words) > len(self.start):
+            self.start, self.size = np.concatenate([self.start, self.start]), np.concatenate([self.size, self.size])
+        while m + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, self.ids])
+        self.index.update(zip(words, range(n, n + len(words)), strict=True))
+        self.size[n : n + len(words)] = size
+        self.start[n : n + len(words)] = m + np.cumsum(size) - size
+        self.ids[m : m + len(ids)] = ids
+        self.held += len(ids)
+
+    def by_library(self, words: list[bytes]) -> None:
+        """Add words as the library has them: small letters many at a time, cut after the tokens that end a word."""
+        small = [bool(_SMALL.fullmatch(w.decode("utf-8", "replace"))) for w in words]
+        letters = [w for w, x in zip(words, small, strict=True) if x]
+        for i in range(0, len(letters), _TOGETHER):
+            some = letters[i : i + _TOGETHER]
+            ids = np.array(self.plain.encode_batch_fast([b" ".join(some).decode("latin-1").translate(self.letters)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary doesn't mark the ends of words")
+            self.add(some, ids, np.diff(ends, prepend=0))
+        others = [w for w, x in zip(words, small, strict=True) if not x]
+        for i in range(0, len(others), _TOGETHER):
+            some = others[i : i + _TOGETHER]
+            found = [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)]
+            self.add(some, np.concatenate(found), np.array([len(x) for x in found]))
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """The place of each of some distinct words; new ones are split off the punctuation after them."""
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        gaps = np.flatnonzero(at < 0)
+        if len(gaps):
+            new = [words[i] for i in gaps]
+            split = [(w, x, w[len(x) :]) for w, x in zip(new, map(bytes.rstrip, new, repeat(_MARKS))) if w != x and x and (x[-1:].isalnum() or _SMALL.fullmatch(x.decode("utf-8", "replace")))]
+            parts = set(new).difference(w for w, _, _ in split).union(x for _, *pair in split for x in pair)
+            self.by_library([x for x in parts if x not in self.index])
+            split = [x for x in split if x[0] not in self.index]
+            pairs = np.array([(self.index[x], self.index[y]) for _, x, y in split], np.int64).reshape(-1, 2)
+            ids, _ = _gathered(self.ids, self.start[pairs].ravel(), self.size[pairs].ravel())
+            self.add([w for w, _, _ in split], ids, self.size[pairs].sum(1))
+            at[gaps] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
+        return at
+
+    def of_some(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.index) > KEPT_WORDS:
+            self.forget()
+        # the buffer is read as a string column: split and told apart at ASCII bytes, whatever the others are
+        column = pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string()))
+        lists = pc.ascii_split_whitespace(column)
+        words = lists.flatten().dictionary_encode()
+        place = self.places(words.dictionary.view(pa.binary()).to_pylist())[words.indices.to_numpy()]
+        ids, ends = _gathered(self.ids, self.start[place], self.size[place])
+        data, cuts = ids.tobytes(), np.append(0, ends)[lists.offsets.to_numpy()] * self.width
+        return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def whole(self, text: bytes) -> bytes:
+        return np.array(self.library.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The packed ids of each text. A text with what may be a special string, which knows case, or with an accent
+        that only a small letter may take in, goes to the library as it is."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        owners: list[int] = []
+        some: list[bytes] = []
+        held = 0
+
+        def done() -> None:
+            for i, x in zip(owners, self.of_some(some), strict=True):
+                out[i].append(x)
+            owners.clear()
+            some.clear()
+
+        for i, text in enumerate(texts):
+            if b"<|" in text or b"\xcc" in text:
+                out[i].append(self.whole(text))
+                continue
+            at = 0
+            while at < len(text):
+                blank = _BLANK.search(text, at + _AT_ONCE) if len(text) - at > _AT_ONCE else None
+                end = blank.start() if blank else len(text)
+                owners.append(i)
+                some.append(text[at:end])
+                held, at = held + end - at, end
+                if held >= _AT_ONCE:
+                    done()
+                    held = 0
+        done()
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
 
 @lru_cache(maxsize=4)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, end_id: int) -> WordIds:
+    return WordIds(path, end_id)
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids as packed 16-bit integers or 32-bit ones, width, n_tokens), with `end_id` after each document."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        cache, texts = word_ids(path), utf8(b.column("text"))
-        wide = cache.library.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
-        end, packed = np.array([end_id], "<u4").tobytes(), []
-        for i in range(0, len(texts), 512):
-            packed += [x + end for x in cache.all_of(texts[i : i + 512])]
-        n = [len(x) // 4 for x in packed]
-        if not wide:
-            packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in packed]
-        return batch(
-            doc_id=b.column("doc_id"), ids=pa.array(packed, pa.binary()), width=pa.array([4 if wide else 2] * len(n), pa.int32()), n_tokens=longs(n)
-        )
+        cache = word_ids(path, end_id)
+        end = np.array([end_id], cache.kind).tobytes()
+        packed = [x + end for x in cache.of(utf8(b.column("text")))]
+        n = [len(x) // cache.width for x in packed]
+        return batch(doc_id=b.column("doc_id"), ids=pa.array(packed, pa.binary()), width=pa.array([cache.width] * len(n), pa.int32()), n_tokens=longs(n))
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return map_batches(source, each, "doc_id long, ids binary, width int, n_tokens long")
@@ -131,8 +201,9 @@ def frequency_table(tokens: DataFrame) -> Table:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for b in batches:
-            for ids, width in zip(b.column("ids"), b.column("width"), strict=True):
-                c = np.bincount(np.frombuffer(ids.as_buffer(), f"<u{width.as_py()}"))
+            for width in b.column("width").unique().to_pylist():
+                own = b.column("ids").filter(pc.equal(b.column("width"), width)).to_pylist()
+                c = np.bincount(np.frombuffer(b"".join(own), f"<u{width}"))
                 if len(c) > len(total):
                     total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
                 total[: len(c)] += c
