@@ -7,10 +7,10 @@ to the members less the distance to the base. Pairs whose coordinates are equal
 (more for more texts, so that as many pairs meet) are candidates, all others are discarded. From all bits and the numbers of shingles the similarity is estimated; pairs whose
 estimate isn't far below the limit are verified on the shingles of both texts.
 
-Texts that meet in a family form a run. All pairs of a short run are looked at. A long one is first searched by growing groups:
-a text is compared with those of the run that no group has yet, and the ones it reaches join its group. Each text sends one
-link, so thousands of copies of one text make thousands of links, not millions of pairs. Then texts propose partners in groups
-that verified links don't connect with their own, more in each round, until all such pairs have been verified.
+Texts that meet in a family form a run. It is first searched by growing groups: a text is compared with those of the run
+that no group has yet, and the ones it reaches join its group. Each text keeps its nearest such link, so thousands of copies of
+one text make thousands of links, not millions of pairs. Then, within runs whose texts verified links don't connect, the
+pairs of different groups are verified in place, each pair in the first family in which it meets.
 """
 
 from __future__ import annotations
@@ -32,15 +32,11 @@ from docloom.operators.graph import connected_components
 SHINGLE, SIMILARITY = 5, 0.8
 #: Allowance of the test of 512 bits for their noise (standard deviation 0.03 at 0.8); what passes is verified exactly.
 NOISE = 0.1
-#: Margin from which on an estimate makes a first link within a long run.
+#: Margin from which on an estimate makes a first link within a run.
 SURE = 0.04
-#: Partners in other groups that each text of a long run proposes in the first round; four times as many in each next.
-PROPOSED = 4
 HASHES, MEMBERS = 8, 16
 #: Bits of a family at least; each doubling of the texts beyond 2**16 adds one, so that chance meetings don't grow.
 FAMILY_BITS = 20
-#: Texts of a run up to which all its pairs are compared.
-SHORT_RUN = 12
 #: Share of pairs at the limit of similarity that meet in some family and pass the test of all bits, for any number of texts.
 RECALL = 0.92
 #: Families whose keys are made at once.
@@ -86,6 +82,14 @@ def _families(bits: int, families: int, seed: int = 11) -> tuple[np.ndarray, lis
     return base, found
 
 
+def family_masks(bits: int, families: int) -> np.ndarray:
+    """The bits that each family looks at, as words: two texts meet in it if they differ in none of them."""
+    masks = np.zeros((families, 64 * HASHES), np.uint8)
+    for mask, (chosen, _) in zip(masks, _families(bits, families)[1], strict=True):
+        mask[chosen] = 1
+    return np.packbits(masks, axis=1, bitorder="little").view("<u8")
+
+
 def shingle_hashes(text: bytes, k: int) -> np.ndarray:
     """Distinct hashes of the text's word shingles; of all its words, if they are fewer than `k`."""
     words = text.lower().split()
@@ -150,103 +154,127 @@ def similar(fps: np.ndarray, n: np.ndarray, fp: np.ndarray, size: np.ndarray | f
     return (shared >= least * (n + size - shared)) & (np.minimum(n, size) >= SIMILARITY * np.maximum(n, size))
 
 
-def run_links(ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Links that connect whatever is connected in a run, one at most for each text."""
-    left, found = np.arange(len(ids)), []
-    while len(left):
+def run_links(ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, int]]:
+    """(texts, the text that reached them): a run is searched by growing groups, so each text is reached once at most."""
+    left = np.arange(len(ids))
+    while len(left) > 1:
         group, left = [left[0]], left[1:]
         while group and len(left):
             x = group.pop()
             near = similar(fps[left], n[left], fps[x], n[x], least)
             if near.any():
                 reached = left[near]
-                found += [(int(ids[x]), int(ids[y])) for y in reached]
+                yield reached, x
                 group += reached.tolist()
                 left = left[~near]
-    return found
-
-
-def runs_links(bounds: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float, sure: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links within runs, which lie between the bounds one after the other. Short runs are compared pair by pair, all at
-    once; long ones by growing groups of texts whose estimate is `sure` or more."""
-    sizes, found = np.diff(bounds), []
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    short = sizes <= SHORT_RUN
-    for step in range(1, int(sizes[short].max(initial=0))):
-        at = np.flatnonzero((run[step:] == run[:-step]) & short[run[step:]])
-        at = at[similar(fps[at], n[at], fps[at + step], n[at + step], least)]
-        found.append((ids[at], ids[at + step]))
-    for r in np.flatnonzero(~short):
-        a, b = bounds[r], bounds[r + 1]
-        pairs = run_links(ids[a:b], fps[a:b], n[a:b], sure)
-        found.append((np.array([x for x, _ in pairs], np.int64), np.array([y for _, y in pairs], np.int64)))
-    return found
 
 
 def _fps(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, HASHES)
 
 
-def proposals(group: np.ndarray, ids: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """For each text of a run the `most` likeliest partners in other groups, and whether there are more."""
-    for x in range(len(ids)):
-        other = np.flatnonzero(group != group[x])
-        other = other[similar(fps[other], n[other], fps[x], n[x], least)]
-        if len(other):
-            near = np.argsort(np.bitwise_count(fps[other] ^ fps[x]).sum(1, dtype=np.int64), kind="stable")[:most]
-            yield np.full(len(near), ids[x]), ids[other[near]], len(other) > most
+def _whole_runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, int, list]]:
+    """(family, key, the columns' values) of each run, from rows sorted by family and key; fingerprints as words, sets as
+    lists of bytes."""
 
+    def values(b: pa.RecordBatch, c: str):
+        if c == "hashes":
+            return np.array(b.column(c).to_pylist(), object)
+        return _fps(b.column(c)) if c == "fp" else b.column(c).to_numpy()
 
-def _whole_runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Bounds of whole runs, and the columns' values (fingerprints as words), from rows sorted by family and key."""
     held = None
     for b in batches:
-        own = [_fps(b.column(c)) if c == "fp" else b.column(c).to_numpy() for c in ("family", "key", *columns)]
+        if not b.num_rows:
+            continue
+        own = [values(b, c) for c in ("family", "key", *columns)]
         rows = own if held is None else [np.concatenate(x) for x in zip(held, own, strict=True)]
         new = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
+        for i, j in zip([0, *new[:-1]], new, strict=False):
+            yield int(rows[0][i]), int(rows[1][i]), [x[i:j] for x in rows[2:]]
         last = int(new[-1]) if len(new) else 0  # the last run may go on in the next batch
-        if last:
-            yield np.append(0, new), [x[:last] for x in rows[2:]]
         held = [x[last:] for x in rows]
-    if held is not None and len(held[0]):
-        yield np.array([0, len(held[0])]), held[2:]
+    if held is not None:
+        yield int(held[0][0]), int(held[1][0]), held[2:]
+
 
+def _by_run(runs: DataFrame, *columns: str) -> DataFrame:
+    return runs.repartition("family", "key").sortWithinPartitions("family", "key", "id").select("family", "key", *columns)
 
-def _by_run(runs: DataFrame, distinct: DataFrame, *columns: str) -> DataFrame:
-    rows = runs.join(distinct.select("id", "fp", "n"), "id").withColumn("n", F.col("n").cast("double"))
-    return rows.repartition("family", "key").sortWithinPartitions("family", "key", "id").select("family", "key", *columns)
 
+def with_prints(runs: DataFrame, distinct: DataFrame) -> DataFrame:
+    return runs.join(distinct.select("id", "fp", F.col("n").cast("double").alias("n")), "id")
 
-def meetings(distinct: DataFrame) -> DataFrame:
-    """(family, key, id, met): texts that meet others, and how many share the run."""
-    return coordinates(distinct, *family_plan(distinct.count())).withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("family", "key"))).where("met > 1")
 
+def meetings(distinct: DataFrame, bits: int, families: int) -> DataFrame:
+    """(family, key, id): texts that meet others."""
+    met = F.count(F.lit(1)).over(Window.partitionBy("family", "key"))
+    return coordinates(distinct, bits, families).withColumn("met", met).where("met > 1").drop("met")
 
-def candidate_links(runs: DataFrame, distinct: DataFrame, least: float, sure: float) -> DataFrame:
-    """(a, b), a < b: all pairs of short runs that pass the test of all bits, and first links of long ones."""
+
+def first_links(runs: DataFrame, distinct: DataFrame, sure: float) -> DataFrame:
+    """(a, b), a < b: for each text, of those that reach it in some run by an estimate of `sure` or more, the nearest."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bounds, columns in _whole_runs(batches, "id", "fp", "n"):
-            links = runs_links(bounds, *columns, least, sure)
-            if sum(len(a) for a, _ in links):
-                a, b = (np.concatenate(x) for x in zip(*links, strict=True))
-                yield batch(a=longs(np.minimum(a, b)), b=longs(np.maximum(a, b)))
+        for _, _, (ids, fps, n) in _whole_runs(batches, "id", "fp", "n"):
+            for reached, x in run_links(ids, fps, n, sure):
+                apart = np.bitwise_count(fps[reached] ^ fps[x]).sum(1, dtype=np.int64)
+                yield batch(id=longs(ids[reached]), apart=longs(apart), other=longs(np.full(len(reached), ids[x])))
+
+    found = _by_run(with_prints(runs, distinct), "id", "fp", "n").mapInArrow(search, "id long, apart long, other long")
+    nearest = found.groupBy("id").agg(F.min(F.struct("apart", "other")).alias("x")).select("id", F.col("x.other").alias("other"))
+    return nearest.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
 
-    return _by_run(runs, distinct, "id", "fp", "n").mapInArrow(search, "a long, b long").distinct()
+def _open_pairs(family: int, root: np.ndarray, fps: np.ndarray, n: np.ndarray, least: float, earlier: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(text, partners): pairs of different roots that pass the test of all bits and met in no earlier family."""
+    for x in range(len(root) - 1):
+        other = x + 1 + np.flatnonzero(root[x + 1 :] != root[x])
+        other = other[similar(fps[other], n[other], fps[x], n[x], least)]
+        for mask in earlier[:family]:
+            if not len(other):
+                break
+            other = other[((fps[other] ^ fps[x]) & mask).any(1)]
+        if len(other):
+            yield x, other
 
 
-def proposed_links(runs: DataFrame, distinct: DataFrame, least: float, most: int) -> DataFrame:
-    """(a, b, more), a < b: what texts of runs with several groups propose. `runs` has the column root."""
+def open_texts(rooted: DataFrame, bits: int, families: int, least: float) -> DataFrame:
+    """(family, key, id): the texts of a run that have a partner to be verified in it."""
+    masks = family_masks(bits, families)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bounds, columns in _whole_runs(batches, "root", "id", "fp", "n"):
-            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-                if links := list(proposals(*(x[i:j] for x in columns), least, most)):
-                    a, b = (np.concatenate([x[k] for x in links]) for k in (0, 1))
-                    yield batch(a=longs(np.minimum(a, b)), b=longs(np.maximum(a, b)), more=pa.array([any(x[2] for x in links)] * len(a)))
+        for family, key, (root, ids, fps, n) in _whole_runs(batches, "root", "id", "fp", "n"):
+            some = np.zeros(len(ids), bool)
+            if (root != root[0]).any():
+                for x, other in _open_pairs(family, root, fps, n, least, masks):
+                    some[x] = some[other] = True
+            if some.any():
+                yield batch(family=pa.array(np.full(some.sum(), family, np.int32)), key=longs(np.full(some.sum(), key)), id=longs(ids[some]))
 
-    found = _by_run(runs, distinct, "root", "id", "fp", "n").mapInArrow(search, "a long, b long, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+    return _by_run(rooted, "root", "id", "fp", "n").mapInArrow(search, "family int, key long, id long")
+
+
+def same_enough(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of hashes have a Jaccard similarity of `similarity` or more."""
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared + 1e-9 >= similarity * (len(x) + len(y) - shared)
+
+
+def open_links(rooted: DataFrame, bits: int, families: int, least: float, similarity: float) -> DataFrame:
+    """(a, b): links between roots, verified on the sets in `hashes`; of a run as many as connect what its pairs connect."""
+    masks = family_masks(bits, families)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for family, _, (root, ids, fps, n, sets) in _whole_runs(batches, "root", "id", "fp", "n", "hashes"):
+            sets = [np.frombuffer(x, np.uint64) for x in sets]
+            now = root.copy()
+            for x, other in _open_pairs(family, root, fps, n, least, masks):
+                for y in other:
+                    if now[x] != now[y] and same_enough(sets[x], sets[y], similarity):
+                        now[now == now[y]] = now[x]
+                        yield batch(a=longs([min(ids[x], ids[y])]), b=longs([max(ids[x], ids[y])]))
+
+    return _by_run(rooted, "root", "id", "fp", "n", "hashes").mapInArrow(search, "a long, b long")
 
 
 def shingle_sets(tagged: DataFrame, wanted: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
@@ -265,11 +293,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose sets have a Jaccard similarity of `similarity` or more."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        passed = []
-        for x, y in zip(b.column("x"), b.column("y"), strict=True):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            passed.append(shared + 1e-9 >= similarity * (len(x) + len(y) - shared))
+        sides = ([np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(c)] for c in ("x", "y"))
+        passed = [same_enough(x, y, similarity) for x, y in zip(*sides, strict=True)]
         return b.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
     x, y = (sets.select(F.col("id").alias(end), F.col("hashes").alias(name)) for end, name in (("a", "x"), ("b", "y")))
@@ -278,28 +303,26 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def near_links(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
     """(a, b): verified links between ids of different fingerprints. They connect whatever all pairs that meet, pass the
-    test of all bits and are verified connect."""
+    test of all bits and are verified connect.
+
+    First every text is verified against one other, the nearest that reaches it. Where texts of a run are still in different
+    groups, all pairs of different groups that pass the test of all bits are verified within the run, to which only the
+    texts of such pairs bring their shingles; a pair belongs to the first family in which it meets.
+    """
     least = similarity - NOISE
-    runs = materialise(meetings(distinct), "runs")
-    long = runs.where(F.col("met") > SHORT_RUN).select("family", "key", "id")
-    checked = materialise(candidate_links(runs, distinct, least, similarity + SURE), "candidates")
-    wanted = checked.select(F.col("a").alias("id")).unionAll(checked.select(F.col("b").alias("id"))).unionAll(long.select("id")).distinct()
-    sets = materialise(shingle_sets(tagged, distinct.join(wanted, "id", "left_semi"), doc_id, text, shingle), "shingles")
-    links, most = materialise(verified(checked, sets, similarity), "links"), PROPOSED
-    while not long.isEmpty():
-        linked = connected_components(links, "a", "b")
-        rooted = long.join(linked, F.col("id") == F.col("node"), "left").select("family", "key", "id", F.coalesce("component", "id").alias("root"))
-        several = rooted.groupBy("family", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("family", "key")
-        found = materialise(proposed_links(rooted.join(several, ["family", "key"], "left_semi"), distinct, least, most), "proposed")
-        more = found.agg(F.max("more")).first()[0]
-        if more is None:
-            break
-        new = materialise(found.select("a", "b").join(checked, ["a", "b"], "left_anti"), "candidates")
-        links = links.unionAll(materialise(verified(new, sets, similarity), "links"))
-        if not more:
-            break
-        checked, most = checked.unionAll(new), 4 * most
-    return links
+    bits, families = family_plan(distinct.count())
+    runs = materialise(meetings(distinct, bits, families), "runs")
+    first = materialise(first_links(runs, distinct, similarity + SURE), "candidates")
+    ends = first.select(F.col("a").alias("id")).unionAll(first.select(F.col("b").alias("id"))).distinct()
+    sets = materialise(shingle_sets(tagged, distinct.join(ends, "id", "left_semi"), doc_id, text, shingle), "shingles")
+    links = materialise(verified(first, sets, similarity), "links")
+    linked = connected_components(links, "a", "b")
+    rooted = with_prints(runs, distinct).join(linked, F.col("id") == F.col("node"), "left").select("family", "key", "id", "fp", "n", F.coalesce("component", "id").alias("root"))
+    left = materialise(open_texts(rooted, bits, families, least), "open")
+    more = left.select("id").distinct().join(sets, "id", "left_anti")
+    sets = sets.unionAll(materialise(shingle_sets(tagged, distinct.join(more, "id", "left_semi"), doc_id, text, shingle), "shingles"))
+    held = left.join(rooted, ["family", "key", "id"]).join(sets, "id")
+    return links.unionAll(materialise(open_links(held, bits, families, least, similarity), "links"))
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
