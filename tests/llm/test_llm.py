@@ -18,7 +18,7 @@ from docloom.llm import decontamination, language, lines, mixing, near_dedup, qu
 from docloom.llm import language_model as lm
 from docloom.llm.html_text import extract_text, main_text
 from docloom.llm.language_model import held_out, log_stirling, score_documents
-from docloom.llm.token_counts import count_tokens
+from docloom.llm.token_counts import count_tokens, word_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
@@ -446,3 +446,62 @@ def test_language_id_of_rare_languages(spark, docs):
     got = {r.doc_id: (r.language, r.accepted) for r in language.identify(df, model, declared=F.col("lang"), host=F.col("source")).where("doc_id < 0").collect()}
     assert {got[i] for i in range(-9, -3)} == {("pl", True)} and got[-3] == got[-2] == ("ru", True)
     assert got[-20] == ("en", True)
+
+
+def test_token_ids_and_counts_of_odd_letters_equal_the_library(library, monkeypatch):
+    """Random texts of letters with case, accents, punctuation, blanks and special strings; also with little memory."""
+    rnd = random.Random(5)
+    letters = [*"abcXYZ sS'tTrvemld019İıßÉéßΣσςǅŉ中文かなقदि.,;:!?\"()[]{}-_*&^%$#@~`/\\|<>+=\n\t\r\x0b\x0c\x1c\x85\x00", *("́", "̇", "̈", "‍", " ", " ")]
+    letters += ["<|endoftext|>", "<|startoftext|>", "<|", "ﬁ", "K", "Å", "\U0001f600", "ᾼ", "𝐀", "Ⅷ", "²", "word", "Niño,", "ESKİ."]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(40))).encode() for _ in range(4000)]
+    want = [library.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    got = token_ids.WordIds(PATH, 2)
+    assert [np.frombuffer(x, got.kind).tolist() for x in got.of(texts)] == want
+    counts = word_counts(PATH)
+    assert [counts.of(t) for t in texts] == list(map(len, want))
+    monkeypatch.setattr(token_ids, "KEPT_WORDS", 100)
+    monkeypatch.setattr(token_ids, "_AT_ONCE", 1000)
+    long = b" ".join(texts[:300])
+    assert np.frombuffer(got.of([b"", long])[1], got.kind).tolist() == library.encode(long.decode(), add_special_tokens=False).ids
+    assert [np.frombuffer(x, got.kind).tolist() for x in got.of(texts)] == want
+
+
+def brute_overlap(own, item, stretch, penalty):
+    """Whether some diagonal has a stretch that matches enough tokens, substitutions counted against it."""
+    for offset in range(-len(item) + 1, len(own)):
+        a, b = max(0, offset), min(len(own), offset + len(item))
+        best = score = matches = 0
+        for i in range(a, b):
+            same = own[i] == item[i - offset]
+            score, matches = (score + 1, matches + 1) if same else (score - penalty, matches)
+            if score <= 0:
+                score = matches = 0
+            best = max(best, matches if same else 0)
+        if best >= stretch:
+            return True
+    return False
+
+
+@pytest.mark.parametrize("share,least", [(0.1, 0.99), (0.2, 0.95), (0.25, 0.9)])
+def test_decontamination_recall_against_all_diagonals(share, least):
+    rnd = random.Random(int(100 * share))
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(40)]
+    block = decontamination.Block([(1, " ".join(item).encode())])
+    found = hit = 0
+    for _ in range(200):
+        own = [word() for _ in range(30)] + [word() if rnd.random() < share else w for w in item] + [word() for _ in range(30)]
+        if brute_overlap(own, item, 13, 2.0):
+            found += 1
+            hit += bool(block.overlaps(" ".join(own).encode(), 0.5, 10, 2.0, 13))
+    assert found > 50 and hit >= least * found
+
+
+def test_decontamination_takes_the_best_of_all_hits():
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(100)]
+    own = item[:6] + [word() for _ in range(40)] + item[46:]
+    block = decontamination.Block([(1, " ".join(item).encode()), (2, b"same " * 200)])
+    assert block.overlaps(" ".join(own).encode(), 0.5, 10, 2.0, 13) == [(1, 46, 100, 54)]
+    assert block.overlaps(b"same " * 20_000, 0.5, 10, 2.0, 13)[0][3] == 200
