@@ -15,8 +15,11 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where that is unset (tests, local mode)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder in spark.checkpoint.dir; a temporary one where that is unset in local mode. On a cluster it must be set."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (at or _own_dir()).rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

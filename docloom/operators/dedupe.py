@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,6 +85,7 @@ def canonical_deck_ids(members: DataFrame, key: str = "container_id") -> DataFra
 
 def global_deck_ids(cards: DataFrame) -> DataFrame:
     """WIN-8: cards (ord, deck_key, face_url, back_url, card_id) with `new_key` and `new_card_id`, in `ord` over all documents.
+    A card whose key stays keeps its card id as it is.
 
     The first fingerprint of a key owns it; another takes the next integer that is free or its own. Rows are reduced to
     distinct (key, fingerprint) with their first place. A run of keys stands for itself once the fingerprints of all
@@ -98,18 +101,33 @@ def global_deck_ids(cards: DataFrame) -> DataFrame:
     starts = load.withColumn("low", F.min("b").over(up_to)).withColumn("run", F.sum((F.col("b") == F.col("low")).cast("int")).over(up_to)).select("id", "run")
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        owner: dict[int, str] = {}
+        free: dict[int, int] = {}  # a taken key's next one, or a later one up to which all are taken
+        keys: dict[str, list[int]] = {}  # those of each fingerprint, ascending
         out = []
+
+        def first_free(k: int) -> int:
+            seen = []
+            while (after := free.get(k)) is not None:
+                seen.append(k)
+                k = after
+            free.update((x, k) for x in seen)
+            return k
+
         for i, p in pdf.sort_values(["first", "id", "print"])[["id", "print"]].itertuples(index=False):
-            k = i
-            while owner.setdefault(k, p) != p:
-                k += 1
+            k, own = first_free(i), keys.setdefault(p, [])
+            at = bisect_left(own, i)
+            if at < len(own) and own[at] < k:
+                k = own[at]
+            else:
+                insort(own, k)
+                free[k] = k + 1
             out.append((i, p, k))
         return pd.DataFrame(out, columns=["id", "print", "new_key"])
 
     table = firsts.join(starts, "id").groupBy("run").applyInPandas(replay, "id long, print string, new_key long")
     joined = rows.join(table, ["id", "print"])
-    return joined.select("ord", "deck_key", "new_key", numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100))).alias("new_card_id"))
+    moved = numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100)))
+    return joined.select("ord", "deck_key", "new_key", F.when(F.col("new_key") == F.col("id"), F.col("card_id").cast("bigint")).otherwise(moved).alias("new_card_id"))
 
 
 def rank_ids(ids: DataFrame, key: str = "id") -> DataFrame:

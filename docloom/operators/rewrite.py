@@ -4,39 +4,20 @@ a table with the columns it names."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.functions import json, numbers, paths
+from docloom.functions import json, numbers, paths, trees
 from docloom.operators.lookup import resolve
 
 
-def drop_keys(leaves: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """DOC-1: leaves whose path has none of the keys at any depth."""
-    return leaves.where(~F.arrays_overlap("path", F.array(*map(F.lit, keys)))) if keys else leaves
-
-
-def rebuild_documents(leaves: DataFrame, key: str) -> DataFrame:
-    """(key, content): JSON texts from leaves (key, path, value, kind), keys in alphabetical order.
-
-    Works from the deepest level up: the parts of each object or list are joined by one grouping per level, so what is
-    gathered is one container's own parts. Containers left without any part are gone.
-    """
-    quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
-    text = F.when(F.col("value").isNull() | (F.col("kind") == "VOID"), "null").when(F.col("kind") == "STRING", quoted("value")).otherwise(F.col("value"))
-    rows = materialise(leaves.select(key, "path", text.alias("text")), "parts")
-    depth = rows.agg(F.max(F.size("path"))).first()[0] or 0
-    for level in range(depth, 0, -1):
-        deep = rows.where(F.size("path") == level).withColumn("seg", F.try_element_at("path", F.lit(-1)))
-        part = F.struct(F.regexp_extract("seg", r"^\[(\d+)\]$", 1).try_cast("int").alias("i"), F.col("seg"), quoted("seg").alias("name"), F.col("text"))
-        whole = deep.groupBy(key, F.slice("path", 1, level - 1).alias("path")).agg(F.array_sort(F.collect_list(part)).alias("m"))
-        listed = F.concat(F.lit("["), F.array_join(F.transform("m", lambda x: x["text"]), ","), F.lit("]"))
-        named = F.concat(F.lit("{"), F.array_join(F.transform("m", lambda x: F.concat(x["name"], F.lit(":"), x["text"])), ","), F.lit("}"))
-        built = whole.select(key, "path", F.when(F.col("m")[0]["i"].isNotNull(), listed).otherwise(named).alias("text"))
-        rows = materialise(rows.where(F.size("path") < level).unionAll(built), "parts")
-    return rows.select(key, F.col("text").alias("content"))
+def drop_keys(text: Column, keys: Sequence[str]) -> Column:
+    """DOC-1: the document without these keys at any depth; emptied containers stay. Null if it doesn't parse."""
+    gone = frozenset(keys)
+    return trees.rewritten(text, lambda x: trees.without_keys(x, gone))["content"]
 
 
 def keep_metadata_keys(notes: Column, keep: Sequence[str], guid: str = "TtsZoopGuid") -> Column:
@@ -60,34 +41,17 @@ def sort_keys_by_priority(keys: Column, first: Sequence[str]) -> Column:
     return F.transform(F.array_sort(entry), lambda e: e["key"])
 
 
-def round_state(leaves: DataFrame) -> DataFrame:
-    """DOC-5: numbers below a key `rot` go to the nearest 15 modulo 360, other fractions to 4 places, whole ones
-    become integers. A list's elements count as its key; the key is the last path segment that isn't a position."""
-    key = F.try_element_at(F.filter("path", lambda p: ~p.rlike(r"^\[\d+\]$")), F.lit(-1))
-    number = F.col("value").try_cast("double")
-    numeric = F.col("kind").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    fraction = numeric & (F.col("kind") != "BIGINT")
-    new = F.when(numeric & (key == "rot"), numbers.round_to_step(number, 15.0)).when(fraction, F.bround(number, 4))
-    shown = F.when(new == F.floor(new), new.cast("bigint").cast("string")).otherwise(new.cast("string"))
-    return leaves.withColumn("value", F.coalesce(shown, F.col("value")))
-
+def round_state(text: Column) -> Column:
+    """DOC-5: the document with numbers that are members of an object under `rot` at the nearest 15 modulo 360, members under
+    `pos` and all other fractions at 4 places, whole ones as integers. The direct key alone counts, which a list hands to
+    its objects. Null if it doesn't parse."""
+    return trees.rewritten(text, trees.rounded)["content"]
 
-def normal_value(value: Column, kind: Column) -> Column:
-    """A leaf's value under equality that holds 0, 0.0 and false for the same, and 1 and true."""
-    number = F.when(kind == "BOOLEAN", F.when(value == "true", 1.0).otherwise(0.0)).when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), value.try_cast("double"))
-    return F.coalesce(F.concat(F.lit("n"), number.cast("string")), F.concat(F.lit("s"), value), F.lit("null"))
 
-
-def prune_defaults(leaves: DataFrame, defaults: DataFrame, untouched: Sequence[str] = ("AttachedDecals",)) -> DataFrame:
-    """DOC-6: leaves without those that equal the default of their last key; what lies below an `untouched` key stays.
-
-    `defaults` is a table (key, value, kind).
-    """
-    own = F.try_element_at("path", F.lit(-1))
-    known = defaults.select(F.col("key").alias("__k"), normal_value(F.col("value"), F.col("kind")).alias("__v"))
-    safe = F.arrays_overlap("path", F.array(*map(F.lit, untouched))) if untouched else F.lit(False)
-    same = (F.coalesce(own, F.lit("")) == F.col("__k")) & (normal_value(F.col("value"), F.col("kind")) == F.col("__v")) & ~safe
-    return leaves.join(known, same, "left_anti")
+def prune_defaults(text: Column, inside: Column, rules: trees.Defaults) -> Column:
+    """DOC-6, with 6a to 6d, 7, 8 and 9: struct (content, changed) of the document without what equals the defaults;
+    `inside` says whether it lies in another object. Null if it doesn't parse."""
+    return trees.rewritten(text, lambda x, nested: trees.minimal(x, bool(nested), rules), inside)
 
 
 def is_default_colour(r: Column, g: Column, b: Column, a: Column, base: tuple[float, float, float], card: Column) -> Column:
@@ -209,24 +173,26 @@ def repair_metadata_path(base: str, path: Column) -> Column:
     return F.concat_ws("/", F.lit(base), F.when(folder != "", folder), F.concat(paths.stem(path), F.lit(".gmnotes")))
 
 
-def assign_guids(objects: DataFrame, key: str, guid: str, rounds: int = 8) -> DataFrame:
-    """DOC-19: (key, guid) for the rows without one: six hex digits of a hash, unlike all there are and each other.
+def assign_guids(objects: DataFrame, key: str, guid: str, digits: int = 6, rounds: int = 64) -> DataFrame:
+    """DOC-19: (key, guid) for the rows without one: hex digits of a hash, unlike all there are and each other.
 
-    A row whose digits clash takes the digits of the next salt; each round looks only at rows still open. Shuffles by
-    guid.
+    A row whose digits clash takes the digits of the next salt; each round is written down and looks only at rows still
+    open. Fails if rows are left open after `rounds` (the digits are too few for so many rows). Shuffles by guid.
     """
     taken = objects.where(F.col(guid).isNotNull() & (F.col(guid) != "")).select(F.col(guid).alias("guid")).distinct()
     open_ = objects.where(F.col(guid).isNull() | (F.col(guid) == "")).select(key).distinct()
-    done = None
+    done = []
     for salt in range(rounds):
-        tried = open_.withColumn("guid", F.left(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{salt}"))), F.lit(6)))
-        first = F.row_number().over(Window.partitionBy("guid").orderBy(key))
-        good = tried.join(taken, "guid", "left_anti").withColumn("n", first).where("n = 1").select(key, "guid")
-        done = good if done is None else done.unionAll(good)
-        taken, open_ = taken.unionAll(good.select("guid")), open_.join(good, key, "left_anti")
+        tried = open_.withColumn("guid", F.left(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{salt}"))), F.lit(digits)))
+        first = F.row_number().over(Window.partitionBy("guid").orderBy(key)) == 1
+        there = taken.withColumn("there", F.lit(True))
+        told = materialise(tried.join(there, "guid", "left").select(key, "guid", (F.col("there").isNull() & first).alias("good")), "guids")
+        done.append(told.where("good").select(key, "guid"))
+        open_ = told.where("not good").select(key)
         if open_.isEmpty():
-            break
-    return done
+            return reduce(DataFrame.unionAll, done)
+        taken = taken.unionAll(done[-1].select("guid"))
+    raise ValueError(f"{digits} digits are too few: rows are left without a guid after {rounds} rounds")
 
 
 def replace_text(files: DataFrame, gate: str, old: str, new: str) -> DataFrame:
@@ -255,19 +221,22 @@ def rewrite_references(containers: DataFrame, renames: DataFrame, key: str = "co
 
 
 def rewrite_embedded_ids(records: DataFrame, id_map: DataFrame, fields: Sequence[str], key: str = "code", pattern: str = r"\d{5}") -> DataFrame:
-    """DOC-23: (key, field, old_text, new_text, updates): ids inside texts replaced by new ones in one simultaneous pass.
+    """DOC-23: (key, field, old_text, new_text) of the fields that change: ids inside texts replaced by new ones in one
+    simultaneous pass, so that a new id is never replaced again.
 
-    A text is cut at its ids; each piece is looked up once, so a new id is never replaced again. Shuffles by id, then by
-    record.
+    Only the distinct ids of a text are looked up; the pairs found come back to it as a map, as long as its own ids are.
+    Shuffles by id, then by record.
     """
-    texts = records.select(key, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields))).alias("t")).select(key, "t.*").where("text is not null")
-    pieces = F.regexp_extract_all("text", F.lit(f"(?s)({pattern}|.)"), 1)
-    rows = texts.select(key, "field", "text", F.posexplode(pieces).alias("pos", "old"))
-    joined = rows.join(id_map.select("old", "new"), "old", "left")
-    built = joined.groupBy(key, "field", "text").agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("new", "old").alias("x")))).alias("m"), F.count("new").alias("updates")
-    )
-    return built.where("updates > 0").select(key, "field", F.col("text").alias("old_text"), F.array_join(F.transform("m", lambda e: e["x"]), "").alias("new_text"), "updates")
+    own = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields))
+    texts = records.select(key, F.explode(own).alias("t")).select(key, "t.*").where(F.col("text").rlike(pattern))
+    ids = F.array_distinct(F.regexp_extract_all("text", F.lit(f"({pattern})"), 1))
+    found = texts.select(key, "field", F.explode(ids).alias("old")).join(id_map.select("old", "new").dropDuplicates(["old"]), "old")
+    maps = found.groupBy(key, "field").agg(F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias("ids"))
+    between, inside = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(f"({pattern})"), 1)
+    piece = lambda x, i: F.concat(x, F.coalesce(F.element_at("ids", F.get(inside, i)), F.get(inside, i), F.lit("")))
+    new = F.array_join(F.transform(between, piece), "")
+    told = texts.join(maps, [key, "field"]).select(key, "field", F.col("text").alias("old_text"), new.alias("new_text"))
+    return told.where("old_text <> new_text")
 
 
 def repair_documents(files: DataFrame, text: str = "content") -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions import json, paths, trees
 from docloom.operators import dedupe, filters, layout, lookup, rewrite, sinks
 from docloom.operators.graph import connected_components
+from docloom.sources import catalogs, files
 from docloom.streaming import messages
 
 
@@ -46,10 +48,40 @@ def layout_boxes(boxes: DataFrame) -> DataFrame:
 
 
 def strip_localized(cards: DataFrame, keep: list[str]) -> DataFrame:
-    """Job strip_localized: metadata reduced to the kept keys, and deck ids unique over all documents."""
+    """Job strip_localized: metadata reduced to the kept keys, a reset transform where there is one, and deck ids unique over
+    all documents; only the cards that change."""
     ids = dedupe.global_deck_ids(cards.select(F.col("obj_id").alias("ord"), "deck_key", "face_url", "back_url", "card_id"))
-    slim = cards.select(F.col("obj_id").alias("ord"), F.to_json(rewrite.keep_metadata_keys(F.col("gm_notes"), keep)).alias("notes"))
-    return ids.join(slim, "ord").select("ord", "new_key", "new_card_id", "notes")
+    place = rewrite.reset_transform(F.col("transform")) if "transform" in cards.columns else F.lit(None).cast("struct<rotY: double, scaleX: double, scaleY: double, scaleZ: double>")
+    slim = cards.select(
+        F.col("obj_id").alias("ord"), F.to_json(rewrite.keep_metadata_keys(F.col("gm_notes"), keep)).alias("notes"), place.alias("transform"), F.col("gm_notes").alias("old_notes"),
+        F.col("card_id").alias("old_card_id"), (F.col("transform") if "transform" in cards.columns else F.lit(None)).alias("old_transform"),
+    )
+    told = ids.join(slim, "ord")
+    before = F.to_json(F.struct(F.col("deck_key").cast("bigint"), F.col("old_card_id"), F.col("old_notes"), F.col("old_transform")))
+    after = F.to_json(F.struct(F.col("new_key").alias("deck_key"), F.col("new_card_id").alias("old_card_id"), F.col("notes").alias("old_notes"), F.col("transform").alias("old_transform")))
+    return sinks.changed_only(told, before, after).select("ord", "new_key", "new_card_id", "notes", "transform")
+
+
+def minimize_documents(found: DataFrame, rules: trees.Defaults) -> DataFrame:
+    r"""Job minimize_documents: files (path, content) to (path, content) of those that lose defaults or hold a \u escape.
+
+    A file in the folder of an object counts as inside it. Files without an object, or that don't parse, are left alone.
+    Narrow.
+    """
+    bodies = files.extract_json_body(found.select("path", "content"))
+    inside = filters.is_object_folder(paths.name(paths.directory(F.col("path"))))
+    told = bodies.withColumn("new", rewrite.prune_defaults(F.col("content"), inside, rules)).where("new.content is not null")
+    return sinks.changed_only(told, F.lit(False), F.col("new.changed"), raw="content").select("path", F.col("new.content").alias("content"))
+
+
+def localize_by_name(snapshots: DataFrame, objects: DataFrame, sheet_url: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Job localize_by_name: (found (obj_id, id, description), one row of counts, skipped nicknames), from catalogue
+    snapshots and cards."""
+    record = "code string, name string, subname string, xp bigint, customizable boolean"
+    cards = objects.where(filters.is_card(F.col("name")) & (F.coalesce("gm_notes", F.lit("")) == ""))
+    found = lookup.localize_by_name(cards, catalogs.read_catalog(snapshots, record=record), sheet_url)
+    told = cards.select("obj_id", "nickname").join(found.select("obj_id", F.lit(True).alias("hit")), "obj_id", "left")
+    return found, sinks.run_report(told, matched=F.col("hit"), skipped=F.col("hit").isNull()), told.where("hit is null").select("obj_id", "nickname")
 
 
 def localize_by_id(objects: DataFrame, catalog: DataFrame, containers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -68,6 +100,51 @@ def attach_metadata(objects: DataFrame, mapping: DataFrame) -> tuple[DataFrame,
     return typed.withColumn("tags", rewrite.derive_tags(F.col("type"), F.lit(None).cast("string"))), unused
 
 
+def attach_metadata_by_id(objects: DataFrame, sheet: DataFrame, offset: int, cycle: str) -> tuple[DataFrame, DataFrame]:
+    """Job attach_metadata_by_id: (cards with what the sheet's row of their number gives them, sheet rows without a card).
+
+    Names and descriptions come from the sheet; in the metadata the cycle, the type and the id less the offset are set.
+    """
+    mapping, _ = catalogs.read_mapping_sheet(sheet)
+    table = lookup.build_lookup(mapping.select("id", "row", F.col("name").alias("new_name"), F.col("description").alias("new_description"), "type", "metadata"), ["id"], ["row"])
+    hit, unused = lookup.match_by_number(objects.where(filters.is_card(F.col("name"))), table, offset)
+    own = json.as_map(F.col("metadata"))
+    tags = rewrite.derive_tags(F.col("type"), own["class"])
+    told = hit.select("obj_id", F.col("new_name").alias("nickname"), F.col("new_description").alias("description"), F.col("key").alias("id"), F.lit(cycle).alias("cycle"), "type", own.alias("fields"), tags.alias("tags"))
+    return told.withColumn("fields", F.map_filter("fields", lambda k, v: ~k.isin("id", "cycle", "type"))), unused.select("id", F.col("new_name").alias("name"))
+
+
+def attach_metadata_from_helper(objects: DataFrame, helper: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Job attach_metadata_from_helper: (all objects with their metadata emptied, but for the first card of each name that the
+    helper map has, which gets its row and tags; names that no card has)."""
+    rows, _ = catalogs.read_helper_map(helper)
+    cards = objects.where(filters.is_card(F.col("name"))).select("obj_id", "ord", "nickname")
+    hit = lookup.match_first_only(cards, rows).withColumnRenamed("name", "helper_name")
+    full = hit.join(rows, F.col("helper_name") == F.col("name")).select("obj_id", F.struct(*rows.columns[1:]).alias("meta"))
+    told = rewrite.clear_metadata(objects.select("obj_id", "gm_notes"), "gm_notes").join(full, "obj_id", "left")
+    return told.withColumn("tags", F.when(F.col("meta").isNotNull(), rewrite.derive_tags(F.col("meta.type"), F.lit(None).cast("string")))), lookup.unmatched(rows, cards, "name", "nickname").select("name")
+
+
+def sync_records(objects: DataFrame, records: DataFrame, fields: tuple[str, ...] = ("deck_requirements", "back_link", "restrictions")) -> tuple[DataFrame, DataFrame]:
+    """Job sync_records: records (code, name, xp, image_url, back_image_url and `fields`) brought up to date with the objects of
+    the same name, and (field, updates), how many fields changed; the row `ids` counts the ids that changed.
+
+    A code keeps "-back" at its end; urls are set where the record has one. Ids in the fields are replaced in one pass.
+    """
+    updates, ids = lookup.match_by_display_name(objects, records)
+    back = F.when(F.endswith("code", F.lit("-back")), "-back").otherwise("")
+    new = updates.select("code", F.concat("new_code", F.when(F.col("new_code") != F.col("code"), back).otherwise("")).alias("u_code"), F.col("image_url").alias("u_image"), F.col("back_image_url").alias("u_back"))
+    changed = rewrite.rewrite_embedded_ids(records, ids, fields, pattern=r"[0-9A-Za-z]+(?:-[0-9A-Za-z]+)*")
+    texts = changed.groupBy("code").agg(*(F.max(F.when(F.col("field") == f, F.col("new_text"))).alias(f"u_{f}") for f in fields))
+    told = records.join(new.dropDuplicates(["code"]), "code", "left").join(texts, "code", "left")
+    set_url = lambda old, u: F.when(F.col(old).isNotNull(), F.coalesce(u, old)).alias(old)
+    done = {"code": F.coalesce("u_code", "code").alias("code"), "image_url": set_url("image_url", "u_image"), "back_image_url": set_url("back_image_url", "u_back")}
+    out = told.select(*(done.get(c) if c in done else F.coalesce(f"u_{c}", c).alias(c) if c in fields else F.col(c) for c in records.columns))
+    per_field = records.sparkSession.createDataFrame([(f,) for f in fields], "field string").join(changed.groupBy("field").agg(F.count(F.lit(1)).alias("updates")), "field", "left")
+    report = per_field.select("field", F.coalesce("updates", F.lit(0)).alias("updates")).unionAll(ids.agg(F.lit("ids").alias("field"), F.count(F.lit(1)).alias("updates")))
+    return out, report
+
+
 def console(raw: DataFrame, window_seconds: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """Job console_stream on a table: (routed messages, printed errors)."""
     routed = messages.route_messages(raw)

@@ -384,6 +384,6 @@ def flt12(s, d):
 
 def registered() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries and their SQL."""
-    from docloom.plans import queries_documents, queries_relations  # noqa: F401
+    from docloom.plans import queries_documents, queries_jobs, queries_relations  # noqa: F401
 
     return QUERIES, ORACLE_SQL

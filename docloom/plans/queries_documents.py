@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docloom.functions import trees
 from docloom.operators import dedupe, lookup, rewrite
 from docloom.plans.queries import cards, meta, query, table, view
 from docloom.sources import nested
@@ -23,6 +24,10 @@ def leaves(s, d):
     return nested.json_leaves(documents(s, d), "obj_id", "content")
 
 
+def shown(docs):
+    return nested.json_leaves(docs, "obj_id", "content").select("obj_id", F.array_join("path", "/").alias("path"), "value")
+
+
 LEAVES = """, leaves as (
   select obj_id, 'Name' as path, name as value from cards union all select obj_id, 'Nickname', nickname from cards
   union all select obj_id, 'CardID', cast(card_id as string) from cards union all select obj_id, 'CustomDeck/' || deck_key || '/FaceURL', face_url from cards
@@ -38,7 +43,22 @@ def json_leaves(s, d):
 
 @query("doc1_drop_keys", LEAVES + "select * from leaves where path not like '%/BackURL' and path not like 'Tags/%'", ("cards",))
 def doc1(s, d):
-    return rewrite.drop_keys(leaves(s, d), ["BackURL", "Tags"]).select("obj_id", F.array_join("path", "/").alias("path"), "value")
+    return shown(documents(s, d).withColumn("content", rewrite.drop_keys(F.col("content"), ["BackURL", "Tags"])))
+
+
+@query(
+    "doc1_emptied_containers",
+    """select obj_id, 'Name' as path, name as value from cards union all select obj_id, 'CustomDeck/' || deck_key, '{}' from cards union all select obj_id, 'l/[0]', '{}' from cards
+       union all select obj_id, 'l/[1]/z', cast(obj_id as string) from cards where obj_id % 2 = 0 union all select obj_id, 'l/[1]', '{}' from cards where obj_id % 2 = 1""",
+    ("cards",),
+)
+def doc1_emptied(s, d):
+    odd = F.col("obj_id") % 2 == 1
+    doc = F.struct(
+        F.col("name").alias("Name"), F.create_map("deck_key", F.struct(F.col("face_url").alias("FaceURL"))).alias("CustomDeck"),
+        F.array(F.create_map(F.lit("FaceURL"), F.col("obj_id")), F.create_map(F.when(odd, "FaceURL").otherwise("z"), F.col("obj_id"))).alias("l"),
+    )
+    return shown(cards(s, d).select("obj_id", rewrite.drop_keys(F.to_json(doc), ["FaceURL"]).alias("content")))
 
 
 @query(
@@ -48,7 +68,8 @@ def doc1(s, d):
     ("cards",),
 )
 def doc1_rebuilt(s, d):
-    return rewrite.rebuild_documents(rewrite.drop_keys(leaves(s, d), ["BackURL", "NumWidth", "Nickname"]), "obj_id")
+    slim = rewrite.drop_keys(F.col("content"), ["BackURL", "NumWidth", "Nickname"])
+    return documents(s, d).select("obj_id", rewrite.sort_keys(slim).alias("content"))
 
 
 @query("doc2_keep_metadata_keys", "select obj_id, mid as id, case when mid is null then null else 2 end as n from meta", ("cards",))
@@ -72,22 +93,38 @@ def doc4(s, d):
 
 @query(
     "doc5_round_state",
-    """select p_partkey as id, 'pos/x' as path, cast(round_even(cast(p_retailprice as double), 4) as double) as value from part
-    union all select p_partkey, 'rot/[0]', (cast(round_even(p_size * 7.5::double / 15, 0) as bigint) * 15) % 360 from part union all select p_partkey, 'n', p_size from part""",
+    """with p as (select p_partkey as obj_id, p_size as n, cast(p_retailprice as double) as price, (cast(round_even(p_size * 7.5::double / 15, 0) as bigint) * 15) % 360 as turned from part)
+    select obj_id, 'pos/x' as path, cast(round_even(price, 4) as double) as value from p union all select obj_id, 'rot/x', turned from p union all select obj_id, 'rot/y', (n * 15) % 360 from p
+    union all select obj_id, 'rot/z/q', n * 1.23456::double from p union all select obj_id, 'l/[0]/rot/[0]/x', turned from p
+    union all select obj_id, 'l/[0]/rot/[1]', round_even(n * 1.23456::double, 4) from p union all select obj_id, 'n', n from p""",
 )
 def doc5(s, d):
-    part = table(s, d, "part")
-    doc = F.struct(
-        F.struct(F.col("p_retailprice").cast("double").alias("x")).alias("pos"), F.array(F.col("p_size") * F.lit(7.5).cast("double")).alias("rot"), F.col("p_size").alias("n")
-    )
-    found = rewrite.round_state(nested.json_leaves(part.select(F.col("p_partkey").alias("id"), F.to_json(doc).alias("content")), "id", "content"))
-    return found.select("id", F.array_join("path", "/").alias("path"), F.col("value").cast("double").alias("value"))
+    n, near = F.col("p_size"), F.col("p_size") * F.lit(7.5)
+    exact = n * F.lit(1.23456)
+    docs = table(s, d, "part").select(
+        F.col("p_partkey").alias("obj_id"), F.format_string(
+            '{"pos":{"x":%s},"rot":{"x":%s,"y":%s,"z":{"q":%s}},"l":[{"rot":[{"x":%s},%s]}],"n":%s}',
+            *(c.cast("string") for c in (F.col("p_retailprice").cast("double"), near, n * 15, exact, near, exact, n)),
+        ).alias("content"),
+    )
+    found = shown(docs.withColumn("content", rewrite.round_state(F.col("content"))))
+    return found.select("obj_id", "path", F.col("value").cast("double").alias("value"))
 
 
-@query("doc6_prune_defaults", LEAVES + "select * from leaves where path not in ('AltLook', 'Locked') or (path = 'Locked' and value = 'true')", ("cards",))
+@query(
+    "doc6_prune_defaults",
+    LEAVES + """select * from leaves where path not in ('AltLook', 'Locked') or (path = 'Locked' and value = 'true')
+    union all select obj_id, 'Deep/Locked', 'true' from cards where obj_id % 2 = 0 union all select obj_id, 'In/x/Locked', 'true' from cards where obj_id % 2 = 0
+    union all select obj_id, 'In/x', '{}' from cards where obj_id % 2 = 1 union all select obj_id, 'AttachedDecals/Locked', 'false' from cards""",
+    ("cards",),
+)
 def doc6(s, d):
-    defaults = s.createDataFrame([("AltLook", "false", "BOOLEAN"), ("Locked", "0", "BIGINT")], "key string, value string, kind string")
-    return rewrite.prune_defaults(leaves(s, d), defaults).select("obj_id", F.array_join("path", "/").alias("path"), "value")
+    locked = lambda c: F.struct(c.alias("Locked"))
+    own = F.col("obj_id") % 2 == 0
+    more = F.to_json(F.struct(locked(own).alias("Deep"), F.struct(locked(own).alias("x")).alias("In"), locked(F.lit(False)).alias("AttachedDecals")))
+    rules = trees.Defaults({"AltLook": False, "Locked": 0, "Deep": {"Locked": False}})
+    joined = F.concat(F.left("content", F.length("content") - 1), F.lit(","), F.substring(more, 2, 10_000))
+    return shown(documents(s, d).withColumn("content", rewrite.prune_defaults(joined, F.lit(False), rules)["content"]))
 
 
 @query(
@@ -224,11 +261,15 @@ def doc18(s, d):
     return cards(s, d).select("obj_id", rewrite.repair_metadata_path("objects", F.col("path")).alias("notes_path"))
 
 
-@query("doc19_assign_guids", "select count(*) as n, count(*) as distinct_guids, 0::bigint as clashes from cards where obj_id % 2 = 0", ("cards",))
+@query(
+    "doc19_assign_guids",
+    """, t as (select obj_id, left(md5(obj_id || '#0'), 6) as guid, row_number() over (partition by left(md5(obj_id || '#0'), 6) order by obj_id) as k from cards where obj_id % 2 = 0)
+    select t.obj_id, case when k = 1 and c.obj_id is null then t.guid else left(md5(t.obj_id || '#1'), 6) end as guid from t left join cards c on c.guid = t.guid and c.obj_id % 2 = 1""",
+    ("cards",),
+)
 def doc19(s, d):
     c = cards(s, d).select("obj_id", F.when(F.col("obj_id") % 2 == 1, F.col("guid")).alias("guid"))
-    new = rewrite.assign_guids(c, "obj_id", "guid").join(c.where("guid is not null").select(F.col("guid").alias("old")), F.col("guid") == F.col("old"), "left")
-    return new.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("guid").alias("distinct_guids"), F.count("old").alias("clashes"))
+    return rewrite.assign_guids(c, "obj_id", "guid")
 
 
 @query("doc20_replace_text", "select path, md5(replace(content, 'the', 'THE')) as digest from files where content like '%on%' and content like '%the%'", ("files",))
@@ -263,8 +304,7 @@ def doc22(s, d):
     "doc23_rewrite_embedded_ids",
     """select code, 'back_link' as field, code || ' and ' || duplicate_of_code || '.' as old_text,
        case when cast(code as int) % 2 = 0 then lpad(cast(cast(code as int) + 1 as string), 5, '0') else code end || ' and ' ||
-       case when cast(duplicate_of_code as int) % 2 = 0 then lpad(cast(cast(duplicate_of_code as int) + 1 as string), 5, '0') else duplicate_of_code end || '.' as new_text,
-       cast(cast(cast(code as int) % 2 = 0 as int) + cast(cast(duplicate_of_code as int) % 2 = 0 as int) as bigint) as updates
+       case when cast(duplicate_of_code as int) % 2 = 0 then lpad(cast(cast(duplicate_of_code as int) + 1 as string), 5, '0') else duplicate_of_code end || '.' as new_text
        from catalog where cast(code as int) % 2 = 0 or cast(duplicate_of_code as int) % 2 = 0""",
     ("catalog",),
 )

@@ -451,17 +451,14 @@ def str1(s, d):
     return messages.route_messages(view(s, d, "messages")).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "str2_throttle_errors",
-    """, e as (select body, ts, row_number() over (partition by body order by ts) as k from messages where message_id = 3)
+ERRORS = """, e as (select body, ts, row_number() over (partition by body order by ts) as k from messages where message_id = 3)
     , t as (with recursive p as (select body, min(ts) as ts from e group by body
-        union all select p.body, (select min(e.ts) from e where e.body = p.body and e.ts > p.ts + interval 1 day) from p where p.ts is not null) select * from p where ts is not null)
-    select body, count(*) as n, epoch_us(max(ts)) as last from t group by body""",
-    ("messages",),
-)
+        union all select p.body, (select min(e.ts) from e where e.body = p.body and e.ts > p.ts + interval 1 day) from p where p.ts is not null) select * from p where ts is not null) """
+
+
+@query("str2_throttle_errors", ERRORS + "select body, epoch_us(ts) as micros from t", ("messages",))
 def str2(s, d):
-    kept = messages.throttle_errors(view(s, d, "messages").where("message_id = 3"), 86400.0)
-    return kept.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.unix_micros(F.max("ts")).alias("last"))
+    return messages.throttle_errors(view(s, d, "messages").where("message_id = 3"), 86400.0).select("body", F.unix_micros("ts").alias("micros"))
 
 
 def script_messages(s, d):
@@ -543,6 +540,12 @@ def job_attach(s, d):
     return found.select("obj_id", "id", F.array_join("tags", ",").alias("tags"))
 
 
-@query("job_console", "select body, count(*) as n from messages where message_id = 3 group by body", ("messages",))
+@query("job_console", ERRORS + "select body, count(*) as n, epoch_us(max(ts)) as last from t group by body", ("messages",))
 def job_console(s, d):
-    return jobs.console(view(s, d, "messages"), 0.000001)[1].groupBy("body").agg(F.count(F.lit(1)).alias("n"))
+    printed = jobs.console(view(s, d, "messages"), 86400.0)[1]
+    return printed.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.unix_micros(F.max("ts")).alias("last"))
+
+
+@query("job_console_routes", f"select {SCRIPTS} as route, count(*) as n, min(event_id) as first from messages group by 1", ("messages",))
+def job_console_routes(s, d):
+    return jobs.console(view(s, d, "messages"))[0].groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))

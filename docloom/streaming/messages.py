@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ MESSAGE = (
     "messageID int, message string, error string, guid string, returnValue string, "
     "scriptStates array<struct<name: string, guid: string, script: string, ui: string>>"
 )
+#: Message numbers of the protocol.
 KINDS = {0: "scripts", 1: "scripts", 2: "print", 3: "error", 5: "return", 7: "created"}
 
 
@@ -31,15 +33,28 @@ def route_messages(messages: DataFrame, kind: str = "message_id") -> DataFrame:
 
 def throttle_errors(errors: DataFrame, window_seconds: float, key: str = "body", ts: str = "ts") -> DataFrame:
     """STR-2 on a table: (key, ts) of the errors printed: a text again only when more than the window has passed since
-    it was last printed. A fold over each text's sorted times; suppressed ones don't extend the window."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    lists = errors.groupBy(key).agg(F.array_sort(F.collect_list(micros)).alias("times"))
+    it was last printed; suppressed ones don't extend the window.
+
+    An error that comes more than the window after the one before it is always printed, so each text's times fall into
+    bursts that don't depend on each other. Bursts are dealt out and read in order, holding the last printed time alone.
+    """
     gap = int(window_seconds * 1_000_000)
-    kept = F.aggregate(
-        "times", F.array().cast("array<bigint>"),
-        lambda acc, t: F.when((F.size(acc) == 0) | (t - F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) > gap), F.concat(acc, F.array(t))).otherwise(acc),
-    )
-    return lists.select(key, F.explode(kept).alias("micros")).select(key, F.timestamp_micros("micros").alias(ts))
+    times = errors.select(F.col(key).cast("string").alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t")).where("t is not null").distinct()
+    in_order = Window.partitionBy("k").orderBy("t")
+    starts = F.coalesce(F.col("t") - F.lag("t").over(in_order) > gap, F.lit(True))
+    bursts = times.withColumn("burst", F.last(F.when(starts, F.col("t")), ignorenulls=True).over(in_order))
+
+    def printed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        burst, last = None, 0
+        for f in frames:
+            kept = np.zeros(len(f), bool)
+            for i, (k, start, t) in enumerate(zip(f["k"], f["burst"], f["t"], strict=True)):
+                if burst != (k, start) or t - last > gap:
+                    burst, last, kept[i] = (k, start), t, True
+            yield f.loc[kept, ["k", "t"]]
+
+    found = bursts.repartition("k", "burst").sortWithinPartitions("k", "burst", "t").mapInPandas(printed, "k string, t long")
+    return found.select(F.col("k").alias(key), F.timestamp_micros("t").alias(ts))
 
 
 def throttle_error_stream(errors: DataFrame, window_seconds: float, key: str = "body", ts: str = "ts", watermark: str = "1 hour") -> DataFrame:

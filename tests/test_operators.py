@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions import json, paths
+from docloom.functions import json, paths, trees
 from docloom.operators import dedupe, filters, layout, lookup, rewrite, sinks
 from docloom.plans import jobs
 from docloom.sources import catalogs, files, nested
@@ -66,26 +67,54 @@ def test_flatten_roots(spark):
     assert [(r.n, r.ord_path) for r in got] == [(1, [0]), (2, [0, 0]), (3, [0, 1]), (4, [0]), (5, [0]), (6, [0])]
 
 
-def test_leaves_and_rounding(spark):
-    docs = texts(spark, ['{"pos":[1.23456,{"x":2.0}],"rot":{"y":-3,"z":352.5},"e":[],"o":{},"n":null,"i":7}'])
+def rewritten(spark, column, text):
+    return one(spark, column, t=text)
+
+
+def test_leaves(spark):
+    docs = texts(spark, ['{"pos":[1.23456,{"x":2.0}],"rot":{"y":-3},"e":[],"o":{},"n":null,"i":7}'])
     leaves = nested.json_leaves(docs.withColumnRenamed("path", "doc"), "doc", "content")
-    assert {"/".join(r.path) for r in leaves.collect()} == {"pos/[0]", "pos/[1]/x", "rot/y", "rot/z", "e", "o", "n", "i"}
-    got = {"/".join(r.path): r.value for r in rewrite.round_state(leaves).collect()}
-    assert (got["pos/[0]"], got["pos/[1]/x"], got["i"]) == ("1.2346", "2", "7")
+    assert {"/".join(r.path) for r in leaves.collect()} == {"pos/[0]", "pos/[1]/x", "rot/y", "e", "o", "n", "i"}
+
+
+def test_rounding_by_the_direct_key(spark):
+    cases = {
+        '{"rot":{"x":44.2,"y":7.5,"z":-8,"s":"44.2","q":{"a":1.23456}}}': '{"rot":{"x":45,"y":0,"z":345,"s":"44.2","q":{"a":1.23456}}}',
+        '{"rot":[44.23456,{"x":44.2}],"i":7,"f":2.0}': '{"rot":[44.2346,{"x":45}],"i":7,"f":2}',
+        '{"pos":{"x":1.23456,"in":{"x":1.23456},"n":3}}': '{"pos":{"x":1.2346,"in":{"x":1.23456},"n":3}}', "1.23456": "1.2346", "[]": "[]", "broken {": None,
+    }
+    for text, want in cases.items():
+        assert rewritten(spark, rewrite.round_state(F.col("t")), text) == want
 
 
-def test_rebuilding_leaves_gives_the_document(spark):
-    texts_ = ['{"b":{"d":1,"c":[{"z":1.5,"y":"q\\"é"},[],{}]},"a":null,"l":[1,2,3,4,5,6,7,8,9,10,11,12],"t":true}', '{"a":{}}']
-    docs = texts(spark, texts_).withColumnRenamed("path", "doc")
-    rebuilt = rewrite.rebuild_documents(nested.json_leaves(docs, "doc", "content"), "doc")
-    want = docs.select("doc", rewrite.sort_keys(F.col("content")).alias("content"))
-    assert sorted(map(tuple, rebuilt.collect())) == sorted(map(tuple, want.collect()))
+def test_dropping_keys_keeps_emptied_containers(spark):
+    cases = {
+        '{"k":5}': "{}", '{"a":{"k":1},"b":2}': '{"a":{},"b":2}', '{"l":[{"k":1},{"z":1}]}': '{"l":[{},{"z":1}]}', '{"[0]":1,"k":2}': '{"[0]":1}', '[[{"k":[]}],"k"]': '[[{}],"k"]', "x": None,
+    }
+    for text, want in cases.items():
+        assert rewritten(spark, rewrite.drop_keys(F.col("t"), ["k"]), text) == want
+    assert one(spark, rewrite.drop_keys(F.lit(None).cast("string"), ["k"])) is None
 
 
-def test_defaults_hold_zero_and_false_for_the_same(spark):
-    leaves = nested.json_leaves(texts(spark, ['{"a":0,"b":false,"c":0.0,"d":"0","AttachedDecals":{"a":0}}']).withColumnRenamed("path", "doc"), "doc", "content")
-    defaults = spark.createDataFrame([(k, "false", "BOOLEAN") for k in "abcd"], "key string, value string, kind string")
-    assert {"/".join(r.path) for r in rewrite.prune_defaults(leaves, defaults).collect()} == {"d", "AttachedDecals/a"}
+def test_defaults(spark):
+    rules = trees.Defaults({**dict.fromkeys("abcd", False), "Transform": {"a": False}, "CustomMesh": {"Convex": True}, "ColorDiffuse": {"r": 0.7, "g": 0.7, "b": 0.7}}, frozenset({"common"}))
+    cases = {
+        '{"a":0,"b":false,"c":0.0,"d":"0","AttachedDecals":{"a":0},"x":{"a":0},"l":[{"a":0},0]}': '{"d":"0","AttachedDecals":{"a":0},"x":{},"l":[{},0]}',
+        '{"Transform":{"a":false,"q":1}}': '{"Transform":{"a":false,"q":1}}', '{"Transform":{"a":0}}': "{}",
+        '{"CustomMesh":{"Convex":true}}': "{}", '{"CustomMesh":{"Convex":true,"u":"v"}}': '{"CustomMesh":{"u":"v"}}',
+        '{"Name":"Card","ColorDiffuse":{"r":0.75,"g":0.7,"b":0.7}}': '{"Name":"Card"}', '{"ColorDiffuse":{"r":0.75,"g":0.7,"b":0.7}}': '{"ColorDiffuse":{"r":0.75,"g":0.7,"b":0.7}}',
+        '{"CustomDeck":{"1":{"BackURL":"common","UniqueBack":true},"2":{"NumWidth":1,"NumHeight":1},"3":{"NumWidth":2,"UniqueBack":false}}}': '{"CustomDeck":{"1":{"BackURL":"common"},"2":{"NumWidth":1,"NumHeight":1,"UniqueBack":true},"3":{"NumWidth":2}}}',
+        '{"Name":"Card","CardID":100,"HideWhenFaceDown":true,"CustomDeck":{"1":{"BackURL":"common"}}}': '{"Name":"Card","CardID":100,"CustomDeck":{"1":{"BackURL":"common"}}}',
+        '{"Name":"Card","CardID":100,"HideWhenFaceDown":false,"CustomDeck":{"1":{"BackURL":"common"}}}': '{"Name":"Card","CardID":100,"HideWhenFaceDown":false,"CustomDeck":{"1":{"BackURL":"common"}}}',
+        '{"Name":"Deck","HideWhenFaceDown":true}': '{"Name":"Deck"}', '{"Name":"Custom_Tile","CustomImage":{"ImageURL":"u","ImageSecondaryURL":"u"}}': '{"Name":"Custom_Tile","CustomImage":{"ImageURL":"u"}}',
+    }
+    for text, want in cases.items():
+        got = rewritten(spark, rewrite.prune_defaults(F.col("t"), F.lit(False), rules), text)
+        assert (got.content, got.changed) == (want, text != want)
+    plain = trees.Defaults({})
+    text = '{"Transform":{"posX":1,"rotX":3,"rotY":352.5,"rotZ":12.5,"scaleX":1},"o":{"Transform":{"rotY":-3}}}'
+    assert rewritten(spark, rewrite.prune_defaults(F.col("t"), F.lit(True), plain)["content"], text) == '{"Transform":{"rotZ":15,"scaleX":1},"o":{"Transform":{}}}'
+    assert rewritten(spark, rewrite.prune_defaults(F.col("t"), F.lit(False), plain)["content"], text) == text.replace('{"rotY":-3}', "{}")
 
 
 def test_small_rewrites(spark):
@@ -110,6 +139,16 @@ def test_guids_avoid_clashes(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") < 1500, F.left(F.md5(F.concat((F.col("id") + 1500).cast("string"), F.lit("#0"))), F.lit(6))).alias("guid"))
     new = rewrite.assign_guids(df, "id", "guid")
     assert new.count() == 1500 == new.select("guid").distinct().count()
+    assert rewrite.assign_guids(df.limit(0), "id", "guid").count() == 0
+    with pytest.raises(ValueError):
+        rewrite.assign_guids(df, "id", "guid", digits=1, rounds=3)
+
+
+def test_embedded_ids_in_one_pass(spark):
+    records = spark.createDataFrame([("1", "00001 and 00002, 00001", None), ("2", "no ids 123", "x00002"), ("3", "00003", "00009")], "code string, a string, b string")
+    ids = spark.createDataFrame([("00001", "00002"), ("00002", "00003"), ("00003", "00003")], "old string, new string")
+    got = {(r.code, r.field): r.new_text for r in rewrite.rewrite_embedded_ids(records, ids, ["a", "b"]).collect()}
+    assert got == {("1", "a"): "00002 and 00003, 00002", ("2", "b"): "x00003"}
 
 
 def test_mapping_sheet(spark):
@@ -149,7 +188,9 @@ def test_global_ids_equal_the_sequential_rule(spark):
                 x += 1
             want.append(x)
         df = spark.createDataFrame(cards, "ord int, deck_key string, face_url string, back_url string, card_id int").repartition(3)
-        assert [r.new_key for r in dedupe.global_deck_ids(df).orderBy("ord").collect()] == want
+        got = dedupe.global_deck_ids(df).orderBy("ord").collect()
+        assert [r.new_key for r in got] == want
+        assert [r.new_card_id for r in got] == [i if str(k) == old else int(f"{k}{i % 100:02}") for (i, old, *_), k in zip(cards, want, strict=True)]
 
 
 def test_survivors_and_manifest_are_all_files(spark):
