@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import longs, map_batches, read, utf8
 
+#: Quotes count after an equals sign, and only if they close; so a tag ends at some > or with the page, and nothing is
+#: tried twice but one unclosed quote of each kind.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.S
 )
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't markup of the page's text.
-RAW = frozenset("script style noscript template textarea title svg math iframe object canvas audio video head xmp".split())
+RAW = frozenset("script style noscript template textarea title svg iframe object canvas audio video head xmp".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main "
     "menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -41,16 +43,18 @@ UNLIKELY = frozenset(
     "related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget alert aside".split()
 )
 LIKELY = frozenset("article body content entry hentry main page post story text blog".split())
+#: Share of all paragraphs' points that the container of the text has, if no element says that it is the article.
+MOST = 0.75
 PARAGRAPH = frozenset("p pre td blockquote li dd figcaption section div article main body".split())
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "items", "points", "apart", "length", "linked", "commas")
+    __slots__ = ("tag", "words", "parent", "items", "points", "mass", "apart", "length", "linked", "commas")
 
     def __init__(self, tag: str, words: frozenset, parent: Node | None, apart: bool):
         self.tag, self.words, self.parent, self.apart = tag, words, parent, apart
         self.items: list[Node | str] = []
-        self.points = 0.0
+        self.points = self.mass = 0.0
         self.length = self.linked = self.commas = 0
 
 
@@ -151,13 +155,22 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
+def _within(node: Node, *tags: str) -> bool:
+    up: Node | None = node
+    while up and up.tag not in tags:
+        up = up.parent
+    return up is not None
+
+
 def _density(node: Node) -> float:
     return node.linked / node.length if node.length else 0.0
 
 
 def _blocks(node: Node, out: list[str]) -> None:
-    """Texts of the element's blocks in page order, without what is apart and without lists of links."""
+    """Texts of the element's blocks in page order, without what is apart. Lists of links go too, but in an article, where
+    they are its own."""
     run: list[str] = []
+    own = _within(node, "article", "main")
 
     def flush() -> None:
         if run:
@@ -175,7 +188,7 @@ def _blocks(node: Node, out: list[str]) -> None:
             run.append(x)
         elif x.tag == "br":
             run.append(" ")
-        elif not x.apart and not (x is not node and x.tag in ("ul", "ol", "dl", "table", "div", "section") and x.length and _density(x) > 0.6):
+        elif not x.apart and not (not own and x is not node and x.tag in ("ul", "ol", "dl", "table", "div", "section") and x.length and _density(x) > 0.6):
             if x.tag in BLOCK:
                 flush()
                 stack.append(None)
@@ -194,6 +207,7 @@ def main_text(page: str) -> str:
             if size < 1:
                 continue
             points = (1 + min(node.commas, 20) + min(size / 100, 3)) * (1 - _density(node))
+            node.mass += points
             up, share = node.parent or node, 1.0
             if node.tag not in ("p", "pre", "blockquote", "li", "td", "dd"):
                 up = node
@@ -202,6 +216,9 @@ def main_text(page: str) -> str:
                     break
                 up.points += points * share
                 up, share = up.parent, share / 2
+    for node in reversed(order):
+        if node.parent:
+            node.parent.mass += node.mass
     best, most = None, 0.0
     for node in order:
         if node.points > 0:
@@ -211,6 +228,8 @@ def main_text(page: str) -> str:
                 best, most = node, score
     if best is None:
         best = root
+    while best.parent and best.mass < MOST * root.mass and not _within(best, "article", "main"):
+        best = best.parent  # parts of one text stand side by side
     out: list[str] = []
     if best.parent is None:
         _blocks(best, out)
@@ -221,8 +240,9 @@ def main_text(page: str) -> str:
             continue
         score = x.points * (1 - _density(x)) * {"article": 4.0, "main": 2.5}.get(x.tag, 1.0)
         headline = x.tag in ("h1", "h2") and not any(not isinstance(y, str) and y.tag == "h1" for y in best.items)
-        prose = x.tag == "p" and x.length > 80 and _density(x) < 0.25
-        if x is best or score >= near or prose or headline:
+        prose = x.tag in ("p", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "table") and _density(x) < 0.25
+        alike = x.tag == best.tag and x.words == best.words and x.length and _density(x) < 0.25
+        if x is best or score >= near or prose or headline or alike:
             _blocks(x, out)
     return "\n\n".join(out)
 
