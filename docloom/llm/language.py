@@ -106,39 +106,43 @@ def fit(docs: DataFrame, text: str, lang: str, sample: int = 8000, min_docs: int
     return Model(names, logp)
 
 
-def text_evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with __ll (log-likelihood by language, against a uniform text), __n (trigrams). A narrow map."""
+def text_evidence(docs: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:
+    """The columns `keep` with __ll (log-likelihood by language, against a uniform text), __n (trigrams). A narrow map."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x 65,536 floats
     names = docs.columns
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, __ll array<double>, __n long"
+    schema = f"{', '.join(f'`{c}` {docs.schema[c].dataType.simpleString()}' for c in keep)}, __ll array<double>, __n long"
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         found = [shared.value.score(x) for x in utf8(b.column(names.index(text)))]
         ll, n = pa.array([x for x, _ in found], pa.list_(pa.float64())), longs([n for _, n in found])
-        return pa.RecordBatch.from_arrays([*b.columns, ll, n], [*names, "__ll", "__n"])
+        return pa.RecordBatch.from_arrays([*(b.column(names.index(c)) for c in keep), ll, n], [*keep, "__ll", "__n"])
 
     return map_batches(docs, each, schema)
 
 
-def _share(counts: str, total: str, weight: float, towards: Column) -> Column:
-    return (F.coalesce(F.col(counts), F.lit(0)) + weight * towards) / (F.coalesce(F.col(total), F.lit(0)) + weight)
+def host_votes(votes: DataFrame, n: int) -> tuple[DataFrame, list[float]]:
+    """((__host, __suffix, __hosts, __suffixes): votes by language of each host and of its suffix, and the shares of all).
+
+    `votes` has host, suffix and vote (the index of the language); counts are summed per key with partial sums first, so
+    what is written is a row per host.
+    """
+    each = F.array(*(F.sum((F.col("vote") == i).cast("long")) for i in range(n)))
+    by_host = materialise(votes.groupBy("host", "suffix").agg(each.alias("__hosts")), "votes")
+    summed = F.array(*(F.sum(F.col("__hosts")[i]) for i in range(n)))
+    per_suffix = by_host.groupBy(F.col("suffix").alias("s")).agg(summed.alias("__suffixes"))
+    totals = [x or 0 for x in per_suffix.agg(F.array(*(F.sum(F.col("__suffixes")[i]) for i in range(n))).alias("x")).first()["x"]]
+    joined = by_host.join(per_suffix, F.col("suffix").eqNullSafe(F.col("s")))
+    return joined.select(F.col("host").alias("__host"), F.col("suffix").alias("__suffix"), "__hosts", "__suffixes"), [(x + 1.0) / (sum(totals) + n) for x in totals]
 
 
-def host_priors(votes: DataFrame, languages: list[str]) -> DataFrame:
-    """(host, suffix, prior): shares by language of each host and suffix, smoothed by level. `votes` has host,
-    suffix and vote (the index of the language); counts are summed per key with partial sums first."""
-    n = len(languages)
-    each = [F.sum((F.col("vote") == i).cast("long")).alias(f"n{i}") for i in range(n)]
-    by_host = materialise(votes.groupBy("host", "suffix").agg(*each), "votes")
-    total = sum((F.col(f"n{i}") for i in range(1, n)), F.col("n0")) if n else F.lit(0)
-    per_suffix = by_host.groupBy(F.col("suffix").alias("s")).agg(*(F.sum(f"n{i}").alias(f"s{i}") for i in range(n)))
-    overall = per_suffix.agg(*(F.sum(f"s{i}").alias(f"g{i}") for i in range(n))).first()
-    all_votes = sum((overall[f"g{i}"] or 0) for i in range(n))
-    base = [((overall[f"g{i}"] or 0) + 1.0) / (all_votes + n) for i in range(n)]
-    joined = by_host.withColumn("h", total).join(per_suffix, F.col("suffix").eqNullSafe(F.col("s")), "left")
-    joined = joined.withColumn("st", sum((F.col(f"s{i}") for i in range(1, n)), F.col("s0")) if n else F.lit(0))
-    prior = F.array(*(_share(f"n{i}", "h", HOST_WEIGHT, _share(f"s{i}", "st", SUFFIX_WEIGHT, F.lit(base[i]))) for i in range(n)))
-    return joined.select(F.col("host").alias("__host"), F.col("suffix").alias("__suffix"), prior.alias("__prior"))
+def host_prior(base: list[float], vote: Column) -> Column:
+    """Shares by language from the host's votes but the row's own, smoothed towards its suffix's and these towards `base`."""
+    places = F.array(*map(F.lit, range(len(base))))
+    rest = lambda c: F.zip_with(F.coalesce(F.col(c), F.array(*[F.lit(0).cast("long")] * len(base))), places, lambda x, i: x - F.coalesce((i == vote).cast("long"), F.lit(0)))
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + y)
+    hosts, suffixes = rest("__hosts"), rest("__suffixes")
+    share = F.zip_with(suffixes, F.array(*map(F.lit, base)), lambda x, p: (x + SUFFIX_WEIGHT * p) / (total(suffixes) + SUFFIX_WEIGHT))
+    return F.zip_with(hosts, share, lambda x, p: (x + HOST_WEIGHT * p) / (total(hosts) + HOST_WEIGHT))
 
 
 def identify(
@@ -150,11 +154,13 @@ def identify(
     host: Column | None = None,
     min_posterior: float = 0.5,
     min_gain: float = 0.5,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """`docs` with language, posterior, text_language and accepted.
+    """`docs`, or its columns `keep`, with language, posterior, text_language and accepted.
 
     The posterior multiplies the tempered text likelihood, the chances of the declared language and of the suffix
-    (where they name a language of the model), and the host's prior. A row is accepted if the best language has at
+    (where they name a language of the model), and the host's prior, to which its own vote doesn't count. Each text is read
+    once; its evidence is written down with the columns to keep. A row is accepted if the best language has at
     least `min_posterior` and the text, where it has 50 trigrams or more, is by at least `min_gain` nats a trigram likelier
     in it than letters at random.
 
@@ -168,22 +174,21 @@ def identify(
     input with the names of the four results are replaced. An empty table gives an empty one.
     """
     names, n = model.languages, len(model.languages)
-    out = [c for c in docs.columns if c not in ("language", "posterior", "text_language", "accepted")]
+    out = [c for c in (docs.columns if keep is None else keep) if c not in ("language", "posterior", "text_language", "accepted")]
     none = F.lit(None).cast("string")
     ready = docs.select(
-        *out, (none if declared is None else primary(declared)).alias("__declared"), (none if suffix is None else primary(suffix)).alias("__sfx"),
+        *out, *([text] if text not in out else []), (none if declared is None else primary(declared)).alias("__declared"), (none if suffix is None else primary(suffix)).alias("__sfx"),
         (none if host is None else host.cast("string")).alias("__h"),
     )
     if not n:
         return ready.select(*out, none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("accepted"))
     known = F.array(*(F.lit(x) for x in names))
-    slim = ready.select("__h", "__sfx", text)
     best = F.array_position("__ll", F.array_max("__ll")).cast("int") - 1
-    votes = text_evidence(slim, model, text).where("__n > 0").select(F.col("__h").alias("host"), F.col("__sfx").alias("suffix"), best.alias("vote"))
-    priors = materialise(host_priors(votes, names), "host-priors")
-    seen = text_evidence(ready, model, text).join(
-        priors, F.col("__h").eqNullSafe(F.col("__host")) & F.col("__sfx").eqNullSafe(F.col("__suffix")), "left"
-    )
+    evidence = text_evidence(ready, model, text, [*out, "__declared", "__sfx", "__h"])
+    evidence = materialise(evidence.withColumn("__vote", F.when(F.col("__n") > 0, best)), "evidence")
+    votes, base = host_votes(evidence.where("__vote is not null").select(F.col("__h").alias("host"), F.col("__sfx").alias("suffix"), F.col("__vote").alias("vote")), n)
+    seen = evidence.join(votes, F.col("__h").eqNullSafe(F.col("__host")) & F.col("__sfx").eqNullSafe(F.col("__suffix")), "left")
+    seen = seen.withColumn("__prior", host_prior(base, F.col("__vote")))
     other = lambda right: (1.0 - right) / max(n - 1, 1)
 
     def named(c: str, right: float, name: str) -> Column:
@@ -191,7 +196,7 @@ def identify(
 
     logs = F.array(
         *(
-            F.col("__ll")[i] * TEMPER + named("__declared", DECLARED_RIGHT, x) + named("__sfx", SUFFIX_RIGHT, x) + F.coalesce(F.log(F.col("__prior")[i]), F.lit(0.0))
+            F.col("__ll")[i] * TEMPER + named("__declared", DECLARED_RIGHT, x) + named("__sfx", SUFFIX_RIGHT, x) + F.log(F.col("__prior")[i])
             for i, x in enumerate(names)
         )
     )
@@ -199,7 +204,7 @@ def identify(
     scored = scored.withColumn("__sum", F.aggregate("__log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("__top"))))
     at = F.array_position("__log", F.col("__top")).cast("int")
     scored = scored.withColumn("language", F.element_at(known, at)).withColumn("posterior", 1.0 / F.col("__sum"))
-    scored = scored.withColumn("text_language", F.when(F.col("__n") > 0, F.element_at(known, best + 1)))
+    scored = scored.withColumn("text_language", F.element_at(known, F.col("__vote") + 1))
     gain = F.element_at("__ll", at) / F.greatest("__n", F.lit(1))
     fits = (F.col("__n") > 0) & ((F.col("__n") < 50) | (gain >= min_gain))
     accepted = F.when(fits, F.col("posterior") >= min_posterior).otherwise(False)
@@ -211,14 +216,14 @@ def identify(
     )
 
 
-def identify_documents(docs: DataFrame) -> DataFrame:
+def identify_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Documents: their `lang` is the declared language, their `source` the host; they have no address."""
-    return identify(docs, fit(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"))
+    return identify(docs, fit(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"), keep=keep)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return identify_documents(docs).select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
+    return identify_documents(docs, ["doc_id"]).select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
 
 
 def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,5 +237,5 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", bare.alias("text"), F.nullif(F.regexp_extract("html", r"(?is)<html[^>]*\blang=[\"']?([a-z]{2})", 1), F.lit("")).alias("declared"),
         F.when(part != "", part).otherwise(F.element_at(F.split(host, r"\."), -1)).alias("suffix"), host.alias("host"),
     )
-    found = identify(ready, fit(ready, "text", "declared"), declared=F.col("declared"), suffix=F.col("suffix"), host=F.col("host"))
+    found = identify(ready, fit(ready, "text", "declared"), declared=F.col("declared"), suffix=F.col("suffix"), host=F.col("host"), keep=["page_id"])
     return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
