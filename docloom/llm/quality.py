@@ -69,18 +69,19 @@ def quality_rules(
     docs: DataFrame,
     min_words: int = 50,
     max_repeat_percent: int = 50,
-    min_docs: int = 20,
-    max_share: float = 0.01,
-    min_left_share: float = 0.3,
+    min_docs: int = 10,
+    max_share: float = 0.005,
+    min_left_share: float = 0.5,
     doc_id: str = "doc_id",
     host: str = "source",
     text: str = "text",
 ) -> DataFrame:
-    """Per document: its counts, base_failed, n_line_words (words on lines above the limit) and kept.
+    """Per document: its counts, base_failed, n_line_words (words on lines above the limit), depleted and kept.
 
     A line (blanks collapsed, A-Z lowered) is above the limit in a host if it stands in at least `min_docs` distinct
-    texts of that host and in more than `max_share` of them; exact copies of a text count once. A document fails if
-    it is too short or repeats itself, or if less than `min_left_share` of its words are left without such lines.
+    texts of that host and in more than `max_share` of them; exact copies of a text count once, so that copies alone don't
+    condemn their lines. A document is depleted if less than `min_left_share` of its words are left without such lines; it is
+    kept if it isn't, and neither is too short nor repeats itself.
 
     A null text has no words and fails; documents of a null host make a host of their own; null or equal ids are
     kept apart by their text's digest; fully equal rows get equal verdicts, one row each; an empty table gives an
@@ -99,10 +100,9 @@ def quality_rules(
     same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("s")) & (F.col("digest") == F.col("u"))
     rows = counts.drop("lines").join(common, same, "left").withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
-    left = F.col("n_words") - F.col("n_line_words")
-    return rows.withColumn("base_failed", failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words",
-        (~F.col("base_failed") & (left >= F.col("n_words") * min_left_share)).alias("kept"),
+    depleted = F.col("n_words") - F.col("n_line_words") < F.col("n_words") * min_left_share
+    return rows.withColumn("base_failed", failed).withColumn("depleted", depleted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", "depleted", (~F.col("base_failed") & ~F.col("depleted")).alias("kept"),
     )
 
 
@@ -129,7 +129,7 @@ keyed as (
 texts as (select host, count(distinct text) as texts from docs group by host),
 often as (
   select k.host, k.key from keyed k join texts t on k.host is not distinct from t.host
-  group by k.host, k.key having count(distinct k.text) >= 20 and count(distinct k.text) > 0.01 * any_value(t.texts)),
+  group by k.host, k.key having count(distinct k.text) >= 10 and count(distinct k.text) > 0.005 * any_value(t.texts)),
 common as (
   select k.doc_id, sum(k.n)::bigint as n_line_words from keyed k join often o on k.host is not distinct from o.host and k.key = o.key group by k.doc_id),
 counts as (
@@ -138,6 +138,6 @@ counts as (
          coalesce(u.n_dup_lines, 0) as n_dup_lines, coalesce(r.n_repeat_words, 0) as n_repeat_words, coalesce(c.n_line_words, 0) as n_line_words
   from docs d left join dups u using (doc_id) left join repeats r using (doc_id) left join common c using (doc_id))
 select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
-       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_words - n_line_words >= 0.3 * n_words as kept
+       n_words - n_line_words < 0.5 * n_words as depleted, not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_words - n_line_words >= 0.5 * n_words as kept
 from counts
 """
