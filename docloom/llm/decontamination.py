@@ -27,8 +27,8 @@ from docloom.llm.common import longs, read, utf8
 #: Cared positions of the masks (weight 6); windows of six to eleven tokens. Of items of 40 tokens that a text overlaps
 #: on some diagonal they find 0.99 with every fifth token exchanged, 0.98 with every fourth.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 6, 7, 9), (0, 2, 3, 7, 8, 10), (0, 1, 4, 5, 8, 9))
-#: Hits of a document that are looked at together, about.
-HITS_AT_ONCE = 1 << 20
+#: Hits of a document, or tokens on its diagonals, that are looked at together, about.
+AT_ONCE = 1 << 20
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Benchmark tokens of one block, which every task holds: a few tens of MB at most.
 BLOCK_TOKENS = 200_000
@@ -70,6 +70,13 @@ def grown(same: np.ndarray, at: int, penalty: float) -> tuple[int, int, int]:
     return begin, end, int(same[begin:end].sum())
 
 
+def _chunks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive groups whose sizes sum up to `most`, about."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // most)) + 1 if sizes.sum() > most else []
+    bounds = [0, *cuts, len(sizes)]
+    yield from zip(bounds[:-1], bounds[1:], strict=True)
+
+
 def _run_starts(item: np.ndarray, offset: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted by diagonal and place, of places side by side or equal only the first."""
     order = np.lexsort((p, offset, item))
@@ -88,6 +95,9 @@ class Block:
         for name, text in items:
             self.names.append(name)
             self.ids.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens(text)], np.int64))
+        self.sizes = np.array(list(map(len, self.ids)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate([*self.ids, np.zeros(0, np.int64)])
         self.tables, self.short = [], []
         for size in range(1, MASKS[0][-1] + 1):
             own = [(int(seeds(ids, tuple(range(size)))[0]), i) for i, ids in enumerate(self.ids) if len(ids) == size]
@@ -101,9 +111,9 @@ class Block:
             h = np.array([x[0] for x in found], np.uint64)
             self.tables.append((mask, h, np.array([x[1:] for x in found], np.int64).reshape(-1, 2)))
 
-    def hits(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
-        """(item, offset of the item in the document, hit positions in the document), by item and offset. Of hits side by
-        side on a diagonal, which match in every token, the first is told."""
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(item, offset of the item in the document, hit position in the document), in this order. Of hits side by side on a
+        diagonal, which match in every token, the first is told."""
         found, terms = [], _terms(ids, len(MASKS[0]))
         for mask, table, places in self.tables:
             s = seeds(ids, mask, terms)
@@ -114,31 +124,53 @@ class Block:
             first[first == len(table)] = 0
             ok = table[first] == s[known]
             known, first = known[ok], first[ok]
+            if not len(known):
+                continue
             many = np.searchsorted(table, s[known], "right") - first
-            cuts = np.flatnonzero(np.diff(np.cumsum(many) // HITS_AT_ONCE, prepend=0)) if len(many) else ()
-            for p, f, n in zip(*(np.split(x, cuts) for x in (known, first, many)), strict=True):
-                item, k = places[np.repeat(f - np.cumsum(n) + n, n) + np.arange(n.sum())].T
-                p = np.repeat(p, n)
+            for i, j in _chunks(many, AT_ONCE):
+                n = many[i:j]
+                item, k = places[np.repeat(first[i:j] - np.cumsum(n) + n, n) + np.arange(n.sum())].T
+                p = np.repeat(known[i:j], n)
                 found.append(_run_starts(item, p - k, p))
-        if found:
-            item, offset, p = _run_starts(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            cuts = np.flatnonzero((item[1:] != item[:-1]) | (offset[1:] != offset[:-1])) + 1
-            for i, places in zip([0, *cuts], np.split(p, cuts), strict=True):
-                if len(places):
-                    yield int(item[i]), int(offset[i]), places.tolist()
-
-    def stretches(self, ids: np.ndarray, penalty: float) -> dict[int, list[tuple[int, int, int, int]]]:
-        """For each item, (offset, begin, end, matches) of the stretches around its hits, by offset and place."""
+        if not found:
+            return None
+        return found[0] if len(found) == 1 else _run_starts(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def matches(self, ids: np.ndarray, item: np.ndarray, offset: np.ndarray) -> np.ndarray:
+        """How many tokens match on each whole diagonal."""
+        begin, end = np.maximum(offset, 0), np.minimum(offset + self.sizes[item], len(ids))
+        length, out = end - begin, []
+        for i, j in _chunks(length, AT_ONCE):
+            n = length[i:j]
+            starts = np.cumsum(n) - n
+            within = np.arange(n.sum()) - np.repeat(starts, n)
+            same = ids[np.repeat(begin[i:j], n) + within] == self.flat[np.repeat(self.starts[item[i:j]] + begin[i:j] - offset[i:j], n) + within]
+            out.append(np.add.reduceat(same, starts, dtype=np.int64))
+        return np.concatenate(out)
+
+    def stretches(self, ids: np.ndarray, penalty: float, single: np.ndarray, whole: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
+        """For each item, (offset, begin, end, matches) of the stretches around its hits, by offset and place. Items are left
+        out none of whose diagonals matches `single` of its tokens, nor all that have hits `whole`."""
         found: dict[int, list[tuple[int, int, int, int]]] = {}
-        for item, offset, places in self.hits(ids):
-            own, done = self.ids[item], -1
-            a, b = max(0, offset), min(len(ids), offset + len(own))
-            same = ids[a:b] == own[a - offset : b - offset]
-            for p in places:
-                if p >= done:  # others lie in a stretch that is known
-                    begin, end, matches = grown(same, p - a, penalty)
+        if (hits := self.hits(ids)) is None:
+            return found
+        item, offset, p = hits
+        first = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (offset[1:] != offset[:-1])))
+        of, at = item[first], offset[first]
+        m = self.matches(ids, of, at)
+        enough = np.bincount(of, m, len(self.ids)) >= whole
+        enough[of[m >= single[of]]] = True
+        last = np.append(first[1:], len(p))
+        for g in np.flatnonzero(enough[of]):
+            i, d, done = int(of[g]), int(at[g]), -1
+            own = self.ids[i]
+            a, b = max(0, d), min(len(ids), d + len(own))
+            same = ids[a:b] == own[a - d : b - d]
+            for x in p[first[g] : last[g]].tolist():
+                if x >= done:  # others lie in a stretch that is known
+                    begin, end, matches = grown(same, x - a, penalty)
                     done = a + end
-                    found.setdefault(item, []).append((offset, a + begin, a + end, matches))
+                    found.setdefault(i, []).append((d, a + begin, a + end, matches))
         return found
 
     def together(self, ids: np.ndarray, item: int, parts: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
@@ -160,7 +192,8 @@ class Block:
         words = tokens(data)
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
         best: dict[int, tuple[int, int, int]] = {}
-        for item, parts in self.stretches(ids, penalty).items():
+        least = np.maximum(np.minimum(min_matches, self.sizes), min_share * self.sizes)
+        for item, parts in self.stretches(ids, penalty, np.minimum(np.minimum(stretch, self.sizes), least), least).items():
             size = len(self.ids[item])
             much = lambda m: m >= min(min_matches, size) and m >= min_share * size  # noqa: B023, E731
             enough = [(m, -begin, end) for _, begin, end, m in parts if much(m) or m >= min(stretch, size)]
