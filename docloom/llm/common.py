@@ -37,3 +37,10 @@ def batch(**columns: pa.Array) -> pa.RecordBatch:
 
 def longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
+
+
+def plain_names(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """The table with its columns named c0, c1 and so on, and what the columns `used` are called in it, so that columns may
+    have any name and none clashes with an operator's own."""
+    names = docs.columns
+    return docs.toDF(*(f"c{i}" for i in range(len(names)))), [f"c{names.index(c)}" for c in used]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.llm.common import longs, read, utf8
+from docloom.llm.common import longs, plain_names, read, utf8
 
 #: Cared positions of the masks (weight 6); windows of six to eleven tokens. Of items of 40 tokens that a text overlaps
 #: on some diagonal they find 0.99 with every fifth token exchanged, 0.98 with every fourth.
@@ -273,11 +273,11 @@ def overlaps(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """The rows of `docs` that overlap no benchmark item. The verdict hangs on the text alone, so the rows to go are
     known by their text's digest; what is joined is the digests of overlapping texts."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    tagged = docs.withColumn("__digest", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+    plain, (text,) = plain_names(docs, text)
+    tagged = plain.withColumn("__digest", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
     # A table of known size: Spark broadcasts it while it is small, and no text is shuffled.
     bad = materialise(overlaps(tagged, benchmark, text=text, keep="__digest", **how).select("__digest").distinct(), "overlapping")
-    return tagged.join(bad, "__digest", "left_anti").select(*columns)
+    return tagged.join(bad, "__digest", "left_anti").select(*plain.columns).toDF(*docs.columns)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

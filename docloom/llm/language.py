@@ -25,6 +25,7 @@ TEMPER = 0.2
 DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 #: Votes that a host's (suffix's) smoothing counts for.
 HOST_WEIGHT, SUFFIX_WEIGHT = 10.0, 100.0
+RESULTS = ("language", "posterior", "text_language", "accepted")
 
 
 def trigrams(data: bytes) -> np.ndarray:
@@ -174,17 +175,18 @@ def identify(
     input with the names of the four results are replaced. An empty table gives an empty one.
     """
     names, n = model.languages, len(model.languages)
-    out = [c for c in (docs.columns if keep is None else keep) if c not in ("language", "posterior", "text_language", "accepted")]
+    out = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     none = F.lit(None).cast("string")
+    own = [f"c{i}" for i in range(len(out))]
     ready = docs.select(
-        *out, *([text] if text not in out else []), (none if declared is None else primary(declared)).alias("__declared"), (none if suffix is None else primary(suffix)).alias("__sfx"),
+        *(F.col(f"`{c}`").alias(x) for c, x in zip(out, own, strict=True)), F.col(text).alias("__text"), (none if declared is None else primary(declared)).alias("__declared"), (none if suffix is None else primary(suffix)).alias("__sfx"),
         (none if host is None else host.cast("string")).alias("__h"),
     )
     if not n:
-        return ready.select(*out, none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("accepted"))
+        return ready.select(*own, none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("accepted")).toDF(*out, *RESULTS)
     known = F.array(*(F.lit(x) for x in names))
     best = F.array_position("__ll", F.array_max("__ll")).cast("int") - 1
-    evidence = text_evidence(ready, model, text, [*out, "__declared", "__sfx", "__h"])
+    evidence = text_evidence(ready, model, "__text", [*own, "__declared", "__sfx", "__h"])
     evidence = materialise(evidence.withColumn("__vote", F.when(F.col("__n") > 0, best)), "evidence")
     votes, base = host_votes(evidence.where("__vote is not null").select(F.col("__h").alias("host"), F.col("__sfx").alias("suffix"), F.col("__vote").alias("vote")), n)
     seen = evidence.join(votes, F.col("__h").eqNullSafe(F.col("__host")) & F.col("__sfx").eqNullSafe(F.col("__suffix")), "left")
@@ -211,9 +213,9 @@ def identify(
     code, contrary = F.col("__declared"), (gain >= min_gain) & (F.col("posterior") >= min_posterior) | F.coalesce(F.array_contains(known, F.col("__sfx")), F.lit(False))
     alone = F.coalesce(code.rlike("^[a-z]{2,3}$") & ~F.array_contains(known, code) & (F.col("__n") > 0) & ~contrary, F.lit(False))
     return scored.select(
-        *out, F.when(alone, code).otherwise(F.col("language")).alias("language"), F.when(alone, F.lit(DECLARED_RIGHT)).otherwise(F.col("posterior")).alias("posterior"),
+        *own, F.when(alone, code).otherwise(F.col("language")).alias("language"), F.when(alone, F.lit(DECLARED_RIGHT)).otherwise(F.col("posterior")).alias("posterior"),
         "text_language", (alone | accepted).alias("accepted"),
-    )
+    ).toDF(*out, *RESULTS)
 
 
 def identify_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.llm.common import WORD, read
+from docloom.llm.common import WORD, plain_names, read
 
 #: Slices of virtual time among which the place of the cut is sought, and the one that holds all late finishes.
 SLICES, LAST_SLICE = 16384, 1 << 17
@@ -121,11 +121,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
     Rows equal in id, source and text are one document that the plan may hold several times.
     """
-    plan = mix_plan(docs, doc_id=doc_id, source=source, text=text, **how)
+    plain, (doc_id, source, text) = plain_names(docs, doc_id, source, text)
+    plan = mix_plan(plain, doc_id=doc_id, source=source, text=text, **how)
     plan = plan.groupBy(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("tie").alias("__t")).agg(F.sum("copies").alias("__n")).where("__n > 0")
-    tied = docs.withColumn("__tie", F.xxhash64(text)).dropDuplicates([doc_id, source, "__tie"])
+    tied = plain.withColumn("__tie", F.xxhash64(text)).dropDuplicates([doc_id, source, "__tie"])
     same = F.col(doc_id).eqNullSafe(F.col("__d")) & F.col(source).eqNullSafe(F.col("__s")) & (F.col("__tie") == F.col("__t"))
-    return tied.join(plan, same).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*(docs[c] for c in docs.columns))
+    return tied.join(plan, same).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*plain.columns).toDF(*docs.columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

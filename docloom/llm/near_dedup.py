@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.llm.common import batch, longs, map_batches, utf8
+from docloom.llm.common import batch, longs, map_batches, plain_names, utf8
 from docloom.operators.graph import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -336,7 +336,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     matter; an empty table gives an empty one. Equal fingerprints are reduced to one row first, so copies by the
     thousand cost one row.
     """
-    tagged = docs.withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    plain, (doc_id, text) = plain_names(docs, doc_id, text)
+    tagged = plain.withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("digest"))
     groups = prints(tagged, doc_id, text, shingle).groupBy("fp", "n").agg(F.min(order).alias("best"))
     distinct = materialise(groups.withColumn("id", F.xxhash64("fp", "n")), "fingerprints")
@@ -344,4 +345,4 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     rooted = distinct.join(linked, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "id"))
     stay = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__d"), F.col("best.digest").alias("__u"))
     same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__u"))
-    return tagged.join(stay, same, "left_semi").dropDuplicates([doc_id, "__digest"]).select(*docs.columns)
+    return tagged.join(stay, same, "left_semi").dropDuplicates([doc_id, "__digest"]).select(*plain.columns).toDF(*docs.columns)

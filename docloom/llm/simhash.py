@@ -69,10 +69,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
         return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        found = longs([fingerprint(x) for x in utf8(b.column("__text"))])
-        return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), found], [*keep, "fp"])
+        found = longs([fingerprint(x) for x in utf8(b.column(len(keep)))])
+        return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], found], [*keep, "fp"])
 
-    return map_batches(docs.select(*keep, F.col(text).alias("__text")), each, f"{schema}fp long")
+    return map_batches(docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text).alias("__text")), each, f"{schema}fp long")
 
 
 def _distance(x: Column, pivot: int) -> Column:

@@ -126,13 +126,13 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", count: str = "n_t
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts = utf8(b.column("__text"))
+        texts = utf8(b.column(len(keep)))
         of = word_counts(path).of
         return pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in keep), longs([len(t) for t in texts]), longs([of(t) for t in texts])], [*keep, "n_bytes", count]
+            [*b.columns[: len(keep)], longs([len(t) for t in texts]), longs([of(t) for t in texts])], [*keep, "n_bytes", count]
         )
 
-    return map_batches(df.select(*keep, F.col(text).alias("__text")), each, f"{schema}{', ' if keep else ''}n_bytes long, `{count}` long")
+    return map_batches(df.select(*(F.col(f"`{c}`") for c in keep), F.col(text).alias("__text")), each, f"{schema}{', ' if keep else ''}n_bytes long, `{count}` long")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
