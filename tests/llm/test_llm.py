@@ -573,3 +573,49 @@ def test_language_id_of_pages(spark):
     declared = {r.page_id: r.d for r in pages.select("page_id", F.regexp_extract("html", r"(?is)<html[^>]*\blang=[\"']?([a-z]{2})", 1).alias("d")).collect()}
     told = [r for r in found if declared[r.page_id]]
     assert sum(r.language == declared[r.page_id] for r in told) >= 0.95 * len(told)
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, docs):
+    """Rows beside nulls, empties, repeats and a text of 3 MB, with columns named like the operators' own and unlike any."""
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.where("doc_id < 40").collect()]
+    rows += [(None, None, None, None), (None, "", "en", "s"), (900, " \n", None, "s"), (901, "same row here", "en", "s"), (901, "same row here", "en", "s")]
+    rows.append((902, "ein sehr langer Satz mit vielen Wörtern und Kommas, " * 60_000, "de", "s"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    own = ["__text", "__digest", "__d", "__u", "__s", "__t", "__n", "__k", "__tie", "__ll", "__vote", "__declared", "__h", "c0", "c1", "a.b", "key", "size", "fp", "digest", "tie", "n", "h"]
+    return df.select("*", *(F.lit(f"own {c}").alias(c) for c in own))
+
+
+def test_operators_on_clashing_columns_and_long_texts(spark, docs, clashing):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    rows = sorted(map(repr, clashing.drop("text").collect()))
+    whole = clashing.count()
+    for name, out in {
+        "language": language.identify_documents(clashing).drop(*language.RESULTS), "dedup": near_dedup.near_dedup(clashing), "clean": decontamination.decontaminate(clashing, bench), "mix": mixing.mix(clashing),
+    }.items():
+        assert out.columns == clashing.columns, name
+        found = sorted(map(repr, out.drop("text").collect()))
+        assert set(found) <= set(rows) and len(found) > 30, name
+        if name == "language":
+            assert found == rows
+    assert simhash.near_duplicate_groups(clashing).count() == whole == quality.quality_rules(clashing).count() == mixing.mix_plan(clashing).count()
+    same = {(r.doc_id, r.component_id) for r in simhash.near_duplicate_groups(clashing).collect()}
+    assert {(None, 900), (900, 900), (901, 901), (902, 902)} <= same
+    verdicts = {r.doc_id: r for r in quality.quality_rules(clashing).where("doc_id >= 900").collect()}
+    assert (verdicts[900].n_words, verdicts[901].n_words, verdicts[902].n_words) == (0, 3, 540_000) and verdicts[902].base_failed
+    kept = near_dedup.near_dedup(clashing).where("doc_id >= 900").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [900, 901, 902]
+    scored = {r.doc_id: r for r in score_documents(clashing).where("doc_id >= 900").collect()}
+    assert (scored[900].n_tokens, scored[901].n_tokens, scored[902].n_tokens) == (1, 4, 540_001)
+    told = {r.doc_id: r for r in lines.apply_bitmaps(clashing, lines.line_keep_bitmaps(clashing, 3, False)).collect()}
+    assert (told[900].n_lines, told[901].n_lines, told[902].n_dropped) == (2, 1, 0)
+    blocks = {r.doc_id: r.n_tokens for r in token_ids.encode_and_read(clashing, PATH, 2).where("doc_id >= 900").collect()}
+    counts = {r.doc_id: r.n_tokens for r in count_tokens(clashing, PATH, keep=["doc_id"]).where("doc_id >= 900").collect()}
+    assert blocks == {k: n + 1 for k, n in counts.items()} and counts[902] > 540_000
+
+
+def test_narrow_operators_keep_clashing_columns(clashing):
+    counted = count_tokens(clashing, PATH)
+    assert counted.columns == [*(c for c in clashing.columns if c != "text"), "n_bytes", "n_tokens"] and counted.select("`a.b`", "__text").distinct().collect() == [("own a.b", "own __text")]
+    pages = clashing.withColumnRenamed("text", "html").withColumn("__html", F.lit("own"))
+    assert extract_text(pages).select("`a.b`", "__html").distinct().collect() == [("own a.b", "own")] and extract_text(pages).count() == clashing.count()
