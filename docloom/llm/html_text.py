@@ -261,7 +261,7 @@ def extract_text(pages: DataFrame, html_column: str = "html", keep: list[str] |
         texts = [main_text(x.decode()) if x else "" for x in utf8(b.column(len(keep)))]
         return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(texts, pa.string()), longs([len(t) for t in texts])], [*keep, "text", "n_chars"])
 
-    return map_batches(pages.select(*(F.col(f"`{c}`") for c in keep), F.col(html_column).alias("__html")), each, f"{schema}text string, n_chars long")
+    return map_batches(pages.select(*(F.col(f"`{c}`") for c in keep), F.col(html_column)).toDF(*(f"c{i}" for i in range(len(keep) + 1))), each, f"{schema}text string, n_chars long")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
         found = longs([fingerprint(x) for x in utf8(b.column(len(keep)))])
         return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], found], [*keep, "fp"])
 
-    return map_batches(docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text).alias("__text")), each, f"{schema}fp long")
+    return map_batches(docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text)).toDF(*(f"c{i}" for i in range(len(keep) + 1))), each, f"{schema}fp long")
 
 
 def _distance(x: Column, pivot: int) -> Column:

@@ -132,7 +132,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", count: str = "n_t
             [*b.columns[: len(keep)], longs([len(t) for t in texts]), longs([of(t) for t in texts])], [*keep, "n_bytes", count]
         )
 
-    return map_batches(df.select(*(F.col(f"`{c}`") for c in keep), F.col(text).alias("__text")), each, f"{schema}{', ' if keep else ''}n_bytes long, `{count}` long")
+    return map_batches(df.select(*(F.col(f"`{c}`") for c in keep), F.col(text)).toDF(*(f"c{i}" for i in range(len(keep) + 1))), each, f"{schema}{', ' if keep else ''}n_bytes long, `{count}` long")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
