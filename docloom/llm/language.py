@@ -133,7 +133,9 @@ def host_votes(votes: DataFrame, n: int) -> tuple[DataFrame, list[float]]:
     per_suffix = by_host.groupBy(F.col("suffix").alias("s")).agg(summed.alias("__suffixes"))
     totals = [x or 0 for x in per_suffix.agg(F.array(*(F.sum(F.col("__suffixes")[i]) for i in range(n))).alias("x")).first()["x"]]
     joined = by_host.join(per_suffix, F.col("suffix").eqNullSafe(F.col("s")))
-    return joined.select(F.col("host").alias("__host"), F.col("suffix").alias("__suffix"), "__hosts", "__suffixes"), [(x + 1.0) / (sum(totals) + n) for x in totals]
+    # Written, so that Spark knows its size and shuffles texts only where hosts are too many to broadcast.
+    table = materialise(joined.select(F.col("host").alias("__host"), F.col("suffix").alias("__suffix"), "__hosts", "__suffixes"), "host-votes")
+    return table, [(x + 1.0) / (sum(totals) + n) for x in totals]
 
 
 def host_prior(base: list[float], vote: Column) -> Column:
