@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.llm.common import longs, plain_names, read, utf8
+from docloom.llm.common import hand_back, longs, parts, plain_names, read, utf8
 
 #: Cared positions of the masks (weight 6); windows of six to eleven tokens. Of items of 40 tokens that a text overlaps
 #: on some diagonal they find 0.99 with every fifth token exchanged, 0.98 with every fourth.
@@ -258,15 +258,16 @@ def overlaps(
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = Block(shared.value)
-            for b in batches:
+            for b in (part for whole in batches for part in parts(whole)):
                 rows = [(i, *x) for i, data in enumerate(utf8(b.column("__text"))) for x in block.overlaps(data, min_share, min_matches, penalty, stretch)]
                 if rows:
                     at, item, first, end, matches = zip(*rows, strict=True)
                     columns = [b.column(named).take(pa.array(at)), *(longs(x) for x in (item, first, end, matches))]
                     yield pa.RecordBatch.from_arrays(columns, [named, "item_id", "first_token", "end_token", "matches"])
+            hand_back()
 
-        part = source.mapInArrow(scan, schema)
-        found = part if found is None else found.unionAll(part)
+        hits = source.mapInArrow(scan, schema)
+        found = hits if found is None else found.unionAll(hits)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 

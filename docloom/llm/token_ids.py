@@ -32,7 +32,7 @@ from docloom.llm.token_counts import byte_letters
 #: Ids of a block, about; a longer document makes a longer block.
 BLOCK_TOKENS = 1 << 20
 #: Words whose ids a worker keeps, about; then it begins anew. Bounds memory, not results.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 
 BLOCKS = "part int, block int, before long, doc_ids array<long>, n_tokens array<long>, payload binary, crc32 long"
 
