@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
-from docloom.functions import json, numbers, paths, trees
+from docloom.functions import automata, json, numbers, paths, trees
 from docloom.operators.lookup import resolve
 
 
 def drop_keys(text: Column, keys: Sequence[str]) -> Column:
-    """DOC-1: the document without these keys at any depth; emptied containers stay. Null if it doesn't parse."""
+    """DOC-1: the document without these keys at any depth; emptied containers stay, and all else as it is written. Null if
+    it doesn't parse."""
     gone = frozenset(keys)
-    return trees.rewritten(text, lambda x: trees.without_keys(x, gone))["content"]
+    return trees.rewritten(text, lambda inside: trees.DropKeys(gone))["content"]
 
 
 def keep_metadata_keys(notes: Column, keep: Sequence[str], guid: str = "TtsZoopGuid") -> Column:
@@ -45,13 +46,13 @@ def round_state(text: Column) -> Column:
     """DOC-5: the document with numbers that are members of an object under `rot` at the nearest 15 modulo 360, members under
     `pos` and all other fractions at 4 places, whole ones as integers. The direct key alone counts, which a list hands to
     its objects. Null if it doesn't parse."""
-    return trees.rewritten(text, trees.rounded)["content"]
+    return trees.rewritten(text, lambda inside: trees.RoundState())["content"]
 
 
 def prune_defaults(text: Column, inside: Column, rules: trees.Defaults) -> Column:
     """DOC-6, with 6a to 6d, 7, 8 and 9: struct (content, changed) of the document without what equals the defaults;
     `inside` says whether it lies in another object. Null if it doesn't parse."""
-    return trees.rewritten(text, lambda x, nested: trees.minimal(x, bool(nested), rules), inside)
+    return trees.rewritten(text, lambda nested: trees.Minimal(rules, nested), inside)
 
 
 def is_default_colour(r: Column, g: Column, b: Column, a: Column, base: tuple[float, float, float], card: Column) -> Column:
@@ -84,9 +85,10 @@ def unique_back(back: Column, width: Column, height: Column, common: Sequence[st
     return F.when(~back.isin(*common) & (width == 1) & (height == 1), F.lit(True))
 
 
-def hide_when_face_down(name: Column, hide: Column, unique: Column, custom: bool = True) -> Column:
-    """DOC-8: dropped for decks; for cards it stays only where it equals the deck entry's unique back (after DOC-7)."""
-    card = name.isin("Card", "CardCustom")
+def hide_when_face_down(name: Column, hide: Column, unique: Column, entry: Column | None = None) -> Column:
+    """DOC-8: dropped for decks; for cards it stays only where it equals the deck entry's unique back (after DOC-7), or
+    where there is no such entry: `entry` says whether there is one (default: always)."""
+    card = name.isin("Card", "CardCustom") & (F.lit(True) if entry is None else F.coalesce(entry, F.lit(False)))
     return F.when(name == "Deck", F.lit(None)).when(card & (F.coalesce(unique, F.lit(False)) != hide), F.lit(None)).otherwise(hide)
 
 
@@ -96,11 +98,12 @@ def deck_entry_key(card_id: Column) -> Column:
     return F.when(F.length(text) > 2, F.left(text, F.length(text) - 2))
 
 
-SCRIPTING = ("LuaScript", "LuaScriptState", "LuaScript_path", "LuaScriptState_path", "XmlUI", "XmlUI_path", "CustomUIAssets")
+#: Fixed values of the file format: the keys that DOC-9 drops.
+SCRIPTING = ("Tags", "LuaScript", "LuaScript_path", "LuaScriptState", "LuaScriptState_path", "XmlUI", "CustomUIAssets")
 
 
 def strip_scripting(fields: Column) -> Column:
-    """DOC-9: an object's top-level map without the scripting keys."""
+    """DOC-9: an object's top-level map without tags and scripting."""
     return F.map_filter(fields, lambda k, v: ~k.isin(*SCRIPTING))
 
 
@@ -220,23 +223,41 @@ def rewrite_references(containers: DataFrame, renames: DataFrame, key: str = "co
     return found.where("hit").select(key, F.transform("m", lambda e: e["x"]).alias(order))
 
 
-def rewrite_embedded_ids(records: DataFrame, id_map: DataFrame, fields: Sequence[str], key: str = "code", pattern: str = r"\d{5}") -> DataFrame:
-    """DOC-23: (key, field, old_text, new_text) of the fields that change: ids inside texts replaced by new ones in one
-    simultaneous pass, so that a new id is never replaced again.
+def _substrings(text: Column, n: int) -> Column:
+    """All substrings of a length."""
+    every = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substr(text, i, F.lit(n)))
+    return F.when(F.length(text) >= n, every).otherwise(F.array().cast("array<string>"))
 
-    Only the distinct ids of a text are looked up; the pairs found come back to it as a map, as long as its own ids are.
-    Shuffles by id, then by record.
+
+#: Bytes of an id map that every worker may hold as an automaton, about.
+MAP_BYTES = 16 << 20
+
+
+def rewrite_embedded_ids(records: DataFrame, id_map: DataFrame, fields: Sequence[str], key: str = "code", map_bytes: int = MAP_BYTES) -> DataFrame:
+    """DOC-23: (key, field, old_text, new_text) of the fields that change: old ids anywhere in a text, inside longer words too,
+    replaced by new ones in one pass from the left, the longest id first, so that a new id is never replaced again.
+
+    Of several new ids of an old one the smallest counts; null and empty old ids, and null new ones, are left out. The map is
+    written down and measured: up to `map_bytes` every worker gets it as one automaton, and texts are read where they lie.
+    Beyond that the ids of each text are found by a join of its substrings, of the lengths that ids have, with the map; what
+    comes back to a text is as long as its own ids are. Shuffles by id, then by record, in that case only.
     """
+    spark = records.sparkSession
+    usable = id_map.select("old", "new").where("old is not null and old <> '' and new is not null")
+    pairs = materialise(usable.groupBy("old").agg(F.min("new").alias("new")), "id-map")
     own = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields))
-    texts = records.select(key, F.explode(own).alias("t")).select(key, "t.*").where(F.col("text").rlike(pattern))
-    ids = F.array_distinct(F.regexp_extract_all("text", F.lit(f"({pattern})"), 1))
-    found = texts.select(key, "field", F.explode(ids).alias("old")).join(id_map.select("old", "new").dropDuplicates(["old"]), "old")
-    maps = found.groupBy(key, "field").agg(F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias("ids"))
-    between, inside = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(f"({pattern})"), 1)
-    piece = lambda x, i: F.concat(x, F.coalesce(F.element_at("ids", F.get(inside, i)), F.get(inside, i), F.lit("")))
-    new = F.array_join(F.transform(between, piece), "")
-    told = texts.join(maps, [key, "field"]).select(key, "field", F.col("text").alias("old_text"), new.alias("new_text"))
-    return told.where("old_text <> new_text")
+    texts = records.select(key, F.explode(own).alias("t")).select(key, "t.*").where("text <> ''")
+    size = pairs.agg(F.sum(F.octet_length("old") + F.octet_length("new") + F.lit(64))).first()[0] or 0
+    if size <= map_bytes:
+        table = spark.sparkContext.broadcast({r.old: r.new for r in pairs.collect()})
+        told = texts.select(key, "field", F.col("text").alias("old_text"), automata.replaced(F.col("text"), table).alias("new_text"))
+        return told.where("old_text <> new_text")
+    lengths = [r[0] for r in pairs.select(F.length("old").alias("n")).distinct().orderBy("n").collect()]  # few: an id is a short string
+    grams = F.flatten(F.array(*(_substrings(F.col("text"), n) for n in lengths)))
+    found = texts.select(key, "field", "text", F.explode(F.array_distinct(grams)).alias("old")).join(pairs, "old")
+    maps = found.groupBy(key, "field", "text").agg(F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias("ids"))
+    told = maps.select(key, "field", F.col("text").alias("old_text"), automata.replaced_by_own(F.col("text"), F.col("ids")).alias("new_text"))
+    return texts.select(key, "field", F.col("text").alias("old_text")).join(told.where("old_text <> new_text"), [key, "field", "old_text"])
 
 
 def repair_documents(files: DataFrame, text: str = "content") -> DataFrame:

@@ -129,12 +129,13 @@ def sync_records(objects: DataFrame, records: DataFrame, fields: tuple[str, ...]
     """Job sync_records: records (code, name, xp, image_url, back_image_url and `fields`) brought up to date with the objects of
     the same name, and (field, updates), how many fields changed; the row `ids` counts the ids that changed.
 
-    A code keeps "-back" at its end; urls are set where the record has one. Ids in the fields are replaced in one pass.
+    A code keeps "-back" at its end; urls are set where the record has one. Ids in the fields are replaced in one pass,
+    inside longer words too.
     """
     updates, ids = lookup.match_by_display_name(objects, records)
     back = F.when(F.endswith("code", F.lit("-back")), "-back").otherwise("")
     new = updates.select("code", F.concat("new_code", F.when(F.col("new_code") != F.col("code"), back).otherwise("")).alias("u_code"), F.col("image_url").alias("u_image"), F.col("back_image_url").alias("u_back"))
-    changed = rewrite.rewrite_embedded_ids(records, ids, fields, pattern=r"[0-9A-Za-z]+(?:-[0-9A-Za-z]+)*")
+    changed = rewrite.rewrite_embedded_ids(records, ids, fields)
     texts = changed.groupBy("code").agg(*(F.max(F.when(F.col("field") == f, F.col("new_text"))).alias(f"u_{f}") for f in fields))
     told = records.join(new.dropDuplicates(["code"]), "code", "left").join(texts, "code", "left")
     set_url = lambda old, u: F.when(F.col(old).isNotNull(), F.coalesce(u, old)).alias(old)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from docloom.checkpoints import shared_dir
 from docloom.functions import trees
-from docloom.operators import sinks
+from docloom.operators import rewrite, sinks
 from docloom.plans import jobs
 from docloom.plans.queries import cards, meta, query, view
 
@@ -65,6 +65,21 @@ def job_minimize(s, d):
     )
 
 
+@query(
+    "job_minimize_scripting",
+    """select obj_id, '{"Name":"' || name || '"' || case when obj_id % 3 = 1 then ',"XmlUI_path":"p"' else '' end || ',"ContainedObjects":[{"Nickname":"' || obj_id || '"}]}' as content from cards where obj_id % 3 < 2""",
+    ("cards",),
+)
+def job_minimize_scripting(s, d):
+    k = F.col("obj_id")
+    own = F.when(k % 3 == 0, '"Tags":["a"],"LuaScript":"x",').when(k % 3 == 1, '"XmlUI_path":"p","XmlUI":"<x/>","LuaScriptState_path":"q",').otherwise("")
+    inner = F.when(k % 3 < 2, ',"Tags":[],"CustomUIAssets":{"n":[1]}').otherwise("")
+    doc = F.concat(F.lit('{"Name":"'), "name", F.lit('",'), own, F.lit('"ContainedObjects":[{"Nickname":"'), k, F.lit('"'), inner, F.lit("}]}"))
+    found = cards(s, d).select(F.concat(k, F.lit(".json")).alias("path"), doc.alias("content"))
+    out = jobs.minimize_documents(found, trees.Defaults({}, scripting=rewrite.SCRIPTING))
+    return out.select(F.regexp_extract("path", r"(\d+)", 1).cast("bigint").alias("obj_id"), "content")
+
+
 # ---- localize_by_name
 
 NAMED = """, t as (select lower(case when xp > 0 then name || ' (' || xp || ')' else name end) as k, min(code) as code, first(subname order by code) as subname, first(double_sided order by code) as custom from catalog group by 1)
@@ -192,6 +207,44 @@ def job_sync(s, d):
     return synced(s, d)[0].select("code", "name", "image_url", "back_image_url", "deck_requirements")
 
 
+def synced_whole(s, d):
+    """Records whose fields hold ids inside longer words, before -back, twice, and unknown ones."""
+    third = F.col("code").cast("int") % 3 == 0
+    dup = F.col("duplicate_of_code")
+    records = view(s, d, "catalog").select(
+        F.concat("code", F.when(third, "-back").otherwise("")).alias("code"), "name", "xp", F.lit(None).cast("string").alias("image_url"), F.lit(None).cast("string").alias("back_image_url"),
+        F.concat(F.lit("needs "), dup, F.lit("x2")).alias("deck_requirements"), F.concat(dup, F.lit("-back")).alias("back_link"), F.concat(F.lit("a"), dup, F.lit("x"), dup, F.lit("b")).alias("restrictions"),
+    )
+    m = meta(s, d).select("nickname", F.col("mid").alias("id"), F.concat(F.lit("z"), "guid").alias("zoop_guid"), "face_url", "back_url", F.col("obj_id").alias("ord"))
+    m = m.withColumn("id", F.concat(F.lit("n"), "id"))
+    return jobs.sync_records(m, records)
+
+
+WHOLE = (
+    SYNC.replace("coalesce(mid, guid)", "coalesce('n' || mid, 'z' || guid)")
+    + ", w as (select u.*, coalesce(i.new, u.dup) as d, i.new is not null as hit from u left join ids i on i.base = u.dup)"
+)
+
+
+@query(
+    "job_sync_inside_words",
+    WHOLE + """select case when new is null or new = code then code else new || case when code like '%-back' then '-back' else '' end end as code, name,
+    'needs ' || d || 'x2' as deck_requirements, d || '-back' as back_link, 'a' || d || 'x' || d || 'b' as restrictions from w""",
+    ("cards", "catalog"),
+)
+def job_sync_inside(s, d):
+    return synced_whole(s, d)[0].select("code", "name", "deck_requirements", "back_link", "restrictions")
+
+
+@query(
+    "job_sync_inside_words_report",
+    WHOLE + "select f.field, case when f.field = 'ids' then (select count(*) from ids) else (select count(*) from w where hit) end as updates from (select unnest(['deck_requirements', 'back_link', 'restrictions', 'ids']) as field) f",
+    ("cards", "catalog"),
+)
+def job_sync_inside_report(s, d):
+    return synced_whole(s, d)[1]
+
+
 @query(
     "job_sync_report",
     SYNC + """select 'deck_requirements' as field, count(*) as updates from u join ids i on i.base = u.dup union all select 'back_link', 0 union all select 'ids', count(*) from ids""",

@@ -117,6 +117,52 @@ def test_defaults(spark):
     assert rewritten(spark, rewrite.prune_defaults(F.col("t"), F.lit(False), plain)["content"], text) == text.replace('{"rotY":-3}', "{}")
 
 
+def test_rewrites_leave_all_else_as_it_is_written(spark):
+    text = '{ "half" : "\\ud800" ,"e":1e400, "l":0.1234567890123456789012345, "deep":' + "[" * 3000 + "]" * 3000 + ',"k": {"k":[1]} , "z":-0.0,"n":NaN}'
+    assert rewritten(spark, rewrite.drop_keys(F.col("t"), ["k"]), text) == text.replace(',"k": {"k":[1]}', "")
+    got = rewritten(spark, rewrite.prune_defaults(F.col("t"), F.lit(False), trees.Defaults({"k": {"k": [True]}})), text)
+    assert (got.content, got.changed) == (text.replace(',"k": {"k":[1]}', ""), True)
+    assert rewritten(spark, rewrite.round_state(F.col("t")), text) == text.replace("0.1234567890123456789012345", "0.1235").replace("-0.0", "0")
+    for broken in ("", " ", "{,}", '{"a":1,}', "[1,]", "[1 2]", '{"a" 1}', '{"a":}', "{}{}", "01", "1.", "\ufeff{}", '{"a":"\n"}', "[" * 100, "nul", '"\\x"', "+1", "{1:2}"):
+        for rule in (rewrite.drop_keys(F.col("t"), ["k"]), rewrite.round_state(F.col("t")), rewrite.prune_defaults(F.col("t"), F.lit(False), trees.Defaults({}))["content"]):
+            assert rewritten(spark, rule, broken) is None, broken
+
+
+def test_rewrites_equal_rules_on_parsed_values():
+    """Cuts and replaced places give the values that the rules give on parsed documents, for random documents."""
+    import json
+    import random
+
+    from docloom.functions import spans
+
+    rnd = random.Random(11)
+
+    def some(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            return rnd.choice([0, 1, True, False, None, 1.0, 2.345678, -8, "", "u", 'q"\\\n', [], {}])
+        if rnd.random() < 0.3:
+            return [some(depth - 1) for _ in range(rnd.randrange(4))]
+        return {rnd.choice(["a", "b", "rot", "pos", 'c"', "é", "x"]): some(depth - 1) for _ in range(rnd.randrange(6))}
+
+    def dropped(x):
+        return [dropped(y) for y in x] if isinstance(x, list) else {k: dropped(y) for k, y in x.items() if k not in gone} if isinstance(x, dict) else x
+
+    def slim(x):
+        if not isinstance(x, dict):
+            return x
+        kept = {k: y for k, y in x.items() if k not in defaults or y != defaults[k]}
+        return {k: y if k in defaults else [slim(z) for z in y] if isinstance(y, list) else slim(y) for k, y in kept.items()}
+
+    gone, defaults = frozenset({"a", 'c"'}), {"a": False, "é": {"x": 1}, "b": []}
+    drop, prune = spans.Scanner(trees.DropKeys(gone)), spans.Scanner(trees.Minimal(trees.Defaults(defaults), False))
+    for _ in range(4000):
+        value = some(5)
+        text = json.dumps(value, ensure_ascii=rnd.random() < 0.5, indent=rnd.choice([None, 1]))
+        assert json.loads(spans.rewritten(text, drop)[0]) == dropped(value)
+        content, changed = spans.rewritten(text, prune)
+        assert json.loads(content) == slim(value) and changed == (slim(value) != value)
+
+
 def test_small_rewrites(spark):
     for angle, want in ((-3.0, None), (352.5, None), (357.5, None), (12.4, None), (12.5, 15), (347.4, 345)):
         assert one(spark, rewrite.prune_nested_rotation(F.col("a")), a=angle) == want
@@ -177,6 +223,26 @@ def test_canonical_ids_equal_the_sequential_rule(spark):
         assert [r.new_key for r in got.where(f"container_id = {c}").orderBy("pos").collect()] == canonical(items)
 
 
+def test_embedded_ids_leftmost_longest_by_automaton_and_by_join(spark):
+    rnd = random.Random(8)
+    ids = {"".join(rnd.choice("01a") for _ in range(rnd.randrange(1, 6))): f"<{i}>" for i in range(25)}
+    texts_ = ["".join(rnd.choice("01ab-") for _ in range(rnd.randrange(0, 40))) for _ in range(60)] + [None, "", "0" * 50]
+
+    def brute(text):
+        out, i = "", 0
+        while i < len(text):
+            hit = max((o for o in ids if text.startswith(o, i)), key=len, default="")
+            out, i = out + (ids[hit] if hit else text[i]), i + (len(hit) or 1)
+        return out
+
+    records = spark.createDataFrame([(str(i), t, "0") for i, t in enumerate(texts_)], "code string, a string, b string")
+    table = spark.createDataFrame([*ids.items(), ("", "x"), (None, "y"), ("zz", None)], "old string, new string")
+    want = {(str(i), "a", t, brute(t)) for i, t in enumerate(texts_) if t and brute(t) != t} | {(str(i), "b", "0", brute("0")) for i in range(len(texts_)) if brute("0") != "0"}
+    for limit in (rewrite.MAP_BYTES, 0):
+        assert {tuple(r) for r in rewrite.rewrite_embedded_ids(records, table, ["a", "b"], map_bytes=limit).collect()} == want
+        assert rewrite.rewrite_embedded_ids(records, table.where("old = 'nothing'"), ["a"], map_bytes=limit).count() == 0
+
+
 def test_global_ids_equal_the_sequential_rule(spark):
     for seed in range(4):
         rnd = random.Random(seed)
