@@ -31,7 +31,7 @@ from docloom.llm.token_ids import _gathered
 #: The letter that stands for a blank in pieces, and what an unknown piece is decoded to: fixed values of the format.
 BLANK, UNKNOWN = "▁", " ⁇ "
 #: Words and pairs of pieces that a worker remembers, about; then it begins anew. Bounds memory, not results.
-KEPT_WORDS, KEPT_PAIRS = 200_000, 400_000
+KEPT_WORDS, KEPT_PAIRS = 600_000, 1_000_000
 #: Longer words are encoded each time they come.
 LONG_WORD = 64
 
@@ -64,15 +64,17 @@ class PieceEncoder:
             raise ValueError("needs a vocabulary without unused pieces, whose blanks only begin pieces")
         self.ids = {self.pieces[i]: i for i in normal}
         self.score = {self.pieces[i]: library.get_score(i) for i in normal}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.parts: dict[str, list[int]] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        reached = [p for p in self.ids if len(p) == 1 or self.merged(p) == [p]]
-        for p in reached:
-            self.automaton.add_word(p)
+        self.automaton = ahocorasick.Automaton()
+        reached = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p]}
+        for p, i in reached.items():
+            self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        known = set(reached)
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in known), "") for p in reached}
+        self.whole = reached
+        # What is tried after a piece: the next shorter one that begins as it does; -1 where there is none.
+        self.shorter = [next((reached[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in reached), -1) if p in reached else -1 for p in self.pieces]
+        self.sizes = [len(p) for p in self.pieces]
         self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         inside = {c for two in self.joined for c in two}
         alone = "".join(re.escape(c) for c in map(chr, range(32)) if c not in inside)
@@ -93,47 +95,63 @@ class PieceEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def bears(self, left: str, right: str) -> bool:
-        """Whether two pieces stay as they are beside each other; remembered by pair."""
+        """Whether two pieces stay as they are beside each other."""
+        return self.merged(left + right) == [left, right]
+
+    def _remembered(self, key: int) -> bool:
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
-        found = self.pairs[left, right] = self.merged(left + right) == [left, right]
+        found = self.pairs[key] = self.bears(self.pieces[key >> 32], self.pieces[key & 0xFFFFFFFF])
         return found
 
-    def split(self, word: str) -> list[str]:
-        """The pieces of a word; a letter outside the vocabulary is one of its own."""
-        if word in self.shorter:
-            return [word]
-        n, pairs, bears = len(word), self.pairs.get, self.bears
-        longest = bytearray(b"\1") * n
-        for end, size in self.automaton.iter(word):
-            longest[end - size + 1] = size  # ends come in order, so the last one counts
-        failed = bytearray(n // 8 + 1)
-        found: list[str] = []
-        left, at = "", 0
-        piece = word[: longest[0]]
+    def split(self, word: str) -> list[int]:
+        """The pieces of a word, as ids; a letter outside the vocabulary is one of its own, as -1 less its code point."""
+        if (whole := self.whole.get(word)) is not None:
+            return [whole]
+        n, pairs, shorter, sizes = len(word), self.pairs.get, self.shorter, self.sizes
+        longest = [-1] * n
+        for end, (size, i) in self.automaton.iter(word):
+            longest[end - size + 1] = i  # ends come in order, so the last one counts
+        failed, dirty = bytearray(n // 8 + 1), False
+        found: list[int] = []
+        left, at, piece = -1, 0, longest[0]
         while True:
-            end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not left or (pairs((left, piece)) or (left, piece) not in self.pairs and bears(left, piece))):
-                found.append(piece)
+            end = at + (sizes[piece] if piece >= 0 else 1)
+            if dirty and failed[end >> 3] >> (end & 7) & 1:
+                good = False
+            elif not found:
+                good = True
+            elif left >= 0 and piece >= 0:
+                key = left << 32 | piece
+                good = pairs(key)
+                if good is None:
+                    good = self._remembered(key)
+            else:
+                good = self.bears(chr(-1 - left) if left < 0 else self.pieces[left], word[at:end])
+            if good:
+                left = piece if piece >= 0 else -1 - ord(word[at])
+                found.append(left)
                 if end == n:
                     return found
-                left, at = piece, end
-                piece = word[at : at + longest[at]]
+                at, piece = end, longest[end]
                 continue
-            piece = self.shorter.get(piece, "")
-            while not piece:  # no way on from here: the piece before is too long
+            piece = shorter[piece] if piece >= 0 else -1
+            while piece < 0:  # no way on from here: the piece before is too long
                 failed[at >> 3] |= 1 << (at & 7)
+                dirty = True
                 if not found:
                     raise ValueError("the vocabulary leaves a word without pieces")
                 last = found.pop()
-                left, at = found[-1] if found else "", at - len(last)
-                piece = self.shorter.get(last, "")
+                left, at = found[-1] if found else -1, at - (sizes[last] if last >= 0 else 1)
+                piece = shorter[last] if last >= 0 else -1
 
     def of_part(self, part: str) -> list[int]:
+        found = self.split(part)
+        if min(found) >= 0:
+            return found
         out: list[int] = []
-        for p in self.split(part):
-            i = self.ids.get(p)
-            out += [i] if i is not None else [self.byte_ids[b] for b in p.encode()] if self.byte_ids else [self.unknown]
+        for i in found:
+            out += [i] if i >= 0 else [self.byte_ids[b] for b in chr(-1 - i).encode()] if self.byte_ids else [self.unknown]
         return out
 
     def of_word(self, word: str) -> list[int]:
@@ -143,7 +161,7 @@ class PieceEncoder:
         if len(self.parts) >= KEPT_WORDS:
             self.parts.clear()
         out: list[int] = []
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.joined]
+        cuts = [] if word[1:].isalpha() else [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.joined]
         for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True):
             part = word[a:b]
             ids = self.parts.get(part)
