@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom.checkpoints import materialise
 from docloom.functions import numbers, paths
 from docloom.operators.filters import first_seen, is_card
+from docloom.operators.sinks import sorted_manifest
 
 
 def unique_cards(objects: DataFrame, key: str = "container_id") -> DataFrame:
@@ -67,20 +69,64 @@ def canonical_deck_ids(members: DataFrame, key: str = "container_id") -> DataFra
 
     In list order: equal (face, back) shares the key of its first card; a fingerprint seen first keeps its own key
     unless another has it, then it takes the largest key so far plus one. Members without a deck entry are left out.
-    The fold runs per container over its distinct fingerprints, which are as many as it has different images.
+    Rows are reduced to a container's distinct fingerprints; these are dealt by container, sorted by place and read as they
+    come. What is held is one container's keys, as spans of neighbouring ones, and its largest.
     """
-    rows = members.where(F.col("deck_key").isNotNull()).withColumn("own", F.col("deck_key").cast("int"))
-    firsts = rows.groupBy(key, "face_url", "back_url").agg(F.min(F.struct("pos", "own")).alias("f"))
-    lists = firsts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("f.pos", "f.own", "face_url", "back_url"))).alias("prints"))
-
-    def step(ids: Column, x: Column) -> Column:
-        taken = F.exists(ids, lambda i: i == x["own"])
-        return F.concat(ids, F.array(F.when(taken, F.array_max(ids) + 1).otherwise(x["own"])))
-
-    ids = F.aggregate("prints", F.array().cast("array<int>"), step)
-    table = lists.select(key, F.explode(F.arrays_zip(F.col("prints").alias("p"), ids.alias("i"))).alias("z")).select(key, "z.p.face_url", "z.p.back_url", F.col("z.i").alias("new_key"))
-    joined = rows.join(table, [key, "face_url", "back_url"])
-    return joined.select(key, "pos", "new_key", numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100))).alias("new_card_id"))
+    rows = members.where(F.col("deck_key").isNotNull()).withColumn("own", F.col("deck_key").cast("int")).withColumn("print", fingerprint("face_url", "back_url"))
+    firsts = rows.groupBy(key, "print").agg(F.min(F.struct("pos", "own")).alias("f")).select(F.col(key).alias("c"), "print", "f.pos", F.col("f.own").cast("bigint").alias("own"))
+
+    def allocated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        container, taken = None, Spans()
+        for f in frames:
+            new = []
+            for c, own in zip(f["c"], f["own"], strict=True):
+                if container is None or c != container:
+                    container, taken = c, Spans()
+                new.append(own if taken.first_free(own) == own else taken.top + 1)
+                taken.add(new[-1])
+            yield f[["c", "print"]].assign(new_key=new)
+
+    kind = firsts.schema["c"].dataType.simpleString()
+    table = firsts.repartition("c").sortWithinPartitions("c", "pos", "print").select("c", "print", "own").mapInPandas(allocated, f"c {kind}, print string, new_key long")
+    joined = rows.join(table.withColumnRenamed("c", key), [key, "print"])
+    return joined.select(key, "pos", F.col("new_key").cast("int").alias("new_key"), numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100))).alias("new_card_id"))
+
+
+def fingerprint(*columns: str) -> Column:
+    """A digest that tells nulls from empty texts, and one column from another."""
+    return F.md5(F.to_json(F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)))))
+
+
+class Spans:
+    """A set of integers as the union of intervals; it holds as many as there are gaps between its numbers."""
+
+    def __init__(self) -> None:
+        self.begins: list[int] = []
+        self.ends: list[int] = []  # of each, the first number after it
+
+    @property
+    def top(self) -> int:
+        return self.ends[-1] - 1
+
+    def first_free(self, k: int) -> int:
+        """The first number from k on that isn't in the set."""
+        at = bisect_right(self.begins, k) - 1
+        return max(k, self.ends[at]) if at >= 0 else k
+
+    def add(self, k: int) -> None:
+        """Adds a number that isn't in the set."""
+        at = bisect_right(self.begins, k)
+        left, right = at > 0 and self.ends[at - 1] == k, at < len(self.begins) and self.begins[at] == k + 1
+        if left and right:
+            self.ends[at - 1] = self.ends.pop(at)
+            del self.begins[at]
+        elif left:
+            self.ends[at - 1] = k + 1
+        elif right:
+            self.begins[at] = k
+        else:
+            self.begins.insert(at, k)
+            self.ends.insert(at, k + 1)
 
 
 def global_deck_ids(cards: DataFrame) -> DataFrame:
@@ -89,50 +135,47 @@ def global_deck_ids(cards: DataFrame) -> DataFrame:
 
     The first fingerprint of a key owns it; another takes the next integer that is free or its own. Rows are reduced to
     distinct (key, fingerprint) with their first place. A run of keys stands for itself once the fingerprints of all
-    smaller keys fit below it, which running sums over the distinct keys show; each run is then replayed by itself.
-    Needs a row per distinct key in one ordered window, and per run only its own distinct fingerprints.
+    smaller keys fit below it, which running sums over the distinct keys show. Runs are dealt out, sorted by first place
+    and read as they come: taken keys are a union of intervals, at most one for each distinct key of the run, and only
+    fingerprints that come with several keys are remembered, so a run is never held whole. Needs a row per distinct key
+    in one ordered window.
     """
-    rows = cards.withColumn("print", F.md5(F.concat_ws("\x00", "face_url", "back_url"))).withColumn("id", F.col("deck_key").try_cast("bigint")).where("id is not null")
+    rows = cards.withColumn("print", fingerprint("face_url", "back_url")).withColumn("id", F.col("deck_key").try_cast("bigint")).where("id is not null")
     firsts = materialise(rows.groupBy("id", "print").agg(F.min("ord").alias("first")), "fingerprints")
     per = firsts.groupBy("id").agg(F.count(F.lit(1)).alias("d"))
     before = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     up_to = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     load = per.withColumn("b", F.coalesce(F.sum("d").over(before), F.lit(0)) - F.col("id"))
     starts = load.withColumn("low", F.min("b").over(up_to)).withColumn("run", F.sum((F.col("b") == F.col("low")).cast("int")).over(up_to)).select("id", "run")
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        free: dict[int, int] = {}  # a taken key's next one, or a later one up to which all are taken
-        keys: dict[str, list[int]] = {}  # those of each fingerprint, ascending
-        out = []
-
-        def first_free(k: int) -> int:
-            seen = []
-            while (after := free.get(k)) is not None:
-                seen.append(k)
-                k = after
-            free.update((x, k) for x in seen)
-            return k
-
-        for i, p in pdf.sort_values(["first", "id", "print"])[["id", "print"]].itertuples(index=False):
-            k, own = first_free(i), keys.setdefault(p, [])
-            at = bisect_left(own, i)
-            if at < len(own) and own[at] < k:
-                k = own[at]
-            else:
-                insort(own, k)
-                free[k] = k + 1
-            out.append((i, p, k))
-        return pd.DataFrame(out, columns=["id", "print", "new_key"])
-
-    table = firsts.join(starts, "id").groupBy("run").applyInPandas(replay, "id long, print string, new_key long")
+    several = firsts.groupBy("print").agg((F.count(F.lit(1)) > 1).alias("several"))
+
+    def replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run, taken, keys = None, Spans(), {}
+        for f in frames:
+            new = []
+            for r, i, p, again in zip(f["run"], f["id"], f["print"], f["several"], strict=True):
+                if r != run:
+                    run, taken, keys = r, Spans(), {}
+                k, own = taken.first_free(i), keys.setdefault(p, []) if again else []
+                at = bisect_left(own, i)
+                if at < len(own) and own[at] < k:
+                    k = own[at]
+                else:
+                    insort(own, k)
+                    taken.add(k)
+                new.append(k)
+            yield f[["id", "print"]].assign(new_key=new)
+
+    dealt = firsts.join(starts, "id").join(several, "print").repartition("run").sortWithinPartitions("run", "first", "id", "print")
+    table = dealt.select("run", "id", "print", "several").mapInPandas(replay, "id long, print string, new_key long")
     joined = rows.join(table, ["id", "print"])
     moved = numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100)))
     return joined.select("ord", "deck_key", "new_key", F.when(F.col("new_key") == F.col("id"), F.col("card_id").cast("bigint")).otherwise(moved).alias("new_card_id"))
 
 
 def rank_ids(ids: DataFrame, key: str = "id") -> DataFrame:
-    """WIN-7: (id, rank), 0-based among the sorted distinct ids of a lookup table; one ordered window over it."""
-    return ids.select(F.col(key).alias("id")).distinct().withColumn("rank", F.row_number().over(Window.orderBy("id")) - 1)
+    """WIN-7: (id, rank), 0-based among the sorted distinct ids, as the places of a sorted manifest."""
+    return sorted_manifest(ids, key).select("id", F.col("position").cast("int").alias("rank"))
 
 
 def ordered_members(members: DataFrame, key: str = "container_id", item: str = "obj_id", order: str = "pos") -> DataFrame:

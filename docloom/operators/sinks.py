@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.checkpoints import materialise
 from docloom.functions import paths
 
 #: Fixed values of the file format.
@@ -51,5 +52,21 @@ def run_report(df: DataFrame, **counters: Column) -> DataFrame:
 
 
 def skipped_ids(df: DataFrame, key: str) -> DataFrame:
-    """AGG-2: one row: the sorted distinct keys, and their number."""
+    """AGG-2: one row: the sorted distinct keys, and their number; for reports of a bounded size (else `sorted_manifest`)."""
     return df.agg(F.sort_array(F.collect_set(key)).alias("ids"), F.countDistinct(key).alias("n_ids"))
+
+
+def sorted_manifest(df: DataFrame, key: str) -> DataFrame:
+    """AGG-2 at any size: (id, position) of the sorted distinct keys, 0-based; null keys are left out.
+
+    Keys are dealt by ranges and sorted within them, and written once; a key's place in its file and the number of keys in
+    the files before make its position. What is gathered is a row a file.
+    """
+    ids = df.select(F.col(key).alias("id")).where("id is not null").distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.repartitionByRange(parts, "id").sortWithinPartitions("id").withColumn("m", F.monotonically_increasing_id())
+    written = materialise(ranged, "manifest").select("id", F.shiftright("m", 33).alias("part"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    sizes = written.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(sizes.select("part", before.alias("offset")))  # a row per shuffle partition at most
+    return written.join(offsets, "part").select("id", (F.col("offset") + F.col("place")).alias("position"))

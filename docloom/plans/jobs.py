@@ -22,6 +22,12 @@ def reprint_groups(catalog: DataFrame, code: str, duplicate_of: str) -> DataFram
     return groups.join(whole, "component").select(F.col("node").alias("id"), F.sort_array(F.array_except("all", F.array("node"))).alias("siblings"))
 
 
+def reprint_lists(catalog: DataFrame, code: str, duplicate_of: str) -> DataFrame:
+    """GRF-1: (component, members): one sorted list a group, named by its smallest code; as large as the groups together."""
+    groups = connected_components(catalog, code, duplicate_of)
+    return groups.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("members"))
+
+
 def reprint_map(catalog: DataFrame, code: str = "code", duplicate_of: str = "duplicate_of_code") -> DataFrame:
     """Job reprint_map: the group table of a catalogue's duplicates."""
     return sinks.group_table(reprint_groups(catalog, code, duplicate_of))
@@ -150,3 +156,9 @@ def console(raw: DataFrame, window_seconds: float = 2.0) -> tuple[DataFrame, Dat
     """Job console_stream on a table: (routed messages, printed errors)."""
     routed = messages.route_messages(raw)
     return routed, messages.throttle_errors(routed.where("route = 'error'"), window_seconds)
+
+
+def console_stream(raw: DataFrame, window_seconds: float = 2.0) -> DataFrame:
+    """Job console_stream from raw messages on, on a stream or a table: (kind, key, ts, text) of the latest scripts, the
+    errors printed, and all other messages."""
+    return (messages.console_stream if raw.isStreaming else messages.console_table)(raw, window_seconds)

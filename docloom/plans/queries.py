@@ -293,6 +293,12 @@ def snk7(s, d):
     return sinks.run_report(meta(s, d), matched=F.col("mid").isNotNull(), invalid=~json.is_json(F.col("gm_notes")))
 
 
+@query("agg2_sorted_manifest", "select path as id, row_number() over (order by path) - 1 as position from (select distinct path from files)", ("files",))
+def agg2_manifest(s, d):
+    f = view(s, d, "files")
+    return sinks.sorted_manifest(f.unionAll(f), "path")
+
+
 @query(
     "agg2_skipped_ids",
     "select array_to_string(list(distinct mid order by mid), ',') as ids, count(distinct mid) as n_ids from meta where mid is not null and mid not in (select code from catalog where clues > 0)",

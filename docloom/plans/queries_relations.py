@@ -349,6 +349,15 @@ def grf1_components(s, d):
     return connected_components(view(s, d, "catalog"), "code", "duplicate_of_code")
 
 
+@query(
+    "grf1_group_lists",
+    """select component, string_agg(code, ',' order by code) as members from (select code, lpad(cast(cast(floor(cast(code as bigint) / 16) as bigint) * 16 as string), 5, '0') as component from catalog) group by 1""",
+    ("catalog",),
+)
+def grf1_lists(s, d):
+    return jobs.reprint_lists(view(s, d, "catalog"), "code", "duplicate_of_code").select("component", F.array_join("members", ",").alias("members"))
+
+
 @query(
     "grf2_descendants",
     """select 'R' || n_regionkey as ancestor, 'N' || n_nationkey as descendant, 1 as depth from nation union all select 'N' || s_nationkey, 'S' || s_suppkey, 1 from supplier
@@ -549,3 +558,34 @@ def job_console(s, d):
 @query("job_console_routes", f"select {SCRIPTS} as route, count(*) as n, min(event_id) as first from messages group by 1", ("messages",))
 def job_console_routes(s, d):
     return jobs.console(view(s, d, "messages"))[0].groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+
+
+def raw_messages(s, d):
+    """Events as the console gets them: JSON texts, some of them broken or of other kinds."""
+    m = view(s, d, "messages")
+    k = F.col("event_id")
+    guid = lambda n: (k % n).cast("string")
+    entry = lambda n: F.struct(F.lit("n").alias("name"), guid(n).alias("guid"), F.concat(F.lit(f"s{n}-"), k).alias("script"))
+    body = F.struct(
+        F.col("message_id").alias("messageID"), F.when(F.col("message_id") == 3, F.col("body")).alias("error"), F.when(F.col("message_id") == 2, F.concat(F.lit("m"), k)).alias("message"),
+        F.when(F.col("message_id") == 5, k.cast("string")).alias("returnValue"), F.when(F.col("message_id") < 2, F.array(entry(5), entry(7))).alias("scriptStates"),
+    )
+    text = F.when(k % 50 == 0, "{broken").when(k % 50 == 1, '{"messageID": 9}').otherwise(F.to_json(body))
+    return m.select(F.col("ts").cast("timestamp").alias("ts"), guid(7).alias("target"), text.alias("value"))
+
+
+@query(
+    "job_console_stream",
+    ERRORS.replace("from messages where message_id = 3", "from messages where message_id = 3 and event_id % 50 > 1")
+    + """, g as (select * from messages where event_id % 50 > 1)
+    , s as (select ts, cast(event_id % 5 as string) as guid, 's5-' || event_id as script from g where message_id = 0
+      union all select ts, cast(event_id % 5 as string), 's5-' || event_id from g where message_id = 1 and event_id % 5 = event_id % 7
+      union all select ts, cast(event_id % 7 as string), 's7-' || event_id from g where message_id = 1)
+    select 'script' as kind, guid as key, epoch_us(max(ts)) as micros, arg_max(script, struct_pack(ts := ts, script := script)) as text from s group by guid
+    union all select 'error', body, epoch_us(ts), body from t
+    union all select 'print', null, epoch_us(ts), 'm' || event_id from g where message_id = 2
+    union all select 'return', null, epoch_us(ts), cast(event_id as string) from g where message_id = 5""",
+    ("messages",),
+)
+def job_console_stream(s, d):
+    return jobs.console_stream(raw_messages(s, d), 86400.0).select("kind", "key", F.unix_micros("ts").alias("micros"), "text")

@@ -323,3 +323,108 @@ def test_clean_decks_keeps_every_member(spark):
     members = spark.createDataFrame([(1, i, i % 3) for i in range(6)], "container_id int, pos int, obj_id int")
     objects = spark.createDataFrame([(k, "100", f"f{k}", "b", 10000 + k, f"p{k}") for k in range(3)], "obj_id int, deck_key string, face_url string, back_url string, card_id int, path string")
     assert jobs.clean_decks(members, objects).count() == 6
+
+
+def test_throttling_one_text_that_never_pauses(spark):
+    """A text whose times form one chain, others of single times, nulls and repeats: as the rule has it, one after the other."""
+    rnd = random.Random(12)
+    t, events = 0, [(None, 5), ("x", None), ("", 7), ("", 7), (None, 5)]
+    for _ in range(700):
+        t += rnd.choice([1, 3, 4, 9, 10, 11, 2])
+        events.append(("hot", t))
+    events += [(rnd.choice("ab"), rnd.randrange(400)) for _ in range(150)]
+    rnd.shuffle(events)
+    df = spark.createDataFrame(events, "body string, s int").select("body", F.timestamp_seconds("s").alias("ts")).repartition(5)
+    got = {}
+    for r in messages.throttle_errors(df, 10).select("body", F.unix_seconds("ts").alias("s")).collect():
+        got.setdefault(r.body, []).append(r.s)
+    bodies = {b for b, s in events if s is not None}
+    assert {b: sorted(x) for b, x in got.items()} == {b: throttled({s for x, s in events if x == b and s is not None}, 10) for b in bodies}
+    assert messages.throttle_errors(df.limit(0), 10).count() == 0
+
+
+def test_console_stream_equals_table(spark, tmp_path):
+    """Scripts, errors and the rest through one stateful operator, over files that come late, with a restart between them."""
+    import json
+
+    rnd = random.Random(3)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+    def message(k, at):
+        kind = rnd.choice([0, 1, 1, 2, 3, 3, 3, 5, 9])
+        states = [{"guid": str(rnd.randrange(3)), "script": f"s{k}-{i}"} for i in range(2)]
+        body = {"messageID": kind, "error": f"e{rnd.randrange(2)}", "message": f"m{k}", "guid": "g", "returnValue": str(k), "scriptStates": states}
+        return (at, str(rnd.randrange(3)), "{broken" if rnd.random() < 0.1 else json.dumps(body))
+
+    def put(rows):
+        spark.createDataFrame(rows, "s int, target string, value string").select(F.timestamp_seconds("s").alias("ts"), "target", "value").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        raw = spark.readStream.schema("ts timestamp, target string, value string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        out = messages.console_stream(raw, 10)
+        written = out.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{tmp_path}/out/{i}"))
+        written.option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+
+    times = [1000 + i for i in range(120)]
+    late = [t - rnd.randrange(60) for t in times]  # within the hour's watermark
+    sent = [message(k, t) for k, t in enumerate(late)]
+    put(sent[:60])
+    run()
+    put(sent[60:])
+    put([(20_000, "0", json.dumps({"messageID": 2, "message": "the end"}))])
+    run()
+    put([(40_000, "0", json.dumps({"messageID": 2, "message": "past the end"}))])
+    run()
+    whole = spark.read.parquet(f"{tmp_path}/in")
+    row = lambda r: (r.kind, r.key, r.ts, r.text)
+    want = sorted(map(row, messages.console_table(whole, 10).collect()), key=str)
+    got = list(map(row, spark.read.parquet(*[str(p) for p in (tmp_path / "out").iterdir()]).collect()))
+    scripts = {}
+    for kind, key, ts, text in got:
+        if kind == "script":
+            scripts[key] = max(scripts.get(key, (ts, text)), (ts, text))
+    now = sorted([("script", k, *x) for k, x in scripts.items()] + [x for x in got if x[0] != "script"], key=str)
+    assert now == want and any(x[0] == "error" for x in want) and scripts
+
+
+def test_spans_are_a_set_of_integers():
+    rnd = random.Random(2)
+    spans, kept = dedupe.Spans(), set()
+    for _ in range(500):
+        k = rnd.randrange(200)
+        free = next(x for x in range(k, 400) if x not in kept)
+        assert spans.first_free(k) == free
+        if rnd.random() < 0.3:
+            spans.add(free)
+            kept.add(free)
+            assert spans.top == max(kept)
+    assert sum(e - b for b, e in zip(spans.begins, spans.ends, strict=True)) == len(kept) and all(e < b for e, b in zip(spans.ends, spans.begins[1:], strict=False))
+
+
+def test_ids_tell_null_urls_from_others(spark):
+    cards = [(1, "10", "x", None, 1001), (2, "10", None, "x", 1002), (3, "10", "x", "", 1003), (4, "10", "x", None, 1004), (5, None, "x", "x", 1)]
+    df = spark.createDataFrame(cards, "ord int, deck_key string, face_url string, back_url string, card_id int")
+    assert {r.ord: (r.new_key, r.new_card_id) for r in dedupe.global_deck_ids(df).collect()} == {1: (10, 1001), 2: (11, 1102), 3: (12, 1203), 4: (10, 1004)}
+    own = df.select(F.lit("c").alias("container_id"), F.col("ord").alias("pos"), "deck_key", "face_url", "back_url", "card_id")
+    assert {r.pos: r.new_key for r in dedupe.canonical_deck_ids(own).collect()} == {1: 10, 2: 11, 3: 12, 4: 10}
+
+
+def test_canonical_ids_equal_the_sequential_rule(spark):
+    rnd = random.Random(5)
+    cards = [(rnd.choice("ab"), i, str(rnd.randrange(1, 12)), f"f{rnd.randrange(25)}", "b", i) for i in range(160)]
+    want, state = {}, {}
+    for c, pos, k, f, b, _ in cards:
+        prints, taken = state.setdefault(c, ({}, set()))
+        if (f, b) not in prints:
+            prints[f, b] = int(k) if int(k) not in taken else max(taken) + 1
+            taken.add(prints[f, b])
+        want[c, pos] = prints[f, b]
+    df = spark.createDataFrame(cards, "container_id string, pos int, deck_key string, face_url string, back_url string, card_id int").repartition(3)
+    assert {(r.container_id, r.pos): r.new_key for r in dedupe.canonical_deck_ids(df).collect()} == want
+
+
+def test_sorted_manifest_has_places_over_all_files(spark):
+    df = spark.createDataFrame([(x,) for x in ["b", "a", None, "c", "b", *(f"k{i:04}" for i in range(500))]], "name string").repartition(7)
+    got = {r.id: r.position for r in sinks.sorted_manifest(df, "name").collect()}
+    assert got == {x: i for i, x in enumerate(sorted(got))} and len(got) == 503
+    assert sinks.sorted_manifest(df.limit(0), "name").count() == 0
