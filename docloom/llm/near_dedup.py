@@ -261,7 +261,7 @@ def same_enough(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
 
 
 def open_links(rooted: DataFrame, bits: int, families: int, least: float, similarity: float) -> DataFrame:
-    """(a, b): links between roots, verified on the sets in `hashes`; of a run as many as connect what its pairs connect."""
+    """(a, b): roots that links connect, verified on the sets in `hashes`; of a run as many as connect what its pairs connect."""
     masks = family_masks(bits, families)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +272,7 @@ def open_links(rooted: DataFrame, bits: int, families: int, least: float, simila
                 for y in other:
                     if now[x] != now[y] and same_enough(sets[x], sets[y], similarity):
                         now[now == now[y]] = now[x]
-                        yield batch(a=longs([min(ids[x], ids[y])]), b=longs([max(ids[x], ids[y])]))
+                        yield batch(a=longs([min(root[x], root[y])]), b=longs([max(root[x], root[y])]))
 
     return _by_run(rooted, "root", "id", "fp", "n", "hashes").mapInArrow(search, "a long, b long")
 
@@ -301,13 +301,19 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y"), each, "a long, b long")
 
 
-def near_links(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): verified links between ids of different fingerprints. They connect whatever all pairs that meet, pass the
-    test of all bits and are verified connect.
+def with_roots(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """Rows (id) with their `root`: the component of the id, else itself."""
+    return rows.join(linked, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "id")).drop("node", "component")
+
+
+def near_roots(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """`distinct` with the `root` of each id: what verified links connect has one. They connect whatever all pairs that
+    meet, pass the test of all bits and are verified connect.
 
     First every text is verified against one other, the nearest that reaches it. Where texts of a run are still in different
     groups, all pairs of different groups that pass the test of all bits are verified within the run, to which only the
-    texts of such pairs bring their shingles; a pair belongs to the first family in which it meets.
+    texts of such pairs bring their shingles; a pair belongs to the first family in which it meets. What those connect are
+    the roots of the first groups, so the second search for components sees those links alone.
     """
     least = similarity - NOISE
     bits, families = family_plan(distinct.count())
@@ -315,14 +321,14 @@ def near_links(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, s
     first = materialise(first_links(runs, distinct, similarity + SURE), "candidates")
     ends = first.select(F.col("a").alias("id")).unionAll(first.select(F.col("b").alias("id"))).distinct()
     sets = materialise(shingle_sets(tagged, distinct.join(ends, "id", "left_semi"), doc_id, text, shingle), "shingles")
-    links = materialise(verified(first, sets, similarity), "links")
-    linked = connected_components(links, "a", "b")
-    rooted = with_prints(runs, distinct).join(linked, F.col("id") == F.col("node"), "left").select("family", "key", "id", "fp", "n", F.coalesce("component", "id").alias("root"))
-    left = materialise(open_texts(rooted, bits, families, least), "open")
+    linked = connected_components(verified(first, sets, similarity), "a", "b")
+    rooted = materialise(with_roots(distinct, linked), "roots")
+    prints = rooted.select("id", "fp", F.col("n").cast("double").alias("n"), "root")
+    left = materialise(open_texts(runs.join(prints, "id"), bits, families, least), "open")
     more = left.select("id").distinct().join(sets, "id", "left_anti")
     sets = sets.unionAll(materialise(shingle_sets(tagged, distinct.join(more, "id", "left_semi"), doc_id, text, shingle), "shingles"))
-    held = left.join(rooted, ["family", "key", "id"]).join(sets, "id")
-    return links.unionAll(materialise(open_links(held, bits, families, least, similarity), "links"))
+    joined = connected_components(open_links(left.join(prints, "id").join(sets, "id"), bits, families, least, similarity), "a", "b")
+    return rooted.join(joined, F.col("root") == F.col("node"), "left").withColumn("root", F.coalesce("component", "root")).drop("node", "component")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -341,8 +347,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("digest"))
     groups = prints(tagged, doc_id, text, shingle).groupBy("fp", "n").agg(F.min(order).alias("best"))
     distinct = materialise(groups.withColumn("id", F.xxhash64("fp", "n")), "fingerprints")
-    linked = connected_components(near_links(tagged, distinct, doc_id, text, shingle, similarity), "a", "b")
-    rooted = distinct.join(linked, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "id"))
+    rooted = near_roots(tagged, distinct, doc_id, text, shingle, similarity)
     stay = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__d"), F.col("best.digest").alias("__u"))
     same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__u"))
     return tagged.join(stay, same, "left_semi").dropDuplicates([doc_id, "__digest"]).select(*plain.columns).toDF(*docs.columns)
