@@ -57,6 +57,7 @@ class Frame:
     numbers: bool = False  # whether whole numbers are watched too
     members: list[Member] = field(default_factory=list)
     more: str | None = None  # a member to put after the last one
+    state: Any = None  # what else a rule keeps
 
     def add(self, m: Member, watched: bool) -> None:
         last = self.members[-1] if self.members else None

@@ -162,6 +162,13 @@ def clear_metadata(objects: DataFrame, notes: str) -> DataFrame:
     return objects.withColumn(notes, F.when(F.col(notes).isNotNull(), F.lit("")))
 
 
+def clear_all_metadata(text: Column, notes: str = "GMNotes") -> Column:
+    """DOC-16 on whole documents: empty metadata wherever there is any, at all depths; all else as it is written. Null if
+    the text doesn't parse."""
+    keys = frozenset({notes})
+    return trees.rewritten(text, lambda inside: trees.Emptied(keys))["content"]
+
+
 def embed_short_metadata(objects: DataFrame, sidecars: DataFrame, limit: int = 80) -> DataFrame:
     """DOC-17: objects (path, notes_path) and sidecars (path, content) to (path, gm_notes, embedded, length): texts of at
     most `limit` characters move into the object, without line feeds at their end. Shuffles by path."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.checkpoints import materialise
 from docloom.functions import json, paths, trees
 from docloom.operators import dedupe, filters, layout, lookup, rewrite, sinks
 from docloom.operators.graph import connected_components
-from docloom.sources import catalogs, files
+from docloom.sources import catalogs, files, nested
 from docloom.streaming import messages
 
 
@@ -47,6 +48,29 @@ def clean_decks(members: DataFrame, objects: DataFrame, preserve: DataFrame | No
     return dedupe.dedupe_deck_members(files)
 
 
+def clean_decks_whole(members: DataFrame, objects: DataFrame, containers: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Job clean_decks from end to end: (containers whose lists change: (container_id, members, deck_ids, keys), survivors,
+    delete manifest of discarded files and their sidecars).
+
+    `containers` has container_id and nickname, `objects` also a `type`. Act and agenda decks keep their order; their lists
+    are otherwise treated alike. `keys` are the deck's keys by number. A file goes if it is discarded in some deck and kept in none.
+    """
+    typed = lookup.join_members(members, objects.select("obj_id", "type"))
+    preserve = filters.act_or_agenda_decks(containers, typed, "container_id", "nickname", "type").select("container_id")
+    done = clean_decks(members, objects, preserve)
+    key = F.substring("deck_id", 1, F.length("deck_id") - 2)
+    lists = done.withColumn("deck_id", F.col("deck_id").cast("string")).groupBy("container_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "file", "deck_id"))).alias("m"), F.sort_array(F.collect_set(key.cast("int"))).alias("keys")
+    )
+    lists = lists.select("container_id", F.col("m.file").alias("members"), F.col("m.deck_id").alias("deck_ids"), "keys")
+    before = dedupe.ordered_members(lookup.join_members(members, objects.where("deck_key is not null").select("obj_id", "path")).drop("obj_id"), item="path").withColumnRenamed("members", "old")
+    told = lists.join(before, "container_id")
+    changed = sinks.changed_only(told, F.col("old"), F.col("members")).select("container_id", "members", "deck_ids", "keys")
+    gone = done.where("discarded").select(F.col("old_file").alias("path")).distinct().join(done.select(F.col("file").alias("path")).distinct(), "path", "left_anti")
+    survivors, manifest = sinks.delete_manifest(files, gone)
+    return changed, survivors, manifest
+
+
 def layout_boxes(boxes: DataFrame) -> DataFrame:
     """Job layout_boxes: box statistics per image after filtering, grouping in rows and pruning."""
     kept, _ = layout.filter_boxes(boxes)
@@ -68,6 +92,34 @@ def strip_localized(cards: DataFrame, keep: list[str]) -> DataFrame:
     return sinks.changed_only(told, before, after).select("ord", "new_key", "new_card_id", "notes", "transform")
 
 
+def strip_localized_files(found: DataFrame, keep: list[str]) -> DataFrame:
+    """Job strip_localized from files on: (path, content) of the .json files that change, in the order of their paths.
+
+    The text from the first { to the last }, without a byte order mark; tags go, the metadata keeps `keep` (an id from the
+    guid where it has none), the transform is reset, and the first deck entry gets a key that is unique over all documents,
+    with the card id in step; an entry that moves is written anew. All else stays as it is written.
+    """
+    bodies = files.extract_json_body(files.decode_text(files.select_files(found, [".json"])).select("path", "content"))
+    fields = json.as_map(F.col("content"))
+    deck = F.from_json(F.col("f")["CustomDeck"], json.MAP)
+    entry = json.first_value(deck)
+    docs = materialise(bodies.withColumn("f", fields).where("f is not null"), "documents")
+    cards = docs.select(
+        F.col("path").alias("ord"), json.first_key(deck).alias("deck_key"), F.get_json_object(entry, "$.FaceURL").alias("face_url"), F.get_json_object(entry, "$.BackURL").alias("back_url"),
+        F.col("f")["CardID"].try_cast("bigint").alias("card_id"),
+    ).where("deck_key is not null")
+    ids = dedupe.global_deck_ids(cards).where(F.col("new_key").cast("string") != F.col("deck_key")).select(F.col("ord").alias("path"), "new_key", "new_card_id")
+    both = docs.join(ids, "path", "left")
+    listed = F.to_json(F.array("notes"))
+    f, place = F.col("f"), F.from_json(F.col("f")["Transform"], "scaleX double, scaleY double, scaleZ double")
+    told = both.withColumn("notes", F.to_json(rewrite.keep_metadata_keys(f["GMNotes"], keep))).withColumn("entry", entry)
+    values = {
+        "Tags": F.lit(""), "GMNotes": F.when(F.col("notes").isNotNull(), F.substring(listed, 2, F.length(listed) - 2)), "Transform": F.when(f["Transform"].isNotNull(), F.to_json(rewrite.reset_transform(place))),
+        "CustomDeck": F.when(F.col("new_key").isNotNull(), F.concat(F.lit('{"'), "new_key", F.lit('":'), "entry", F.lit("}"))), "CardID": F.col("new_card_id"),
+    }
+    return told.select("path", trees.with_members(F.col("content"), values).alias("new")).where("new.changed").select("path", "new.content")
+
+
 def minimize_documents(found: DataFrame, rules: trees.Defaults) -> DataFrame:
     r"""Job minimize_documents: files (path, content) to (path, content) of those that lose defaults or hold a \u escape.
 
@@ -92,11 +144,20 @@ def localize_by_name(snapshots: DataFrame, objects: DataFrame, sheet_url: str) -
 
 def localize_by_id(objects: DataFrame, catalog: DataFrame, containers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Job localize_by_id: (localised objects, rewritten containers, skipped codes)."""
+    found, renames, skipped, _ = localized_by_id(objects, catalog)
+    stems = renames.select(*(F.regexp_replace(c, r"^.*/|\.json$", "").alias(n) for c, n in (("old_path", "old"), ("new_path", "new"))))
+    return found, rewrite.rewrite_references(containers, stems.where("old <> new")), skipped
+
+
+def localized_by_id(objects: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Job localize_by_id, its tables: (localised objects, rename manifest, skipped codes, one row of counts)."""
     found = lookup.localize_by_id(objects, catalog)
     both = found.join(objects.select("obj_id", "path", "guid"), "obj_id")
-    renames = both.select(F.regexp_replace("path", r"^.*/|\.json$", "").alias("old"), rewrite.plan_file_name(F.col("new_name"), F.col("guid")).alias("new")).where("old <> new")
-    skipped = lookup.unmatched(objects.where(filters.needs_processing(F.col("gm_notes"))), catalog, "nickname", "code").select("nickname")
-    return found, rewrite.rewrite_references(containers, renames), skipped
+    renames = sinks.rename_manifest(both, "path", F.concat(rewrite.plan_file_name(F.col("new_name"), F.col("guid")), F.lit(".json")))
+    todo = objects.where(filters.needs_processing(F.col("gm_notes")))
+    told = todo.select("obj_id", "nickname").join(found.select("obj_id", F.lit(True).alias("hit")), "obj_id", "left")
+    report = sinks.run_report(told, localized=F.col("hit"), skipped=F.col("hit").isNull())
+    return found, renames, lookup.unmatched(todo, catalog, "nickname", "code").select("nickname"), report
 
 
 def attach_metadata(objects: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,6 +167,19 @@ def attach_metadata(objects: DataFrame, mapping: DataFrame) -> tuple[DataFrame,
     return typed.withColumn("tags", rewrite.derive_tags(F.col("type"), F.lit(None).cast("string"))), unused
 
 
+def attach_metadata_to_saves(docs: DataFrame, sheet: DataFrame, key: str = "doc_id", text: str = "content") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Job attach_metadata from saved documents and the sheet on: (matches (key, enter, id, tags), documents with all metadata
+    emptied, sheet rows without a card, sheet rows that don't parse). Cards are taken in the order in which they begin."""
+    mapping, rejects = catalogs.read_mapping_sheet(sheet)
+    flat = materialise(nested.nested_sets(docs, key, text).select(
+        F.col(key).alias("doc"), "enter", *(F.coalesce(F.get_json_object("object", f"$.{k}"), F.lit("")).alias(k.lower()) for k in ("Name", "Nickname", "Description"))
+    ), "objects")
+    cards = flat.where(filters.is_card(F.col("name"))).select(F.struct("doc", "enter").alias("obj_id"), F.struct("doc", "enter").alias("ord"), "nickname", "description")
+    hit, unused = attach_metadata(cards, mapping)
+    cleared = docs.select(key, rewrite.clear_all_metadata(F.col(text)).alias(text)).where(F.col(text).isNotNull())
+    return hit.select(F.col("obj_id.doc").alias(key), "obj_id.enter", "id", "tags"), cleared, unused, rejects
+
+
 def attach_metadata_by_id(objects: DataFrame, sheet: DataFrame, offset: int, cycle: str) -> tuple[DataFrame, DataFrame]:
     """Job attach_metadata_by_id: (cards with what the sheet's row of their number gives them, sheet rows without a card).
 

@@ -126,6 +126,49 @@ def src5(s, d):
     return flat.select("r_regionkey", F.try_variant_get("object", "$.Nickname", "string").alias("nickname"), F.array_join(F.col("ord_path").cast("array<string>"), ",").alias("at"), "depth")
 
 
+@query(
+    "src5_nested_sets",
+    """with b as (select s_suppkey // 50 as block, s_suppkey, row_number() over (partition by s_suppkey // 50 order by s_suppkey) as i from supplier)
+    select block, 'B' || block as nickname, 1 as enter, 1 + 2 * count(*) as leave, 0 as parent, 0 as place from b group by block
+    union all select block, 'S' || s_suppkey, 2 * i, 2 * i + 1, 1, i - 1 from b union all select block, 'C' || s_suppkey, 2 * i + 1, 2 * i + 1, 2 * i, 0 from b""",
+)
+def src5_nested(s, d):
+    k = F.col("s_suppkey")
+    one = F.concat(F.lit('{"Nickname":"S'), k, F.lit('","ContainedObjects" : [1, {"Nickname":"C'), k, F.lit('"}]}'))
+    rows = table(s, d, "supplier").select(F.floor(k / 50).alias("block"), "s_suppkey", one.alias("o"))
+    inner = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "o"))), lambda x: x["o"]), ",")
+    docs = rows.groupBy("block").agg(F.concat(F.lit('{"ContainedObjects":[{"Nickname":"no"}],"ObjectStates":[{"Nickname":"B'), F.first("block"), F.lit('","ContainedObjects":['), inner, F.lit("]}]}")).alias("content"))
+    flat = nested.nested_sets(docs, "block", "content")
+    return flat.select("block", F.get_json_object("object", "$.Nickname").alias("nickname"), "enter", "leave", "parent", "place")
+
+
+@query(
+    "src5_deep_documents",
+    "select s_suppkey, 1000 + s_suppkey % 7 as n, 999 + s_suppkey % 7 as deepest, cast((1000 + s_suppkey % 7) * (999 + s_suppkey % 7) / 2 as bigint) as inside from supplier",
+)
+def src5_deep(s, d):
+    content = F.concat(F.expr("repeat('{\"k\":[],\"ContainedObjects\":[', cast(s_suppkey % 7 + 1000 as int))"), F.lit("{}"), F.expr("repeat(']}', cast(s_suppkey % 7 + 1000 as int))"))
+    flat = nested.nested_sets(table(s, d, "supplier").select("s_suppkey", content.alias("content")), "s_suppkey", "content")
+    told = flat.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n"), F.max("depth").cast("bigint").alias("deepest"), F.sum(F.col("leave") - F.col("enter")).alias("inside"))
+    return told
+
+
+@query(
+    "grf2_nested_descendants",
+    """with b as (select s_suppkey // 50 as block, s_suppkey from supplier)
+    select block, 'B' || block as ancestor, 'S' || s_suppkey as descendant from b union all select block, 'B' || block, 'C' || s_suppkey from b union all select block, 'S' || s_suppkey, 'C' || s_suppkey from b""",
+)
+def grf2_nested(s, d):
+    k = F.col("s_suppkey")
+    one = F.concat(F.lit('{"Nickname":"S'), k, F.lit('","ContainedObjects":[{"Nickname":"C'), k, F.lit('"}]}'))
+    rows = table(s, d, "supplier").select(F.floor(k / 50).alias("block"), one.alias("o")).groupBy("block").agg(F.array_join(F.sort_array(F.collect_list("o")), ",").alias("os"))
+    docs = rows.select("block", F.concat(F.lit('[{"Nickname":"B'), "block", F.lit('","ContainedObjects":['), "os", F.lit("]}]")).alias("content"))
+    flat = nested.nested_sets(docs, "block", "content").withColumn("name", F.get_json_object("object", "$.Nickname"))
+    a, b = flat.alias("a"), flat.alias("b")
+    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & nested.lies_in("b", "a"))
+    return pairs.select("a.block", F.col("a.name").alias("ancestor"), F.col("b.name").alias("descendant"))
+
+
 @query("src6_catalog", "select code, name, xp from catalog", ("catalog",))
 def src6(s, d):
     rows = view(s, d, "catalog").withColumn("part", F.right("code", F.lit(2)))

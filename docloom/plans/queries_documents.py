@@ -301,6 +301,17 @@ def doc16(s, d):
     return rewrite.clear_metadata(cards(s, d), "gm_notes").select("obj_id", "gm_notes")
 
 
+@query(
+    "doc16_clear_all_metadata",
+    """select obj_id, '{"GMNotes":"","a":[{"GMNotes" : "","n":1.50},' || repeat('[', 500) || '{"GMNotes":""}' || repeat(']', 500) || '],"Notes":"' || nickname || '"}' as content from cards""",
+    ("cards",),
+)
+def doc16_all(s, d):
+    deep = F.concat(F.repeat(F.lit("["), F.lit(500)), F.lit('{"GMNotes":"'), F.col("obj_id"), F.lit('"}'), F.repeat(F.lit("]"), F.lit(500)))
+    doc = F.concat(F.lit('{"GMNotes":"x","a":[{"GMNotes" : {"GMNotes":1},"n":1.50},'), deep, F.lit('],"Notes":"'), "nickname", F.lit('"}'))
+    return cards(s, d).select("obj_id", rewrite.clear_all_metadata(doc).alias("content"))
+
+
 @query(
     "doc17_embed_short_metadata",
     "select path, case when length(gm_notes) + 1 <= 48 then gm_notes end as gm_notes, length(gm_notes) + 1 <= 48 as embedded, (length(gm_notes) + 1)::int as length from cards where gm_notes is not null",

@@ -516,6 +516,64 @@ def job_clean_decks(s, d):
     return jobs.clean_decks(view(s, d, "members"), cards(s, d)).drop("old_file")
 
 
+WHOLE = CANON.replace("CARD", FIXED) + """
+, acts as (select distinct container_id from members join meta using (obj_id) where mtype in ('Act', 'Agenda') union select distinct container_id from members where container_id % 50 = 0)
+, o as (select canon.*, case when acts.container_id is not null then pos else row_number() over (partition by canon.container_id order by new_card_id desc, pos) end as p from canon left join acts using (container_id))
+, done as (select container_id, p, path, new_key, new_card_id, min(path) over (partition by container_id, new_card_id) as file from o) """
+
+
+def whole_decks(s, d):
+    objects = cards(s, d).join(meta(s, d).select("obj_id", F.col("mtype").alias("type")), "obj_id")
+    m = view(s, d, "members")
+    named = m.select("container_id").distinct().withColumn("nickname", F.when(F.col("container_id") % 50 == 0, "The ACT deck").otherwise("deck"))
+    kept = cards(s, d).select("path")
+    return jobs.clean_decks_whole(m, objects, named, kept.unionAll(kept.select(F.regexp_replace("path", "json$", "gmnotes"))))
+
+
+@query(
+    "job_clean_decks_lists",
+    WHOLE + """select container_id, string_agg(file, ',' order by p) as members, string_agg(cast(new_card_id as string), ',' order by p) as deck_ids, array_to_string(list_sort(list(distinct new_key)), ',') as keys
+    from done group by container_id having string_agg(file, ',' order by p) <> (select string_agg(path, ',' order by pos) from members join cards using (obj_id) where members.container_id = done.container_id)""",
+    ("cards", "members"),
+)
+def job_clean_lists(s, d):
+    changed = whole_decks(s, d)[0]
+    return changed.select("container_id", F.array_join("members", ",").alias("members"), F.array_join("deck_ids", ",").alias("deck_ids"), F.array_join(F.col("keys").cast("array<string>"), ",").alias("keys"))
+
+
+@query(
+    "job_clean_decks_manifest",
+    WHOLE + """, gone as (select distinct path from done where path <> file and path not in (select file from done))
+    select path from gone where path in (select path from cards) union all select regexp_replace(path, 'json$', 'gmnotes') from gone""",
+    ("cards", "members"),
+)
+def job_clean_manifest(s, d):
+    return whole_decks(s, d)[2]
+
+
+def strip_files(s, d):
+    """Files of cards with a byte order mark and text around the object; every two neighbours claim one deck key."""
+    k = F.col("obj_id")
+    doc = F.concat(
+        F.lit('{"Name" : "Card","Tags":["a"],"GMNotes":'), F.lit('"{\\"TtsZoopGuid\\":\\"g'), k, F.lit('\\",\\"type\\":\\"Asset\\",\\"x\\":1}"'),
+        F.lit(',"Transform":{"posX":1,"rotY":90,"scaleX":0.5},"CardID":'), F.floor(k / 2) * 1000 + 7, F.lit(',"CustomDeck":{"'), F.floor(k / 2) * 10, F.lit('":{"FaceURL":"'), "face_url", F.lit('","n":1.50}}}'),
+    )
+    text = F.concat(F.lit("\ufeffx"), F.when(k % 10 == 3, "{broken}").otherwise(doc), F.lit(" tail"))
+    return cards(s, d).select(F.concat(F.lpad(k.cast("string"), 9, F.lit("0")), F.lit(".json")).alias("path"), text.alias("content"))
+
+
+@query(
+    "job_strip_localized_files",
+    """, c as (select obj_id, 10 * (obj_id // 2) + case when obj_id % 2 = 1 and obj_id % 10 <> 3 then 1 else 0 end as key, face_url from cards where obj_id % 10 <> 3)
+    select obj_id, '{"Name" : "Card","GMNotes":"{\\"type\\":\\"Asset\\",\\"id\\":\\"g' || obj_id || '\\"}","Transform":{"rotY":270.0,"scaleX":0.5,"scaleY":1.0,"scaleZ":1.0},"CardID":' ||
+      case when key % 10 = 1 then key || '07' else cast(obj_id // 2 * 1000 + 7 as string) end || ',"CustomDeck":{"' || key || '":{"FaceURL":"' || face_url || '","n":' || case when key % 10 = 1 then '1.5' else '1.50' end || '}}}' as content from c""",
+    ("cards",),
+)
+def job_strip_files(s, d):
+    out = jobs.strip_localized_files(strip_files(s, d), ["id", "type"])
+    return out.select(F.regexp_extract("path", r"(\d+)", 1).cast("bigint").alias("obj_id"), "content")
+
+
 @query("job_strip_localized")
 def job_strip_localized(s, d):
     return jobs.strip_localized(cards(s, d), ["id", "type"])
@@ -537,6 +595,81 @@ def job_localize(s, d):
     return jobs.localize_by_id(coded(s, d), catalog, containers)[1].select("container_id", F.array_join("members", ",").alias("members"))
 
 
+LOCAL = """, todo as (select m.obj_id, lpad(cast(m.obj_id % 700 as string), 5, '0') as nickname, m.path, m.guid from meta m where m.mid is null)
+    , hit as (select t.*, c.name from todo t join catalog c on c.code = t.nickname where c.type_code <> 'key') """
+
+
+def local_tables(s, d):
+    catalog = view(s, d, "catalog").withColumn("name", F.concat("name", F.lit("X"))).withColumn("real_name", F.col("name"))
+    return jobs.localized_by_id(coded(s, d), catalog)
+
+
+@query("job_localize_renames", LOCAL + "select path as old_path, regexp_replace(path, '[^/]*$', '') || replace(name, ' ', '') || 'X.' || guid || '.json' as new_path from hit", ("cards", "catalog"))
+def job_localize_renames(s, d):
+    return local_tables(s, d)[1]
+
+
+@query("job_localize_found", LOCAL + "select obj_id, nickname as code, name || 'X' as new_name from hit", ("cards", "catalog"))
+def job_localize_found(s, d):
+    return local_tables(s, d)[0].select("obj_id", "code", "new_name")
+
+
+@query("job_localize_report", LOCAL + "select count(*) as scanned, (select count(*) from hit) as localized, count(*) - (select count(*) from hit) as skipped from todo", ("cards", "catalog"))
+def job_localize_report(s, d):
+    return local_tables(s, d)[3]
+
+
+@query("job_localize_skipped", LOCAL + "select nickname from todo where nickname not in (select code from catalog)", ("cards", "catalog"))
+def job_localize_skipped(s, d):
+    return local_tables(s, d)[2]
+
+
+def saves(s, d):
+    """Saved documents of up to 40 cards inside a bag each, all with metadata, and a sheet with some broken rows."""
+    k = F.col("obj_id")
+    card = F.to_json(F.struct(F.lit("Card").alias("Name"), F.col("nickname").alias("Nickname"), F.col("description").alias("Description"), F.lit("{}").alias("GMNotes")))
+    rows = cards(s, d).where("name in ('Card', 'CardCustom')").select(F.floor(k / 40).alias("doc_id"), F.struct(k.alias("k"), card.alias("o")).alias("x"))
+    inner = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["o"]), ",")
+    docs = rows.groupBy("doc_id").agg(F.concat(F.lit('{"ObjectStates":[{"Name":"Bag","GMNotes":"b","ContainedObjects":['), inner, F.lit("]}]}")).alias("content"))
+    sheet = sheet_rows(s, d).select(
+        F.col("id").cast("int").alias("row"), "id", "name", "description", F.when(F.col("id").cast("int") % 5 == 1, "Location").otherwise("Asset").alias("type"),
+        F.when(F.col("id").cast("int") % 20 == 8, "{bad").otherwise('{"a":1,}').alias("metadata"),
+    )
+    return jobs.attach_metadata_to_saves(docs, sheet)
+
+
+SAVED = (
+    TWO_PASS.replace("where cast(code as int) % 2 = 0 group by 1, 2)", "where cast(code as int) % 2 = 0 group by 1, 2 having cast(min(code) as int) % 20 <> 8)").replace("from cards c left join", "from own c left join").replace(", sheet as", ", own as (select * from cards where name in ('Card', 'CardCustom')), sheet as")
+    + """, hit as (select obj_id, id, name, description from (select obj_id, id, nickname as name, description from one where id is not null) union all select * from two)
+    , place as (select obj_id, obj_id // 40 as doc_id, 1 + row_number() over (partition by obj_id // 40 order by obj_id) as enter from own) """
+)
+
+
+@query(
+    "job_attach_saves",
+    SAVED + "select doc_id, enter, id, case when cast(id as int) % 5 = 1 then 'Location,ScenarioCard' else 'Asset,PlayerCard' end as tags from hit join place using (obj_id)",
+    ("cards", "catalog"),
+)
+def job_attach_saves(s, d):
+    return saves(s, d)[0].select("doc_id", "enter", "id", F.array_join("tags", ",").alias("tags"))
+
+
+@query("job_attach_saves_cleared", "select obj_id // 40 as doc_id, count(*) + 1 as emptied, 0 as left_over from cards where name in ('Card', 'CardCustom') group by 1", ("cards",))
+def job_attach_saves_cleared(s, d):
+    n = lambda what: F.size(F.split("content", what, -1)).cast("bigint") - 1
+    return saves(s, d)[1].select("doc_id", n('"GMNotes":""').alias("emptied"), (n('"GMNotes":') - n('"GMNotes":""')).alias("left_over"))
+
+
+@query("job_attach_saves_unused", SAVED + "select name, description, id from sheet where id not in (select id from hit) and (name, description) not in (select name, description from used)", ("cards", "catalog"))
+def job_attach_saves_unused(s, d):
+    return saves(s, d)[2]
+
+
+@query("job_attach_saves_rejects", TWO_PASS + "select cast(id as int) + 2 as sheet_row, id from sheet where cast(id as int) % 20 = 8", ("cards", "catalog"))
+def job_attach_saves_rejects(s, d):
+    return saves(s, d)[3]
+
+
 @query(
     "job_attach_metadata",
     TWO_PASS + """, hit as (select obj_id, id from one where id is not null union all select obj_id, id from two)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
+from docloom.functions.nesting import nested_objects
 
+#: Letters of objects handed to Spark at once, about.
+ROWS_BYTES = 4 << 20
 CONTAINER = r"^(OBJECT|ARRAY)"
 
 
@@ -16,31 +20,53 @@ def _children(level: DataFrame, value: str) -> DataFrame:
     return level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col(value).outer()))
 
 
-def flatten_objects(docs: DataFrame, key: str, text: str, root: str = "ObjectStates", children: str = "ContainedObjects", max_depth: int = 64) -> DataFrame:
-    """SRC-5: (key, ord_path, depth, object) of every object nested in a saved document, as a variant.
+def nested_sets(docs: DataFrame, key: str, text: str, root: str = "ObjectStates", children: str = "ContainedObjects", paths: bool = False) -> DataFrame:
+    """SRC-5, GRF-2, JOIN-13: (key, enter, leave, depth, parent, place, object) of every object nested in a saved document.
 
-    Roots are the elements of `root`, else of a top-level list or `children`, else the object itself. `ord_path` holds
-    the 0-based positions, so ordering by it is pre-order. Levels are exploded one after the other, each narrow, until
-    one is empty; documents that don't parse have no rows.
+    `enter` numbers a document's objects in pre-order from 1, `leave` is the largest number within an object, so what lies
+    in it at any depth is an interval (`lies_in`); `parent` is the number of the object right around it, 0 for roots. `object`
+    is its own text, the lists of its objects empty, so a document's rows are as long as its text together. With `paths` also
+    `ord_path`, the places from the root on. Roots as in `flatten_objects`. Narrow: one pass over each text, at any depth;
+    a document that doesn't parse has no rows.
     """
-    parsed = docs.select(F.col(key), F.try_parse_json(F.col(text)).alias("v")).where("v is not null")
-    is_list = F.schema_of_variant("v").startswith("ARRAY")
-    lists = F.coalesce(
-        F.when(is_list, F.col("v")), F.try_variant_get("v", f"$.{root}", "variant"), F.try_variant_get("v", f"$.{children}", "variant"),
-        F.to_variant_object(F.array("v")),
-    )
-    level = parsed.select(key, F.array().cast("array<int>").alias("at"), lists.alias("list"))
-    found = None
-    for depth in range(max_depth):
-        level = _children(level.where("list is not null"), "list").select(
-            key, F.concat("at", F.array("pos")).alias("ord_path"), F.lit(depth).alias("depth"), F.col("value").alias("object")
-        )
-        level = materialise(level, "level")
-        if level.isEmpty():
-            return level if found is None else found
-        found = level if found is None else found.unionAll(level)
-        level = level.select(key, F.col("ord_path").alias("at"), F.try_variant_get("object", f"$.{children}", "variant").alias("list"))
-    raise ValueError(f"objects nest deeper than {max_depth}")
+    kind = docs.schema[key].dataType.simpleString()
+    shape = "key " + kind + ", enter long, leave long, depth int, parent long, place int, object string, ord_path array<int>"
+
+    def flat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["key", "enter", "leave", "depth", "parent", "place", "object", "ord_path"]
+        for f in frames:
+            for k, t in zip(f["key"], f["text"], strict=True):
+                at: list[int] = []
+                rows, size = [], 0
+                for enter, leave, depth, parent, place, own in nested_objects(t, root, children):
+                    del at[depth:]
+                    at.append(place)
+                    rows.append((k, enter, leave, depth, parent, place, own, list(at) if paths else None))
+                    size += len(own) + 8 * depth * paths
+                    if size > ROWS_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null").mapInPandas(flat, shape)
+    found = found if paths else found.drop("ord_path")
+    return found.withColumnRenamed("key", key)
+
+
+def lies_in(inner: str, outer: str) -> Column:
+    """Whether the object of one alias lies in that of another, at any depth, of one document."""
+    return (F.col(f"{outer}.enter") < F.col(f"{inner}.enter")) & (F.col(f"{inner}.enter") <= F.col(f"{outer}.leave"))
+
+
+def flatten_objects(docs: DataFrame, key: str, text: str, root: str = "ObjectStates", children: str = "ContainedObjects") -> DataFrame:
+    """SRC-5: (key, ord_path, depth, object) of every object nested in a saved document, as a variant, the lists of its own
+    objects empty.
+
+    Roots are the objects of `root`, else of a top-level list or `children`, else the object itself. `ord_path` holds the
+    0-based positions, so ordering by it is pre-order. Narrow; documents that don't parse have no rows.
+    """
+    return nested_sets(docs, key, text, root, children, paths=True).select(key, "ord_path", "depth", F.try_parse_json("object").alias("object"))
 
 
 def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> DataFrame:
@@ -65,18 +91,21 @@ def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> Da
     raise ValueError(f"documents nest deeper than {max_depth}")
 
 
-def descendants(edges: DataFrame, parent: str, child: str, max_depth: int = 64) -> DataFrame:
-    """GRF-2: (ancestor, descendant, depth) of a containment tree, by one join with the edges per level; each level's
-    edge count can't exceed the pairs at that depth. Cycles end in an error, not in an endless loop."""
+def descendants(edges: DataFrame, parent: str, child: str) -> DataFrame:
+    """GRF-2: (ancestor, descendant, depth) of a containment tree at any depth. Each round joins the pairs as far apart as any
+    yet with all pairs, which doubles how far they reach, and is written down. Cycles end in an error."""
     step = edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).where("p is not null and c is not null").distinct()
-    level = step.select(F.col("p").alias("ancestor"), F.col("c").alias("descendant"), F.lit(1).alias("depth"))
-    found = level
-    for depth in range(2, max_depth + 1):
-        level = level.join(step, F.col("descendant") == F.col("p")).select("ancestor", F.col("c").alias("descendant"), F.lit(depth).alias("depth"))
-        if level.isEmpty():
+    found = materialise(step.select(F.col("p").alias("ancestor"), F.col("c").alias("descendant"), F.lit(1).alias("depth")), "closure")
+    reach = 1
+    while True:
+        on = found.select(F.col("ancestor").alias("mid"), F.col("descendant").alias("end"), F.col("depth").alias("more"))
+        far = found.where(F.col("depth") == reach).join(on, F.col("descendant") == F.col("mid"))
+        far = materialise(far.select("ancestor", F.col("end").alias("descendant"), (F.col("depth") + F.col("more")).alias("depth")), "closure")
+        if far.isEmpty():
             return found
-        found = found.unionAll(level)
-    raise ValueError(f"containment nests deeper than {max_depth}")
+        if not far.where(F.col("ancestor") == F.col("descendant")).isEmpty():
+            raise ValueError("the containment has a cycle")
+        found, reach = found.unionAll(far), 2 * reach
 
 
 def records_from(docs: DataFrame, key: str, text: str, fields: Sequence[str]) -> DataFrame:

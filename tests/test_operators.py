@@ -428,3 +428,36 @@ def test_sorted_manifest_has_places_over_all_files(spark):
     got = {r.id: r.position for r in sinks.sorted_manifest(df, "name").collect()}
     assert got == {x: i for i, x in enumerate(sorted(got))} and len(got) == 503
     assert sinks.sorted_manifest(df.limit(0), "name").count() == 0
+
+
+def test_nested_sets_by_hand(spark):
+    docs = [
+        '{"ContainedObjects":[{"x":1}],"ObjectStates":[{"a":1,"ContainedObjects":[{"b":[{"c":1}]},3,{"d":2,"ContainedObjects":[]}]},{"e":1}]}', '{"ContainedObjects":[{"x":1},{"y":2}]}',
+        '[{"a":1,"ContainedObjects":[{}]},[{"z":1}]]', "5", "{}", "broken", '{"ObjectStates":[],"ContainedObjects":[{}]}', None,
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "key int, text string")
+    got = {}
+    for r in nested.nested_sets(df, "key", "text", paths=True).orderBy("key", "enter").collect():
+        got.setdefault(r.key, []).append((r.enter, r.leave, r.depth, r.parent, r.place, r.ord_path, r.object))
+    assert got == {
+        0: [(1, 3, 0, 0, 0, [0], '{"a":1,"ContainedObjects":[]}'), (2, 2, 1, 1, 0, [0, 0], '{"b":[{"c":1}]}'), (3, 3, 1, 1, 1, [0, 1], '{"d":2,"ContainedObjects":[]}'), (4, 4, 0, 0, 1, [1], '{"e":1}')],
+        1: [(1, 1, 0, 0, 0, [0], '{"x":1}'), (2, 2, 0, 0, 1, [1], '{"y":2}')], 2: [(1, 2, 0, 0, 0, [0], '{"a":1,"ContainedObjects":[]}'), (2, 2, 1, 1, 0, [0, 0], "{}")], 4: [(1, 1, 0, 0, 0, [0], "{}")],
+    }
+
+
+def test_descendants_of_a_long_chain_and_a_cycle(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(90)] + [(3, 200), (None, 1)], "p int, c int")
+    got = {(r.ancestor, r.descendant): r.depth for r in nested.descendants(edges, "p", "c").collect()}
+    assert got == {(i, j): j - i for i in range(91) for j in range(i + 1, 91)} | {(i, 200): 4 - i for i in range(4)}
+    with pytest.raises(ValueError):
+        nested.descendants(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "p int, c int"), "p", "c")
+
+
+def test_members_of_a_document_are_set_and_dropped(spark):
+    text = '{ "a" : 1, "b":{"a":2} ,"c":[1.50], "a":1}'
+    new = trees.with_members(F.col("t"), {"a": F.col("x"), "b": F.lit(None).cast("string"), "c": F.lit("")})
+    got = one(spark, new, t=text, x='{"q":1}')
+    assert (got.content, got.changed) == ('{ "a" : {"q":1}, "b":{"a":2}, "a":{"q":1}}', True)
+    got = one(spark, new, t='{"a":1.0}', x="1")
+    assert (got.content, got.changed) == ('{"a":1.0}', False)
+    assert one(spark, new, t="[1", x="1").content is None
