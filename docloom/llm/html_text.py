@@ -20,7 +20,7 @@ from docloom.llm.common import longs, map_batches, read, utf8
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.S
 )
-_NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't markup of the page's text.
@@ -36,13 +36,23 @@ CLOSED_BY = {
     "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "thead", "tr", "td", "th"),
 }
 SCOPE = frozenset("table ul ol dl select body html article section div td th nav footer header aside main form".split())
-#: Words in class or id that mark what isn't the article.
-UNLIKELY = frozenset(
-    "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments commentlist cookie cookies consent disclaimer disqus footer foot "
-    "gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted recommended "
-    "related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget alert aside".split()
+#: Words in names (class, id, role) that mark what isn't the article: those that do so wherever a name begins with them, and
+#: those that do so only in a name without other words than these and such of place and form.
+STRONG = frozenset(
+    "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs byline cookie cookies gdpr footer login masthead menu menus modal nav navbar navigation newsletter "
+    "pager pagination popup promo promoted recommended related sidebar sharing signup sponsored subscribe subscription topbar widget".split()
 )
+UNLIKELY = STRONG | frozenset("consent disclaimer header foot notice notices notification overlay search share skip social sponsor tags toolbar alert aside".split())
+FORM = frozenset(
+    "site top bottom left right primary secondary global mobile desktop sticky fixed bar box block wrap wrapper container inner outer list item items link links button buttons icon icons "
+    "section area panel row col column slot unit zone module message form group holder".split()
+)
+#: Words of reader comments: they go whatever else a name says.
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
 LIKELY = frozenset("article body content entry hentry main page post story text blog".split())
+#: Elements of running text: a paragraph called header isn't one.
+TEXT = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li dt dd td th figcaption span em strong b i".split())
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Share of all paragraphs' points that the container of the text has, if no element says that it is the article.
 MOST = 0.75
 PARAGRAPH = frozenset("p pre td blockquote li dd figcaption section div article main body".split())
@@ -58,21 +68,37 @@ class Node:
         self.length = self.linked = self.commas = 0
 
 
-def _words(attributes: str) -> frozenset:
-    """The words of class, id and role, and "hidden" where the element is."""
+def _names(attributes: str) -> list[str]:
+    """Class names, id and role, and "hidden" where the element is."""
     if not attributes or attributes.isspace():
-        return frozenset()
+        return []
     found = []
     for m in _NAMED.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
             found.append("hidden")
         elif name in ("class", "id", "role"):
-            found += re.split(r"[^a-z0-9]+", value)
-    return frozenset(found)
+            found += value.split()
+    return found
+
+
+def _words(names: list[str]) -> frozenset:
+    return frozenset(w for name in names for w in re.split(r"[^a-z0-9]+", name))
+
+
+def _unlikely(name: str, tag: str) -> bool:
+    """Whether a name says that the element isn't the article's."""
+    parts = [w for w in re.split(r"[^a-z0-9]+", name) if w and not w.isdigit()]
+    if not parts or LIKELY.intersection(parts):
+        return False
+    if parts[0] in STRONG:
+        return True
+    if tag in TEXT:
+        return len(parts) == 1 and parts[0] in UNLIKELY and parts[0] not in ("header", "foot")
+    return not UNLIKELY.isdisjoint(parts) and all(w in UNLIKELY or w in FORM for w in parts)
 
 
-def _apart(tag: str, words: frozenset, parent: Node) -> bool:
+def _apart(tag: str, names: list[str], words: frozenset, parent: Node, by_name: bool) -> bool:
     if parent.apart or tag in APART or "hidden" in words:
         return True
     if tag == "header":
@@ -80,13 +106,18 @@ def _apart(tag: str, words: frozenset, parent: Node) -> bool:
         while up and up.tag not in ("article", "main"):
             up = up.parent
         return up is None
-    return bool(words & UNLIKELY) and tag not in ("body", "html", "article", "main") and not words & LIKELY
+    if not by_name or tag in ("body", "html", "main"):
+        return False
+    if words & COMMENTS and (tag != "article" or any(n in COMMENTS or n.startswith("comment-") for n in names)):
+        return True
+    return tag != "article" and not words & LIKELY and any(_unlikely(n, tag) for n in names)
 
 
-def parse(page: str) -> Node:
-    """A tree of elements and texts, from markup that may be broken or cut off anywhere."""
+def parse(page: str, by_name: bool = True) -> Node:
+    """A tree of elements and texts, from markup that may be broken or cut off anywhere. What names tell to be no part of
+    the article is set apart, unless they aren't asked."""
     root = Node("html", frozenset(), None, False)
-    at, end, place = root, len(page), 0
+    at, end, place, headless = root, len(page), 0, False
     while place < end:
         m = _TAG.search(page, place)
         if m is None:
@@ -106,13 +137,16 @@ def parse(page: str) -> Node:
                 at = up.parent
             continue
         if tag in RAW and not m[3].endswith("/"):
+            if tag == "head" and headless:
+                continue
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)|<body\b" if tag == "head" else rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
             if tag == "head" and close is None:
+                headless = True  # nor does any other one close
                 continue
             place = (close.start() if close and close[0][:2] != "</" else close.end()) if close else end
             continue
         if tag in ("html", "body") and at.parent is None:
-            root.words |= _words(m[3])
+            root.words |= _words(_names(m[3]))
             continue
         if tag in BLOCK:
             while at.tag not in BLOCK and at.parent:
@@ -125,8 +159,9 @@ def parse(page: str) -> Node:
                 up = up.parent
             while up and up.tag in CLOSED_BY[tag] and up.parent:
                 at = up = up.parent
-        words = _words(m[3])
-        node = Node(tag, words, at, _apart(tag, words, at))
+        names = _names(m[3])
+        words = _words(names)
+        node = Node(tag, words, at, _apart(tag, names, words, at, by_name))
         at.items.append(node)
         if tag not in VOID and not m[3].endswith("/"):
             at = node
@@ -197,8 +232,12 @@ def _blocks(node: Node, out: list[str]) -> None:
 
 
 def main_text(page: str) -> str:
-    """The article's blocks, joined by blank lines; empty if there is none."""
-    root = parse(page)
+    """The article's blocks, joined by blank lines; empty if there is none. Where names set all text apart, as one around the
+    whole page does, they aren't asked."""
+    return _text_of(parse(page)) or _text_of(parse(page, by_name=False))
+
+
+def _text_of(root: Node) -> str:
     order = _measure(root)
     for node in order:
         own = sum(len(x.strip()) for x in node.items if isinstance(x, str))
@@ -242,7 +281,7 @@ def main_text(page: str) -> str:
         headline = x.tag in ("h1", "h2") and not any(not isinstance(y, str) and y.tag == "h1" for y in best.items)
         prose = x.tag in ("p", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "table") and _density(x) < 0.25
         alike = x.tag == best.tag and x.words == best.words and x.length and _density(x) < 0.25
-        if x is best or score >= near or prose or headline or alike:
+        if x is best or headline or best.tag != "main" and (score >= near or prose or alike):  # a main part stands for itself
             _blocks(x, out)
     return "\n\n".join(out)
 

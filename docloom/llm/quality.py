@@ -85,8 +85,9 @@ def quality_rules(
 
     A null text has no words and fails; documents of a null host make a host of their own; null or equal ids are
     kept apart by their text's digest; fully equal rows get equal verdicts, one row each; an empty table gives an
-    empty result; other columns are ignored. Line counts are sums over partial counts, so a line of a third of all
-    documents is no single task's work; per document only its own lines are held.
+    empty result; other columns are ignored. Line counts are sums over partial counts. The lines above the limit, few, go back
+    to their documents by a semi join, which Spark broadcasts while they are small and whose large partitions it splits
+    beyond that; per document only its own lines are held.
     """
     counts = materialise(document_counts(docs, doc_id, host, text), "quality")
     lines = counts.select("doc_id", "host", "digest", F.explode("lines").alias("line")).select("doc_id", "host", "digest", "line.h", "line.words")

@@ -228,3 +228,11 @@ def test_audit_of_an_empty_table(spark):
     assert audit.filter_audit(docs.limit(0), labels).count() == 0
     alone = audit.filter_audit(docs, labels.limit(0))
     assert alone.agg(F.sum("good_lost")).first()[0] == 0 and alone.count() == 600 * docs.select("source").distinct().count()
+
+
+def test_the_pipeline_runs_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    documents(spark).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
