@@ -15,11 +15,19 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where that is unset in local mode. On a cluster it must be set."""
+    """This application's folder in that of spark.checkpoint.dir; in a temporary one where that is unset in local mode. On a
+    cluster it must be set."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at and not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return (at or _own_dir()).rstrip("/")
+    return f"{(at or _own_dir()).rstrip('/')}/docloom-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all tables that this application has written there. For the end of a job, once its results are written:
+    DataFrames that come from such tables can't be read afterwards."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -91,6 +91,18 @@ def doc4(s, d):
     return documents(s, d).select("obj_id", F.array_join(rewrite.sort_keys_by_priority(keys, ["Nickname", "Name"]), ",").alias("keys"))
 
 
+@query(
+    "doc4_keys_of_each_row",
+    """select obj_id, case when obj_id % 2 = 0 then 'Nickname,' else '' end || case when obj_id % 3 > 0 then 'Name,' else '' end || 'CardID' || case when obj_id % 5 = 0 then ',Locked' else '' end || ',k' || obj_id % 4 as keys from cards""",
+    ("cards",),
+)
+def doc4_rows(s, d):
+    k = F.col("obj_id")
+    some = lambda cond, key: F.when(cond, F.lit(f'"{key}":1,')).otherwise("")
+    doc = F.concat(F.lit('{"k'), k % 4, F.lit('":0,'), some(k % 5 == 0, "Locked"), some(k % 3 > 0, "Name"), some(k % 2 == 0, "Nickname"), F.lit('"CardID":2}'))
+    return cards(s, d).select("obj_id", F.array_join(rewrite.sort_keys_by_priority(F.json_object_keys(doc), ["Nickname", "Name"]), ",").alias("keys"))
+
+
 @query(
     "doc5_round_state",
     """with p as (select p_partkey as obj_id, p_size as n, cast(p_retailprice as double) as price, (cast(round_even(p_size * 7.5::double / 15, 0) as bigint) * 15) % 360 as turned from part)

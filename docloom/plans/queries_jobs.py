@@ -89,7 +89,7 @@ NAMED = """, t as (select lower(case when xp > 0 then name || ' (' || xp || ')'
 
 
 def by_name(s, d):
-    rows = view(s, d, "catalog").withColumnRenamed("double_sided", "customizable").withColumn("part", F.right("code", F.lit(2)))
+    rows = view(s, d, "catalog").withColumnRenamed("double_sided", "customizable").withColumn("part", F.floor(F.col("code").cast("int") / 200))
     record = F.struct("code", "name", "subname", "xp", "customizable")
     snapshots = rows.groupBy("part").agg(F.collect_list(record).alias("all_card")).select(F.to_json(F.struct(F.struct("all_card").alias("data"))).alias("content"))
     return jobs.localize_by_name(snapshots, cards(s, d), COMMON[0])

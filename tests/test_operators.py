@@ -461,3 +461,14 @@ def test_members_of_a_document_are_set_and_dropped(spark):
     got = one(spark, new, t='{"a":1.0}', x="1")
     assert (got.content, got.changed) == ('{"a":1.0}', False)
     assert one(spark, new, t="[1", x="1").content is None
+
+
+def test_tables_of_the_application_are_removed(spark, tmp_path, monkeypatch):
+    from docloom import checkpoints
+
+    assert checkpoints.shared_dir(spark).endswith(f"docloom-{spark.sparkContext.applicationId}")
+    monkeypatch.setattr(checkpoints, "shared_dir", lambda s: f"file://{tmp_path}/app")
+    assert checkpoints.materialise(spark.range(5), "some").count() == 5
+    assert len(list(tmp_path.glob("app/some-*"))) == 1
+    checkpoints.release(spark)
+    assert not list(tmp_path.iterdir())
