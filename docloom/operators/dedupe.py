@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from docloom.checkpoints import materialise
 from docloom.functions import numbers, paths
 from docloom.operators.filters import first_seen, is_card
-from docloom.operators.sinks import sorted_manifest
+from docloom.operators.sinks import sorted_manifest, with_positions
 
 
 def unique_cards(objects: DataFrame, key: str = "container_id") -> DataFrame:
@@ -129,16 +130,20 @@ class Spans:
             self.ends.insert(at, k + 1)
 
 
-def global_deck_ids(cards: DataFrame) -> DataFrame:
+def global_deck_ids(cards: DataFrame, head: int = 100_000) -> DataFrame:
     """WIN-8: cards (ord, deck_key, face_url, back_url, card_id) with `new_key` and `new_card_id`, in `ord` over all documents.
     A card whose key stays keeps its card id as it is.
 
     The first fingerprint of a key owns it; another takes the next integer that is free or its own. Rows are reduced to
     distinct (key, fingerprint) with their first place. A run of keys stands for itself once the fingerprints of all
-    smaller keys fit below it, which running sums over the distinct keys show. Runs are dealt out, sorted by first place
-    and read as they come: taken keys are a union of intervals, at most one for each distinct key of the run, and only
-    fingerprints that come with several keys are remembered, so a run is never held whole. Needs a row per distinct key
-    in one ordered window.
+    smaller keys fit below it, which running sums over the distinct keys show (one ordered window over these).
+
+    The head of a run is read in order, its taken keys held as a union of intervals, until one interval covers all keys of the
+    run. From then on every new key comes right after the last one, whatever a row asks for; so the rest needs no order but
+    ranks: a row takes the smallest key that its fingerprint has from the head and that isn't below its own, else the next
+    ones go to the fingerprints in the order in which they first lack one. That is joins and positions over ranges, so a
+    run of any size spreads over tasks. A head is `head` rows, or four times the run's span of keys, and is read again eight
+    times as long where that isn't enough.
     """
     rows = cards.withColumn("print", fingerprint("face_url", "back_url")).withColumn("id", F.col("deck_key").try_cast("bigint")).where("id is not null")
     firsts = materialise(rows.groupBy("id", "print").agg(F.min("ord").alias("first")), "fingerprints")
@@ -146,31 +151,64 @@ def global_deck_ids(cards: DataFrame) -> DataFrame:
     before = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     up_to = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     load = per.withColumn("b", F.coalesce(F.sum("d").over(before), F.lit(0)) - F.col("id"))
-    starts = load.withColumn("low", F.min("b").over(up_to)).withColumn("run", F.sum((F.col("b") == F.col("low")).cast("int")).over(up_to)).select("id", "run")
+    starts = load.withColumn("low", F.min("b").over(up_to)).withColumn("run", F.sum((F.col("b") == F.col("low")).cast("int")).over(up_to))
+    runs = starts.groupBy("run").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("d").alias("n"))
+    ordered = with_positions(firsts.join(starts.select("id", "run"), "id"), "run", "first", "id", "print")
+    begins = ordered.groupBy("run").agg(F.min("position").alias("at"))
     several = firsts.groupBy("print").agg((F.count(F.lit(1)) > 1).alias("several"))
+    ordered = materialise(ordered.join(begins, "run").withColumn("position", F.col("position") - F.col("at")).drop("at").join(several, "print"), "ordered")
+    open_, heads, scale = runs.withColumn("limit", F.greatest(F.lit(head), 4 * (F.col("hi") - F.col("lo") + 1))), [], 1
+    while not open_.isEmpty():
+        part = ordered.join(open_, "run").where(F.col("position") < F.col("limit") * scale)
+        told = materialise(_replayed(part), "heads")
+        over = told.where("id is null").select("run").unionAll(open_.where(F.col("n") <= F.col("limit") * scale).select("run")).distinct()
+        heads.append(told.join(over, "run", "left_semi"))
+        open_, scale = open_.join(over, "run", "left_anti"), 8 * scale
+    told = reduce(DataFrame.unionAll, heads) if heads else materialise(_replayed(ordered.join(open_, "run")), "heads")
+    front, ends = told.where("id is not null"), told.where("id is null").select("run", F.col("new_key").alias("top"), F.col("position").alias("until"))
+    rest = ordered.join(ends, "run").where(F.col("position") > F.col("until"))
+    held = front.select(F.col("run").alias("r"), F.col("print").alias("p"), F.col("new_key").alias("k"))
+    own = (F.col("run") == F.col("r")) & (F.col("print") == F.col("p")) & (F.col("k") >= F.col("id"))
+    rest = materialise(rest.join(held, own, "left").groupBy("run", "id", "print", "position", "top").agg(F.min("k").alias("k")), "rest")
+    fresh = with_positions(rest.where("k is null").groupBy("run", "print").agg(F.min("position").alias("since"), F.min("top").alias("top")), "run", "since")
+    first = fresh.groupBy("run").agg(F.min("position").alias("at"))
+    given = fresh.join(first, "run").select("run", "print", (F.col("top") + F.col("position") - F.col("at")).alias("given"))
+    late = rest.join(given, ["run", "print"], "left").select("id", "print", F.coalesce("k", "given").alias("new_key"))
+    joined = rows.join(front.select("id", "print", "new_key").unionAll(late), ["id", "print"])
+    moved = numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100)))
+    return joined.select("ord", "deck_key", "new_key", F.when(F.col("new_key") == F.col("id"), F.col("card_id").cast("bigint")).otherwise(moved).alias("new_card_id"))
+
+
+def _replayed(part: DataFrame) -> DataFrame:
+    """(run, id, print, position, new_key) of the rows of each run in order, until one interval covers its keys; then a row
+    without id, whose new key is the next one and whose position is that of the last row told. Of fingerprints, only those that
+    come with several keys are held."""
 
     def replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, taken, keys = None, Spans(), {}
+        run, taken, keys, settled = None, Spans(), {}, False
         for f in frames:
-            new = []
-            for r, i, p, again in zip(f["run"], f["id"], f["print"], f["several"], strict=True):
+            out = []
+            for r, lo, hi, i, p, at, again in zip(f["run"], f["lo"], f["hi"], f["id"], f["print"], f["position"], f["several"], strict=True):
                 if r != run:
-                    run, taken, keys = r, Spans(), {}
+                    run, taken, keys, settled = r, Spans(), {}, False
+                if settled:
+                    continue
                 k, own = taken.first_free(i), keys.setdefault(p, []) if again else []
-                at = bisect_left(own, i)
-                if at < len(own) and own[at] < k:
-                    k = own[at]
+                place = bisect_left(own, i)
+                if place < len(own) and own[place] < k:
+                    k = own[place]
                 else:
                     insort(own, k)
                     taken.add(k)
-                new.append(k)
-            yield f[["id", "print"]].assign(new_key=new)
-
-    dealt = firsts.join(starts, "id").join(several, "print").repartition("run").sortWithinPartitions("run", "first", "id", "print")
-    table = dealt.select("run", "id", "print", "several").mapInPandas(replay, "id long, print string, new_key long")
-    joined = rows.join(table, ["id", "print"])
-    moved = numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100)))
-    return joined.select("ord", "deck_key", "new_key", F.when(F.col("new_key") == F.col("id"), F.col("card_id").cast("bigint")).otherwise(moved).alias("new_card_id"))
+                out.append((r, i, p, at, k))
+                if taken.first_free(lo) > hi:
+                    settled = True
+                    out.append((r, None, None, at, taken.first_free(lo)))
+            told = pd.DataFrame(out, columns=["run", "id", "print", "position", "new_key"])
+            yield told.astype({"id": "Int64"})
+
+    dealt = part.repartition("run").sortWithinPartitions("run", "position").select("run", "lo", "hi", "id", "print", "position", "several")
+    return dealt.mapInPandas(replay, "run long, id long, print string, position long, new_key long")
 
 
 def rank_ids(ids: DataFrame, key: str = "id") -> DataFrame:

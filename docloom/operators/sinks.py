@@ -56,17 +56,18 @@ def skipped_ids(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.sort_array(F.collect_set(key)).alias("ids"), F.countDistinct(key).alias("n_ids"))
 
 
-def sorted_manifest(df: DataFrame, key: str) -> DataFrame:
-    """AGG-2 at any size: (id, position) of the sorted distinct keys, 0-based; null keys are left out.
-
-    Keys are dealt by ranges and sorted within them, and written once; a key's place in its file and the number of keys in
-    the files before make its position. What is gathered is a row a file.
-    """
-    ids = df.select(F.col(key).alias("id")).where("id is not null").distinct()
+def with_positions(df: DataFrame, *order: str) -> DataFrame:
+    """The rows, written once, with their `position` in an order, 0-based: dealt by ranges and sorted within them; a row's
+    place in its file and the number of rows in the files before make it. What is gathered is a row a file."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = ids.repartitionByRange(parts, "id").sortWithinPartitions("id").withColumn("m", F.monotonically_increasing_id())
-    written = materialise(ranged, "manifest").select("id", F.shiftright("m", 33).alias("part"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
-    sizes = written.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = F.broadcast(sizes.select("part", before.alias("offset")))  # a row per shuffle partition at most
-    return written.join(offsets, "part").select("id", (F.col("offset") + F.col("place")).alias("position"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
+    written = materialise(ranged, "positions").withColumn("__part", F.shiftright("__m", 33)).withColumn("__place", F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__m")
+    sizes = written.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(sizes.select("__part", before.alias("__offset")))  # a row per shuffle partition at most
+    return written.join(offsets, "__part").withColumn("position", F.col("__offset") + F.col("__place")).drop("__part", "__place", "__offset")
+
+
+def sorted_manifest(df: DataFrame, key: str) -> DataFrame:
+    """AGG-2 at any size: (id, position) of the sorted distinct keys, 0-based; null keys are left out."""
+    return with_positions(df.select(F.col(key).alias("id")).where("id is not null").distinct(), "id")

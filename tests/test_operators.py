@@ -243,20 +243,28 @@ def test_embedded_ids_leftmost_longest_by_automaton_and_by_join(spark):
         assert rewrite.rewrite_embedded_ids(records, table.where("old = 'nothing'"), ["a"], map_bytes=limit).count() == 0
 
 
-def test_global_ids_equal_the_sequential_rule(spark):
-    for seed in range(4):
-        rnd = random.Random(seed)
-        cards = [(i, str(rnd.randrange(1, 40)), f"f{rnd.randrange(30)}", "b", i) for i in range(120)]
-        owner, want = {}, []
-        for _, k, f, b, _ in cards:
-            x = int(k)
-            while owner.setdefault(x, (f, b)) != (f, b):
-                x += 1
-            want.append(x)
-        df = spark.createDataFrame(cards, "ord int, deck_key string, face_url string, back_url string, card_id int").repartition(3)
-        got = dedupe.global_deck_ids(df).orderBy("ord").collect()
-        assert [r.new_key for r in got] == want
-        assert [r.new_card_id for r in got] == [i if str(k) == old else int(f"{k}{i % 100:02}") for (i, old, *_), k in zip(cards, want, strict=True)]
+def sequential_ids(cards):
+    owner, out = {}, []
+    for _, k, f, b, _ in cards:
+        x = int(k)
+        while owner.setdefault(x, (f, b)) != (f, b):
+            x += 1
+        out.append(x)
+    return out
+
+
+@pytest.mark.parametrize(("seed", "keys", "faces", "head"), [(0, 40, 30, 100_000), (1, 40, 30, 5), (2, 6, 90, 1), (3, 3, 40, 1), (4, 200, 60, 3)])
+def test_global_ids_equal_the_sequential_rule(spark, seed, keys, faces, head):
+    """Sparse and dense runs, heads read whole, in part and again, and rests by ranks."""
+    rnd = random.Random(seed)
+    key = lambda i: 9 if seed == 2 and i > 100 and rnd.random() < 0.2 else rnd.randrange(1, keys + 1)  # noqa: E731 (a key that comes late)
+    cards = [(i, str(key(i)), f"f{rnd.randrange(faces)}", "b", i) for i in range(160)]
+    want = sequential_ids(cards)
+    df = spark.createDataFrame(cards, "ord int, deck_key string, face_url string, back_url string, card_id int").repartition(3)
+    got = dedupe.global_deck_ids(df, head).orderBy("ord").collect()
+    assert [r.new_key for r in got] == want
+    assert [r.new_card_id for r in got] == [i if str(k) == old else int(f"{k}{i % 100:02}") for (i, old, *_), k in zip(cards, want, strict=True)]
+    assert dedupe.global_deck_ids(df.limit(0), head).count() == 0
 
 
 def test_survivors_and_manifest_are_all_files(spark):
