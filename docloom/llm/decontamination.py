@@ -4,7 +4,8 @@ A mask of cared and ignored positions turns a window of tokens into a seed: a ha
 substitution at an ignored position leaves it as it is. Seeds of documents and of benchmark items that are equal give
 a diagonal (document, item, offset), along which overlaps are grown around its hits and measured, with substitutions
 tolerated up to a share. Stretches on neighbouring diagonals, between which words were put in or left out, are added up.
-Items too short for a seed are looked up whole.
+Items of up to twelve tokens are looked up by their halves, one of which a single exchange leaves as it is; those
+of fewer than six whole.
 
 Texts are lower-cased, ASCII punctuation is dropped, tokens stand between ASCII white space. Benchmark items are taken
 in blocks of a bounded number of tokens; each block goes to all tasks and all documents are scanned against it, so
@@ -29,6 +30,10 @@ from docloom.llm.common import hand_back, longs, parts, plain_names, read, utf8
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 6, 7, 9), (0, 2, 3, 7, 8, 10), (0, 1, 4, 5, 8, 9))
 #: Hits of a document, or tokens on its diagonals, that are looked at together, about.
 AT_ONCE = 1 << 20
+#: Items of up to so many tokens are looked up by halves.
+HALVED = 12
+#: Periods at which repeated words are told, so that texts and items of few different words make few hits.
+PERIODS = range(1, 7)
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Benchmark tokens of one block, which every task holds: a few tens of MB at most.
 BLOCK_TOKENS = 200_000
@@ -59,6 +64,32 @@ def seeds(ids: np.ndarray, mask: tuple[int, ...], terms: list[np.ndarray] | None
     return h
 
 
+def repeats(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(period, how many known tokens up to each place equal the one a period before) of the periods that some window may have."""
+    found = []
+    for r in PERIODS:
+        same = ids[r:] == ids[:-r]
+        if np.count_nonzero(same) > MASKS[0][-1]:
+            same &= ids[r:] != 0
+            found.append((r, np.concatenate([[0], np.cumsum(same)])))
+    return found
+
+
+def periods(n: int, mask: tuple[int, ...], repeated: list[tuple[int, np.ndarray]]) -> np.ndarray | None:
+    """At each of `n` window starts, the smallest period at which the window goes on repeating what stands before it, else 0; None
+    if there is none. Only periods count of which the mask sees every place: then equal seeds mean equal windows."""
+    found, span = None, mask[-1] + 1
+    for r, sums in repeated:
+        if n <= r or len({k % r for k in mask}) < r:
+            continue
+        whole = sums[span:] - sums[:-span] == span
+        if whole.any():
+            found = np.zeros(n, np.int8) if found is None else found
+            own = found[r:]
+            own[whole & (own == 0)] = r
+    return found
+
+
 def grown(same: np.ndarray, at: int, penalty: float) -> tuple[int, int, int]:
     """(begin, end, matches) of the best-scoring stretch around position `at` of a diagonal: a match counts 1, a
     substitution -penalty."""
@@ -106,32 +137,55 @@ class Block:
                 items = [[i for (_, i), w in zip(own, which, strict=True) if w == k] for k in range(len(h))]
                 self.short.append((size, h, items))
         for mask in MASKS:
-            found = [(s, i, k) for i, ids in enumerate(self.ids) for k, s in enumerate(seeds(ids, mask)) if s]
-            found.sort()
-            h = np.array([x[0] for x in found], np.uint64)
-            self.tables.append((mask, h, np.array([x[1:] for x in found], np.int64).reshape(-1, 2)))
+            found = []
+            for i, ids in enumerate(self.ids):
+                own = seeds(ids, mask)
+                period = periods(len(own), mask, repeats(ids))
+                found += [(x, i, k, 0 if period is None else int(period[k])) for k, x in enumerate(own) if x]
+            self.tables.append((mask, *self._sorted(found), np.array([x[3] for x in sorted(found)], np.int8)))
+        self.halves = []
+        near = [(i, ids) for i, ids in enumerate(self.ids) if MASKS[0][-1] < len(ids) <= HALVED]
+        for length in range(len(MASKS[0]) // 2, HALVED // 2 + 1):
+            found = [(seeds(ids, tuple(range(length)))[k], i, k) for i, ids in near for k in (0, len(ids) - length) if length == (len(ids) // 2 if k == 0 else len(ids) - len(ids) // 2)]
+            if found:
+                self.halves.append((tuple(range(length)), *self._sorted(found)))
+
+    @staticmethod
+    def _sorted(found: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        found = sorted(found)
+        return np.array([x[0] for x in found], np.uint64), np.array([x[1:3] for x in found], np.int64).reshape(-1, 2)
+
+    @staticmethod
+    def _met(s: np.ndarray, at: np.ndarray, table: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, place in it, position) of the positions `at` whose seeds are in the table, some at a time."""
+        if not len(table) or not len(at):
+            return
+        first = np.searchsorted(table, s[at])
+        first[first == len(table)] = 0
+        ok = table[first] == s[at]
+        at, first = at[ok], first[ok]
+        many = np.searchsorted(table, s[at], "right") - first
+        if not len(at):
+            return
+        for i, j in _chunks(many, AT_ONCE):
+            n = many[i:j]
+            item, k = places[np.repeat(first[i:j] - np.cumsum(n) + n, n) + np.arange(n.sum())].T
+            yield item, k, np.repeat(at[i:j], n)
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         """(item, offset of the item in the document, hit position in the document), in this order. Of hits side by side on a
-        diagonal, which match in every token, the first is told."""
-        found, terms = [], _terms(ids, len(MASKS[0]))
-        for mask, table, places in self.tables:
+        diagonal, which match in every token, the first is told; and where text and item both go on with one period, the hit
+        a period before stands for the next, so those of repeated words are as many as positions, not as pairs."""
+        found, terms, repeated = [], _terms(ids, len(MASKS[0])), repeats(ids)
+        for mask, table, places, period in self.tables:
             s = seeds(ids, mask, terms)
             if not len(s) or not len(table):
                 continue
-            known = np.flatnonzero(s)
-            first = np.searchsorted(table, s[known])
-            first[first == len(table)] = 0
-            ok = table[first] == s[known]
-            known, first = known[ok], first[ok]
-            if not len(known):
-                continue
-            many = np.searchsorted(table, s[known], "right") - first
-            for i, j in _chunks(many, AT_ONCE):
-                n = many[i:j]
-                item, k = places[np.repeat(first[i:j] - np.cumsum(n) + n, n) + np.arange(n.sum())].T
-                p = np.repeat(known[i:j], n)
-                found.append(_run_starts(item, p - k, p))
+            own = periods(len(s), mask, repeated)
+            for r in (0,) if own is None else np.unique(own):
+                at = np.flatnonzero(s if own is None else (s != 0) & (own == r))
+                tables = (table, places) if r == 0 else (table[period != r], places[period != r])
+                found += [_run_starts(item, p - k, p) for item, k, p in self._met(s, at, *tables)]
         if not found:
             return None
         return found[0] if len(found) == 1 else _run_starts(*(np.concatenate(x) for x in zip(*found, strict=True)))
@@ -148,30 +202,74 @@ class Block:
             out.append(np.add.reduceat(same, starts, dtype=np.int64))
         return np.concatenate(out)
 
-    def stretches(self, ids: np.ndarray, penalty: float, single: np.ndarray, whole: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
-        """For each item, (offset, begin, end, matches) of the stretches around its hits, by offset and place. Items are left
-        out none of whose diagonals matches `single` of its tokens, nor all that have hits `whole`."""
-        found: dict[int, list[tuple[int, int, int, int]]] = {}
+    def along(self, ids: np.ndarray, item: int, d: int, hits: np.ndarray, penalty: float) -> Iterator[tuple[int, int, int, int]]:
+        """(offset, begin, end, matches) of the stretches around the hits of a diagonal, by place."""
+        own, done = self.ids[item], -1
+        a, b = max(0, d), min(len(ids), d + len(own))
+        same = ids[a:b] == own[a - d : b - d]
+        for x in hits.tolist():
+            if x >= done:  # others lie in a stretch that is known
+                begin, end, matches = grown(same, x - a, penalty)
+                done = a + end
+                yield d, a + begin, a + end, matches
+
+    def stretches(self, ids: np.ndarray, penalty: float, single: np.ndarray, whole: np.ndarray) -> tuple[dict[int, tuple[int, int, int]], dict[int, list]]:
+        """The best stretch (matches, -begin, end) of each item one of whose stretches matches `single` of its tokens; of other
+        items whose diagonals that have hits match `whole` of them together, all stretches by offset and place.
+
+        An item's longest diagonals are measured first. One that is too short to hold a better stretch than the best so
+        far, or an equal one that begins earlier, isn't looked at, so repeated words cost about one diagonal an item.
+        """
+        best: dict[int, tuple[int, int, int]] = {}
+        others: dict[int, list[tuple[int, int, int, int]]] = {}
         if (hits := self.hits(ids)) is None:
-            return found
+            return best, others
         item, offset, p = hits
         first = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (offset[1:] != offset[:-1])))
-        of, at = item[first], offset[first]
-        m = self.matches(ids, of, at)
-        enough = np.bincount(of, m, len(self.ids)) >= whole
-        enough[of[m >= single[of]]] = True
-        last = np.append(first[1:], len(p))
-        for g in np.flatnonzero(enough[of]):
-            i, d, done = int(of[g]), int(at[g]), -1
-            own = self.ids[i]
-            a, b = max(0, d), min(len(ids), d + len(own))
-            same = ids[a:b] == own[a - d : b - d]
-            for x in p[first[g] : last[g]].tolist():
-                if x >= done:  # others lie in a stretch that is known
-                    begin, end, matches = grown(same, x - a, penalty)
-                    done = a + end
-                    found.setdefault(i, []).append((d, a + begin, a + end, matches))
-        return found
+        of, at, last = item[first], offset[first], np.append(first[1:], len(p))
+        begin, m = np.maximum(at, 0), np.zeros(len(at), np.int64)
+        length = np.minimum(at + self.sizes[of], len(ids)) - begin
+        most, where = np.full(len(self.ids), -1), np.zeros(len(self.ids), np.int64)
+        better = lambda g, n: (n > most[of[g]]) | (n == most[of[g]]) & (begin[g] <= where[of[g]])
+        left = np.lexsort((begin, -length, of))
+        new = np.append(True, of[left][1:] != of[left][:-1])
+        rank = np.arange(len(left)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        left = left[np.argsort(rank, kind="stable")]
+        while len(left):
+            n = max(1, int(np.searchsorted(np.cumsum(length[left]), AT_ONCE, "right")))
+            now, left = left[:n], left[n:]
+            m[now] = self.matches(ids, of[now], at[now])
+            now = now[m[now] >= single[of[now]]]
+            for g in now[np.lexsort((begin[now], -m[now]))]:
+                i = int(of[g])
+                if better(g, m[g]):
+                    enough = [(n, -b, e) for _, b, e, n in self.along(ids, i, int(at[g]), p[first[g] : last[g]], penalty) if n >= single[i]]
+                    if enough and (i not in best or max(enough) > best[i]):
+                        best[i] = max(enough)
+                        most[i], where[i] = best[i][0], -best[i][1]
+            left = left[better(left, length[left])]
+        together = (np.bincount(of, m, len(self.ids)) >= whole) & (most < 0)
+        for g in np.flatnonzero(together[of]):
+            others.setdefault(int(of[g]), []).extend(self.along(ids, int(of[g]), int(at[g]), p[first[g] : last[g]], penalty))
+        return best, others
+
+    def by_halves(self, ids: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, tuple[int, int, int]]]:
+        """(item, (matches, -begin, end)) of the places where an item of up to HALVED tokens stands in the text with `least`
+        of its tokens, one half of it whole."""
+        for mask, table, places in self.halves:
+            s = seeds(ids, mask)
+            for item, k, p in self._met(s, np.flatnonzero(s), table, places):
+                inside = (p >= k) & (p - k + self.sizes[item] <= len(ids))
+                item, offset = item[inside], (p - k)[inside]
+                if not len(item):
+                    continue
+                m = self.matches(ids, item, offset)
+                enough = m >= least[item]
+                item, offset, m = item[enough], offset[enough], m[enough]
+                order = np.lexsort((offset, -m, item))
+                for g in order[np.append(True, item[order][1:] != item[order][:-1])[: len(order)]]:
+                    i, d = int(item[g]), int(offset[g])
+                    yield i, (int(m[g]), -d, d + len(self.ids[i]))
 
     def together(self, ids: np.ndarray, item: int, parts: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
         """(matches, begin, end) of the parts on neighbouring diagonals; a token of the item counts once."""
@@ -191,14 +289,14 @@ class Block:
         group of stretches."""
         words = tokens(data)
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
-        best: dict[int, tuple[int, int, int]] = {}
         least = np.maximum(np.minimum(min_matches, self.sizes), min_share * self.sizes)
-        for item, parts in self.stretches(ids, penalty, np.minimum(np.minimum(stretch, self.sizes), least), least).items():
-            size = len(self.ids[item])
-            much = lambda m: m >= min(min_matches, size) and m >= min_share * size  # noqa: B023, E731
-            enough = [(m, -begin, end) for _, begin, end, m in parts if much(m) or m >= min(stretch, size)]
-            if enough := enough or [(m, -begin, end) for m, begin, end in self.together(ids, item, parts) if much(m)]:
+        best, others = self.stretches(ids, penalty, np.minimum(np.minimum(stretch, self.sizes), least), least)
+        for item, parts in others.items():
+            if enough := [(m, -begin, end) for m, begin, end in self.together(ids, item, parts) if m >= least[item]]:
                 best[item] = max(enough)
+        if self.halves:
+            for item, found in self.by_halves(ids, np.maximum(np.minimum(min_matches, self.sizes - 1), min_share * self.sizes)):
+                best[item] = max(best.get(item, found), found)
         for size, table, items in self.short:
             s = seeds(ids, tuple(range(size)))
             at = np.minimum(np.searchsorted(table, s), len(table) - 1)
@@ -241,8 +339,9 @@ def overlaps(
     An item counts as overlapped if the stretch around some seed hit matches `stretch` of its tokens or more (all, if
     the item is shorter), however long the item; or if a stretch, or stretches together whose diagonals lie side by
     side, match at least `min_share` of its tokens and at least `min_matches` of them (all, if the item is shorter).
-    `penalty` tolerates one substitution for that many matches. Items of fewer tokens than the shortest window (6) count where
-    they stand whole; of these the first place is told.
+    `penalty` tolerates one substitution for that many matches. Items of 6 to 12 tokens also count where they stand with one
+    token exchanged (of 12 two, if one half is whole). Items of fewer tokens than the shortest window (6) count where they stand
+    whole; of these the first place is told.
 
     Null and empty texts, of documents and items, overlap nothing; rows with null or equal ids are looked at each;
     repeated rows give repeated results; other columns are ignored; an empty table on either side gives an empty

@@ -619,3 +619,57 @@ def test_narrow_operators_keep_clashing_columns(clashing):
     assert counted.columns == [*(c for c in clashing.columns if c != "text"), "n_bytes", "n_tokens"] and counted.select("`a.b`", "__text").distinct().collect() == [("own a.b", "own __text")]
     pages = clashing.withColumnRenamed("text", "html").withColumn("__html", F.lit("own"))
     assert extract_text(pages).select("`a.b`", "__html").distinct().collect() == [("own a.b", "own")] and extract_text(pages).count() == clashing.count()
+
+
+@pytest.mark.parametrize("size", [6, 7, 8, 9, 10, 11, 12])
+def test_decontamination_finds_short_items_with_a_token_exchanged(size):
+    """Every place of the exchange; with a second one only items of 12 count, and less of a short item never does."""
+    rnd = random.Random(size)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    item = [word() for _ in range(size)]
+    block = decontamination.Block([(1, " ".join(item).encode()), (2, b"other words stand here in this one")])
+    for place in range(size):
+        own = [word(), word(), *item[:place], word(), *item[place + 1 :], word()]
+        assert block.overlaps(" ".join(own).encode(), 0.5, 10, 2.0, 13) == [(1, 2, 2 + size, size - 1)]
+        own[2 + (place + 1) % size] = word()
+        assert [x[0] for x in block.overlaps(" ".join(own).encode(), 0.5, 10, 2.0, 13)] == [1] * (size == 12)
+        assert not block.overlaps(" ".join([word() for _ in range(9)] + item[: size // 2]).encode(), 0.5, 10, 2.0, 13)
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 7, 40])
+def test_decontamination_equals_all_diagonals_on_few_words(words):
+    """Both ways: no hit is false, and of random texts of few different words, with their periods, every item is found whose
+    best stretch around some contiguous seed is enough."""
+    rnd, found = random.Random(words), 0
+    letters = [chr(97 + i) for i in range(words)]
+    for _ in range(60):
+        items = [[rnd.choice(letters) for _ in range(rnd.randrange(13, 30))] for _ in range(2)]
+        items += [items[0][:2] * 9]
+        own = [rnd.choice(letters) for _ in range(rnd.randrange(40))] + [x if rnd.random() > 0.15 else rnd.choice(letters) for x in items[rnd.randrange(3)]] + items[0][:2] * rnd.randrange(12)
+        got = {i: (b, e, m) for i, b, e, m in decontamination.Block([(i, " ".join(x).encode()) for i, x in enumerate(items)]).overlaps(" ".join(own).encode(), 0.5, 10, 2.0, 13)}
+        for i, item in enumerate(items):
+            best = (0, 0, 0)
+            for d in range(-len(item) + 1, len(own)):
+                a, b = max(0, d), min(len(own), d + len(item))
+                same = np.array([own[k] == item[k - d] for k in range(a, b)])
+                for at in range(b - a - 5):
+                    if same[at : at + 6].all():
+                        begin, end, m = decontamination.grown(same, at, 2.0)
+                        best = max(best, (m, -(a + begin), a + end))
+            least = min(13, max(10, 0.5 * len(item)))
+            if best[0] >= least:
+                found += 1
+                assert got[i][2] >= best[0]
+            if i in got:
+                b, e, m = got[i]
+                assert 0 <= b < e <= len(own) and m >= least and m <= len(item)
+                assert sum(x in own[b:e] for x in item) >= m
+    assert found > 20
+
+
+def test_decontamination_of_repeated_words_takes_little_time():
+    for words in (["same"], ["a", "b"]):
+        block = decontamination.Block([(i, " ".join(words * (400 // len(words))).encode()) for i in range(20)])
+        began = time.process_time()
+        assert block.overlaps(" ".join(words * 20_000).encode(), 0.5, 10, 2.0, 13) == [(i, 0, 400, 400) for i in range(20)]
+        assert time.process_time() - began < 20
