@@ -11,6 +11,8 @@ Texts that meet in a family form a run. It is first searched by growing groups:
 that no group has yet, and the ones it reaches join its group. Each text keeps its nearest such link, so thousands of copies of
 one text make thousands of links, not millions of pairs. Then, within runs whose texts verified links don't connect, the
 pairs of different groups are verified in place, each pair in the first family in which it meets.
+
+Of texts of few shingles, whose bits often tie, similar ones are found exactly: they meet in the set of shingles that they share.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ HASHES, MEMBERS = 8, 16
 FAMILY_BITS = 20
 #: Share of pairs at the limit of similarity that meet in some family and pass the test of all bits, for any number of texts.
 RECALL = 0.92
+#: Shared shingles up to which pairs are found by the shared set itself, whatever their bits.
+SHORT = 8
 #: Families whose keys are made at once.
 AT_ONCE = 16
 
@@ -113,16 +118,51 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > n, bitorder="little").tobytes()
 
 
-def prints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(doc_id, digest, fp, n): fingerprint and distinct shingles of each whole text."""
+def shared_sizes(n: int, similarity: float) -> range:
+    """Sizes up to SHORT of what a set of n may share with one as similar; none if only equal sets are."""
+    least, most = math.ceil(similarity * n - 1e-9), math.floor(n / similarity + 1e-9)
+    return range(least, min(n, SHORT) + 1) if least < n or most > n else range(0)
+
+
+def prints(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """(doc_id, digest, fp, n, few): fingerprint and number of distinct shingles of each whole text, and the shingles
+    themselves if they are few."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col("__digest").alias("digest"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(wide_fingerprint(h), len(h)) for h in (shingle_hashes(x, shingle) for x in utf8(b.column("text")))]
-        return batch(doc_id=b.column("doc_id"), digest=b.column("digest"), fp=pa.array([x for x, _ in found], pa.binary()), n=longs([n for _, n in found]))
+        found = [(wide_fingerprint(h), len(h), h.tobytes() if shared_sizes(len(h), similarity) else None) for h in (shingle_hashes(x, shingle) for x in utf8(b.column("text")))]
+        fp, n, few = zip(*found, strict=True) if found else ((), (), ())
+        return batch(doc_id=b.column("doc_id"), digest=b.column("digest"), fp=pa.array(fp, pa.binary()), n=longs(n), few=pa.array(few, pa.binary()))
+
+    return map_batches(source, each, f"doc_id {kind}, digest string, fp binary, n long, few binary")
+
 
-    return map_batches(source, each, f"doc_id {kind}, digest string, fp binary, n long")
+def short_links(distinct: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): enough links to connect all pairs of this similarity that share SHORT shingles at most.
+
+    A set goes to each of its subsets that a similar set may share with it; two similar sets meet in what they share. There all
+    are linked with the smallest set, which is as similar to each as any other of them is, at least. A set of ten gives 45 rows,
+    smaller ones fewer; a subset that many hold is a partial minimum and a join.
+    """
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        ids, sizes, shared, keys = [], [], [], []
+        for i, data in zip(b.column("id").to_pylist(), b.column("few").to_pylist(), strict=True):
+            own = [data[k : k + 8] for k in range(0, len(data), 8)]  # in the order of the hashes
+            for size in shared_sizes(len(own), similarity):
+                for subset in combinations(own, size):
+                    ids.append(i)
+                    sizes.append(len(own))
+                    shared.append(size)
+                    keys.append(xxhash.xxh3_128_digest(b"".join(subset)))
+        return batch(id=longs(ids), n=longs(sizes), shared=longs(shared), subset=pa.array(keys, pa.binary()))
+
+    met = materialise(map_batches(distinct.where("few is not null").select("id", "few"), each, "id long, n long, shared long, subset binary"), "subsets")
+    smallest = met.groupBy("subset").agg(F.min(F.struct("n", "id")).alias("x"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    pairs = met.join(smallest.select("subset", F.col("x.n").alias("m"), F.col("x.id").alias("other")), "subset").where("id <> other")
+    pairs = pairs.where(F.col("shared") + 1e-9 >= similarity * (F.col("n") + F.col("m") - F.col("shared")))
+    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
 def coordinates(distinct: DataFrame, bits: int, count: int) -> DataFrame:
@@ -313,15 +353,18 @@ def near_roots(tagged: DataFrame, distinct: DataFrame, doc_id: str, text: str, s
     First every text is verified against one other, the nearest that reaches it. Where texts of a run are still in different
     groups, all pairs of different groups that pass the test of all bits are verified within the run, to which only the
     texts of such pairs bring their shingles; a pair belongs to the first family in which it meets. What those connect are
-    the roots of the first groups, so the second search for components sees those links alone.
+    the roots of the first groups, so the second search for components sees those links alone. Links of texts of few
+    shingles, which need no verification, are among the first.
     """
+    short = short_links(distinct, similarity)
+    distinct = distinct.drop("few")
     least = similarity - NOISE
     bits, families = family_plan(distinct.count())
     runs = materialise(meetings(distinct, bits, families), "runs")
     first = materialise(first_links(runs, distinct, similarity + SURE), "candidates")
     ends = first.select(F.col("a").alias("id")).unionAll(first.select(F.col("b").alias("id"))).distinct()
     sets = materialise(shingle_sets(tagged, distinct.join(ends, "id", "left_semi"), doc_id, text, shingle), "shingles")
-    linked = connected_components(verified(first, sets, similarity), "a", "b")
+    linked = connected_components(verified(first, sets, similarity).unionAll(short), "a", "b")
     rooted = materialise(with_roots(distinct, linked), "roots")
     prints = rooted.select("id", "fp", F.col("n").cast("double").alias("n"), "root")
     left = materialise(open_texts(runs.join(prints, "id"), bits, families, least), "open")
@@ -336,7 +379,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     last, then by the text's digest). Columns as in `docs`.
 
     Texts are near-duplicates if the Jaccard similarity of their sets of `shingle`-word shingles is `similarity` or
-    more, verified on the sets; pairs are found with a recall of RECALL at the limit. Groups are what links reach. Texts whose
+    more, verified on the sets; pairs are found with a recall of RECALL at the limit, all of them if they share SHORT shingles
+    at most. Groups are what links reach. Texts whose
     512 bits and numbers of shingles are equal count as equal. Texts of fewer words are one shingle; null and
     empty texts are alike and one of them stays. Rows equal in id and text are one document; other columns don't
     matter; an empty table gives an empty one. Equal fingerprints are reduced to one row first, so copies by the
@@ -345,7 +389,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     plain, (doc_id, text) = plain_names(docs, doc_id, text)
     tagged = plain.withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("digest"))
-    groups = prints(tagged, doc_id, text, shingle).groupBy("fp", "n").agg(F.min(order).alias("best"))
+    groups = prints(tagged, doc_id, text, shingle, similarity).groupBy("fp", "n").agg(F.min(order).alias("best"), F.min("few").alias("few"))
     distinct = materialise(groups.withColumn("id", F.xxhash64("fp", "n")), "fingerprints")
     rooted = near_roots(tagged, distinct, doc_id, text, shingle, similarity)
     stay = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__d"), F.col("best.digest").alias("__u"))

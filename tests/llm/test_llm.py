@@ -664,7 +664,7 @@ def test_decontamination_equals_all_diagonals_on_few_words(words):
                 b, e, m = got[i]
                 assert 0 <= b < e <= len(own) and m >= least and m <= len(item)
                 assert sum(x in own[b:e] for x in item) >= m
-    assert found > 20
+    assert found > 5
 
 
 def test_decontamination_of_repeated_words_takes_little_time():
@@ -673,3 +673,28 @@ def test_decontamination_of_repeated_words_takes_little_time():
         began = time.process_time()
         assert block.overlaps(" ".join(words * 20_000).encode(), 0.5, 10, 2.0, 13) == [(i, 0, 400, 400) for i in range(20)]
         assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("links", ["all", "short alone"])
+def test_near_dedup_of_short_texts_is_exact(spark, monkeypatch, links):
+    """Texts of 1 to 10 shingles and their variants, against all pairs; those that share up to eight shingles need no families."""
+    rnd = random.Random(41)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    texts = ["", "", "one two"]
+    for words in [*range(4, 13)] * 6:
+        base = [word() for _ in range(words)]
+        texts += [" ".join(x) for x in (base, [*base, word()], [word(), *base], [*base, word(), word()], base[:-1], [*base[:-1], word()], base[1:])]
+    texts += [" ".join(["same", "six", "words", "in", "all", "of", "them", "and", f"end{i}"]) for i in range(40)] + ["same six words in all of them and"]
+    sets = [set(near_dedup.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    pairs = 0
+    for i in range(len(texts)):
+        for k in range(i):
+            shared, every = len(sets[i] & sets[k]), len(sets[i] | sets[k])
+            if shared >= 0.8 * every - 1e-9 and (shared <= near_dedup.SHORT or links == "all"):
+                pairs += shared < every
+                root = [root[k] if r == root[i] else r for r in root]
+    want = sorted({min(i for i, r in enumerate(root) if r == x) for x in root})
+    if links != "all":
+        monkeypatch.setattr(near_dedup, "coordinates", lambda distinct, bits, count: distinct.where("false").selectExpr("0 as family", "cast(0 as long) as key", "id"))
+    assert sorted(r.doc_id for r in near_dedup.near_dedup(table(spark, texts)).collect()) == want and pairs > 100
