@@ -156,15 +156,20 @@ class Block:
         return np.array([x[0] for x in found], np.uint64), np.array([x[1:3] for x in found], np.int64).reshape(-1, 2)
 
     @staticmethod
-    def _met(s: np.ndarray, at: np.ndarray, table: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(item, place in it, position) of the positions `at` whose seeds are in the table, some at a time."""
+    def _located(s: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those of the positions `at` whose seeds are in the table, where in it, and how many times."""
         if not len(table) or not len(at):
-            return
-        first = np.searchsorted(table, s[at])
+            return at[:0], at[:0], at[:0]
+        own = s[at]
+        first = np.searchsorted(table, own)
         first[first == len(table)] = 0
-        ok = table[first] == s[at]
+        ok = table[first] == own
         at, first = at[ok], first[ok]
-        many = np.searchsorted(table, s[at], "right") - first
+        return at, first, np.searchsorted(table, s[at], "right") - first
+
+    @staticmethod
+    def _met(at: np.ndarray, first: np.ndarray, many: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, place in it, position) of what is located, some at a time."""
         if not len(at):
             return
         for i, j in _chunks(many, AT_ONCE):
@@ -176,16 +181,19 @@ class Block:
         """(item, offset of the item in the document, hit position in the document), in this order. Of hits side by side on a
         diagonal, which match in every token, the first is told; and where text and item both go on with one period, the hit
         a period before stands for the next, so those of repeated words are as many as positions, not as pairs."""
-        found, terms, repeated = [], _terms(ids, len(MASKS[0])), repeats(ids)
+        found, terms = [], _terms(ids, len(MASKS[0]))
         for mask, table, places, period in self.tables:
             s = seeds(ids, mask, terms)
-            if not len(s) or not len(table):
+            located = self._located(s, np.flatnonzero(s), table)
+            # periods are looked for where the pairs are many; they change no stretch
+            own = periods(len(s), mask, repeats(ids)) if located[2].sum() > AT_ONCE else None
+            if own is None:
+                found += [_run_starts(item, p - k, p) for item, k, p in self._met(*located, places)]
                 continue
-            own = periods(len(s), mask, repeated)
-            for r in (0,) if own is None else np.unique(own):
-                at = np.flatnonzero(s if own is None else (s != 0) & (own == r))
-                tables = (table, places) if r == 0 else (table[period != r], places[period != r])
-                found += [_run_starts(item, p - k, p) for item, k, p in self._met(s, at, *tables)]
+            for r in np.unique(own):
+                others = np.ones(len(period), bool) if r == 0 else period != r
+                located = self._located(s, np.flatnonzero((s != 0) & (own == r)), table[others])
+                found += [_run_starts(item, p - k, p) for item, k, p in self._met(*located, places[others])]
         if not found:
             return None
         return found[0] if len(found) == 1 else _run_starts(*(np.concatenate(x) for x in zip(*found, strict=True)))
@@ -258,7 +266,7 @@ class Block:
         of its tokens, one half of it whole."""
         for mask, table, places in self.halves:
             s = seeds(ids, mask)
-            for item, k, p in self._met(s, np.flatnonzero(s), table, places):
+            for item, k, p in self._met(*self._located(s, np.flatnonzero(s), table), places):
                 inside = (p >= k) & (p - k + self.sizes[item] <= len(ids))
                 item, offset = item[inside], (p - k)[inside]
                 if not len(item):

@@ -637,9 +637,10 @@ def test_decontamination_finds_short_items_with_a_token_exchanged(size):
 
 
 @pytest.mark.parametrize("words", [1, 2, 3, 7, 40])
-def test_decontamination_equals_all_diagonals_on_few_words(words):
+def test_decontamination_equals_all_diagonals_on_few_words(words, monkeypatch):
     """Both ways: no hit is false, and of random texts of few different words, with their periods, every item is found whose
     best stretch around some contiguous seed is enough."""
+    monkeypatch.setattr(decontamination, "AT_ONCE", 20 * words)
     rnd, found = random.Random(words), 0
     letters = [f"w{i}" for i in range(words)]
     for _ in range(60):
