@@ -73,7 +73,8 @@ def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> Da
     """(key, path, value, kind): a row for each scalar, null, and empty container; `path` is an array of keys and
     0-based positions written as [i]; `key` must have another name than these. Keys of objects come in alphabetical
     order, list elements in place. Levels are written down, so none is worked out twice."""
-    level = docs.select(F.col(key), F.array().cast("array<string>").alias("path"), F.try_parse_json(F.col(text)).alias("v")).where("v is not null")
+    level = docs.select(F.col(key), F.array().cast("array<string>").alias("path"), F.try_parse_json(F.col(text)).alias("v"))
+    level = materialise(level.where("v is not null"), "level")
     found = None
     for _ in range(max_depth):
         level = level.withColumn("kind", F.schema_of_variant("v"))
@@ -82,7 +83,8 @@ def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> Da
         empty = F.when(F.col("kind") == "OBJECT<>", "{}").when(F.col("kind") == "ARRAY<VOID>", F.coalesce("value", F.lit("[]"))).otherwise(F.col("value"))
         flat = flat.withColumn("value", empty)
         found = flat if found is None else found.unionAll(flat)
-        rest = materialise(level.where(nested).drop("kind"), "level")
+        rest = level.where(nested).drop("kind")
+        rest = rest if found is flat else materialise(rest, "level")  # the documents themselves are written already
         if rest.isEmpty():
             return found
         step = F.coalesce(F.col("key_"), F.concat(F.lit("["), F.col("pos"), F.lit("]")))
