@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from docloom.checkpoints import materialise
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows dealt by key to several tasks a core, ahead of work that costs far more than reading them does: a small file is
-    one task, whatever its rows grow into. Shuffles the rows as they are, so it goes before what makes them large."""
+    one task, whatever its rows grow into. Shuffles the rows as they are, so it goes before what makes them large; they are
+    written, as filters on what is made of them would else be worked out ahead of the shuffle, in that one task."""
     spark = df.sparkSession
-    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    return materialise(df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys), "dealt")

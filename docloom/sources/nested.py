@@ -74,7 +74,7 @@ def json_leaves(docs: DataFrame, key: str, text: str, max_depth: int = 64) -> Da
     0-based positions written as [i]; `key` must have another name than these. Keys of objects come in alphabetical
     order, list elements in place. Levels are written down, so none is worked out twice."""
     level = docs.select(F.col(key), F.array().cast("array<string>").alias("path"), F.try_parse_json(F.col(text)).alias("v"))
-    level = materialise(level.where("v is not null"), "level")
+    level = materialise(level, "level").where("v is not null")  # a filter ahead of the table would work the texts out twice
     found = None
     for _ in range(max_depth):
         level = level.withColumn("kind", F.schema_of_variant("v"))
