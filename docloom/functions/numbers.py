@@ -16,6 +16,12 @@ def round_to_step(v: Column, step: float) -> Column:
     return F.pmod(F.bround(v / step, 0) * step, F.lit(360.0))
 
 
+def padded(number: Column, width: int) -> Column:
+    """The number with zeros before it up to a width; longer ones whole (`lpad` would cut them)."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def joined_id(key: Column, number: Column, width: int = 2) -> Column:
     """The deck key followed by the last digits of the number: 123 and 7 make 12307."""
     digits = F.right(F.lpad(number.cast("string"), F.greatest(F.length(number.cast("string")), F.lit(width)), F.lit("0")), F.lit(width))
