@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.checkpoints import materialise
 from docloom.functions.nesting import nested_objects
 
-#: Letters of objects handed to Spark at once, about.
+#: Bytes of objects handed to Spark at once, about.
 ROWS_BYTES = 4 << 20
 CONTAINER = r"^(OBJECT|ARRAY)"
 
@@ -30,26 +30,34 @@ def nested_sets(docs: DataFrame, key: str, text: str, root: str = "ObjectStates"
     a document that doesn't parse has no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
+    names = ["key", "enter", "leave", "depth", "parent", "place", "object", "ord_path"]
     shape = "key " + kind + ", enter long, leave long, depth int, parent long, place int, object string, ord_path array<int>"
 
-    def flat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["key", "enter", "leave", "depth", "parent", "place", "object", "ord_path"]
-        for f in frames:
-            for k, t in zip(f["key"], f["text"], strict=True):
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, small = pa.int64(), pa.int32()
+        for batch in batches:
+            kinds = [batch.schema.field(0).type, whole, whole, small, whole, small, batch.schema.field(1).type, pa.list_(small)]
+
+            def shown(n: int, rows: list[tuple], batch: pa.RecordBatch = batch, kinds: list[pa.DataType] = kinds) -> pa.RecordBatch:
+                own = pa.array(rows, pa.struct([(str(i), t) for i, t in enumerate(kinds[1:])]))
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([n] * len(rows), small)), *own.flatten()], names)
+
+            for n, t in enumerate(batch.column(1)):
                 at: list[int] = []
                 rows, size = [], 0
-                for enter, leave, depth, parent, place, own in nested_objects(t, root, children):
-                    del at[depth:]
-                    at.append(place)
-                    rows.append((k, enter, leave, depth, parent, place, own, list(at) if paths else None))
-                    size += len(own) + 8 * depth * paths
+                for enter, leave, depth, parent, place, own in nested_objects(t.as_py(), root, children):
+                    if paths:
+                        del at[depth:]
+                        at.append(place)
+                    rows.append((enter, leave, depth, parent, place, own, list(at) if paths else None))
+                    size += 64 + len(own) + 8 * depth * paths
                     if size > ROWS_BYTES:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield shown(n, rows)
                         rows, size = [], 0
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield shown(n, rows)
 
-    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null").mapInPandas(flat, shape)
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null").mapInArrow(flat, shape)
     found = found if paths else found.drop("ord_path")
     return found.withColumnRenamed("key", key)
 

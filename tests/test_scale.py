@@ -1,7 +1,10 @@
 """What keeps the work of a query in step with its input: dealt rows, bounded passes."""
 
+import sys
+
 import pytest
 
+from docloom.functions.nesting import nested_objects
 from docloom.functions.spans import Scanner, rewritten
 from docloom.functions.trees import DropKeys, Emptied, RoundState
 from docloom.plans.queries import registered
@@ -52,3 +55,33 @@ def test_texts_are_rewritten_once_a_row(spark):
     """A filter on the result doesn't run the rule a second time."""
     plan = QUERIES["job_minimize_documents"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_an_object_is_read_in_a_few_calls():
+    text, calls = '{"k":[],"ContainedObjects":[' * 1000 + "{}" + "]}" * 1000, 0
+    assert len(list(nested_objects("{}", "ObjectStates", "ContainedObjects"))) == 1  # patterns are compiled once
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        found = list(nested_objects(text, "ObjectStates", "ContainedObjects"))
+    finally:
+        sys.setprofile(None)
+    assert found[-1] == (1000, 1000, 999, 999, 0, "{}") and calls < 4 * len(found)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('{"Contained\\u004fbjects":[1,{"a":{"b":[{}]}},[{}], {"x":[ ]}]}', [(1, 1, 0, 0, 0, '{"a":{"b":[{}]}}'), (2, 2, 0, 0, 1, '{"x":[ ]}')]),
+        (' [{"ContainedObjects" : [ ] ,"ContainedObjects":[{}]}, 2, {}]', [(1, 2, 0, 0, 0, '{"ContainedObjects" : [] ,"ContainedObjects":[]}'), (2, 2, 1, 1, 0, "{}"), (3, 3, 0, 0, 1, "{}")]),
+        ('{"ContainedObjects":[{}],"ObjectStates":[{"ObjectStates":[{}]}]}', [(1, 1, 0, 0, 0, '{"ObjectStates":[{}]}')]),
+        ('{"ContainedObjects":{}}', [(1, 1, 0, 0, 0, '{"ContainedObjects":{}}')]),
+        ('{"ContainedObjects":[{},]}', []), ('{"a":1,}', []), ('{"ContainedObjects":[{}}', []), ('{"a":{"b":[1,]}}', []), ('[{}]]', []), ("{} {}", []), ("1", []), ("", []),
+    ],
+)
+def test_objects_of_a_text(text, want):
+    assert list(nested_objects(text, "ObjectStates", "ContainedObjects")) == want
