@@ -59,3 +59,11 @@ def test_records_of_one_code_are_synced_apart(spark):
     out, report = jobs.sync_records(objects, records, ("deck_requirements", "back_link"))
     assert sorted((r.code, r.name, r.image_url, r.deck_requirements) for r in out.collect()) == [("n1", "a", "f1", "has n1"), ("n1", "a", "f1", "none"), ("n2", "b", "f2", "none")]
     assert {r.field: r.updates for r in report.collect()} == {"deck_requirements": 1, "back_link": 0, "ids": 3}
+
+
+def test_numbers_beyond_five_digits_equal_the_sql(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"""copy (select k as p_partkey, p.* exclude (p_partkey) from range(100100) r(k) join read_parquet('{SF}/part.parquet') p on p.p_partkey = k % 200) to '{tmp_path}/part.parquet' (format parquet)""")
+    con.execute(f"create view part as select * from read_parquet('{tmp_path}/part.parquet')")
+    want = sorted(con.execute(SQL["join7_by_number"]).fetchall())
+    assert len(want) == 99600 and sorted((r.obj_id, r.id) for r in QUERIES["join7_by_number"](spark, str(tmp_path)).collect()) == want
