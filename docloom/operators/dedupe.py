@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from docloom.checkpoints import materialise
 from docloom.functions import numbers, paths
@@ -58,39 +61,50 @@ def unique_names(files: DataFrame, existing: DataFrame | None = None) -> DataFra
     return ranked.join(free, [*key, "k"]).drop("k")
 
 
-def dedupe_deck_members(members: DataFrame, key: str = "container_id") -> DataFrame:
+def dedupe_deck_members(members: DataFrame, key: str = "container_id", carry: Sequence[str] = ()) -> DataFrame:
     """WIN-5, AGG-4: members (container_id, pos, deck_id, file) with `file` of the alphabetically first member of the
-    same deck id and `discarded`, whether the own file goes. Order and multiplicity stay."""
+    same deck id and `discarded`, whether the own file goes. Order and multiplicity stay; `carry` names columns to keep."""
     keeper = F.min("file").over(Window.partitionBy(key, "deck_id"))
-    return members.withColumn("keeper", keeper).select(key, "pos", "deck_id", F.col("keeper").alias("file"), (F.col("file") != F.col("keeper")).alias("discarded"), F.col("file").alias("old_file"))
+    return members.withColumn("keeper", keeper).select(key, "pos", "deck_id", F.col("keeper").alias("file"), (F.col("file") != F.col("keeper")).alias("discarded"), F.col("file").alias("old_file"), *carry)
 
 
-def canonical_deck_ids(members: DataFrame, key: str = "container_id") -> DataFrame:
+def canonical_deck_ids(members: DataFrame, key: str = "container_id", carry: Sequence[str] = (), tasks: int | None = None) -> DataFrame:
     """WIN-6, AGG-8: members (container_id, pos, deck_key, face_url, back_url, card_id) with their new deck key and card id.
 
     In list order: equal (face, back) shares the key of its first card; a fingerprint seen first keeps its own key
     unless another has it, then it takes the largest key so far plus one. Members without a deck entry are left out.
-    Rows are reduced to a container's distinct fingerprints; these are dealt by container, sorted by place and read as they
-    come. What is held is one container's keys, as spans of neighbouring ones, and its largest.
+    Rows are dealt by container once, to `tasks`; a fingerprint's rows follow one another, containers' fingerprints by their first
+    place, and are read as they come. What is held is one container's keys, as spans of neighbouring ones, and its
+    largest. `carry` names columns to keep; a column `print` is taken for the (face, back) of a card.
     """
-    rows = members.where(F.col("deck_key").isNotNull()).withColumn("own", F.col("deck_key").cast("int")).withColumn("print", fingerprint("face_url", "back_url"))
-    firsts = rows.groupBy(key, "print").agg(F.min(F.struct("pos", "own")).alias("f")).select(F.col(key).alias("c"), "print", "f.pos", F.col("f.own").cast("bigint").alias("own"))
-
-    def allocated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        container, taken = None, Spans()
-        for f in frames:
-            new = []
-            for c, own in zip(f["c"], f["own"], strict=True):
+    told = members if "print" in members.columns else members.withColumn("print", F.unhex(fingerprint("face_url", "back_url")))
+    rows = told.where(F.col("deck_key").isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("c"), "pos", F.col("deck_key").cast("int").cast("bigint").alias("own"), "print", F.pmod("card_id", F.lit(100)).alias("slot"), *carry
+    )
+    one = Window.partitionBy("c", "print").orderBy("pos", "own")
+    first = F.min("pos").over(one.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    dealt = rows.repartition(*((tasks,) if tasks else ()), "c").withColumn("first", first).withColumn("begins", F.row_number().over(one) == 1)
+    dealt = dealt.sortWithinPartitions("c", "first", "print", "pos", "own")
+
+    def allocated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        container, taken, last = None, Spans(), -1
+        for batch in batches:
+            begins = batch.column(0).to_numpy(zero_copy_only=False)
+            at = pa.array(np.flatnonzero(begins))
+            new = [last]
+            for c, own in zip(batch.column(1).take(at).to_pylist(), batch.column(2).take(at).to_pylist(), strict=True):
                 if container is None or c != container:
                     container, taken = c, Spans()
-                new.append(own if taken.first_free(own) == own else taken.top + 1)
-                taken.add(new[-1])
-            yield f[["c", "print"]].assign(new_key=new)
+                last = own if taken.first_free(own) == own else taken.top + 1
+                taken.add(last)
+                new.append(last)
+            keys = np.array(new, dtype=np.int64)[np.cumsum(begins)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:], batch.column(1), pa.array(keys)], [*batch.schema.names[3:], "c", "new_key"])
 
-    kind = firsts.schema["c"].dataType.simpleString()
-    table = firsts.repartition("c").sortWithinPartitions("c", "pos", "print").select("c", "print", "own").mapInPandas(allocated, f"c {kind}, print string, new_key long")
-    joined = rows.join(table.withColumnRenamed("c", key), [key, "print"])
-    return joined.select(key, "pos", F.col("new_key").cast("int").alias("new_key"), numbers.joined_id(F.col("new_key"), F.pmod("card_id", F.lit(100))).alias("new_card_id"))
+    table = dealt.select("begins", "c", "own", "pos", "slot", *carry)
+    kept = StructType([*table.schema.fields[3:], table.schema["c"], StructField("new_key", LongType())])
+    new = table.mapInArrow(allocated, kept)
+    return new.select(F.col("c").alias(key), "pos", F.col("new_key").cast("int").alias("new_key"), numbers.joined_id(F.col("new_key"), F.col("slot")).alias("new_card_id"), *carry)
 
 
 def fingerprint(*columns: str) -> Column:
@@ -228,9 +242,10 @@ def sort_by_number(deck: Column) -> Column:
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
 
 
-def sort_deck(members: DataFrame, by: str, key: str = "container_id", preserve: DataFrame | None = None) -> DataFrame:
+def sort_deck(members: DataFrame, by: str, key: str = "container_id", preserve: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """SRT-1: members with `new_pos`, from 1: by the column descending, equal ones in their old order; containers in
-    `preserve` keep their order."""
+    `preserve` keep their order. Rows are dealt by container to `tasks`, else to the session's shuffle partitions."""
+    members = members.repartition(tasks, key) if tasks else members
     sorted_ = F.row_number().over(Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last(), "pos")).cast("bigint")
     if preserve is None:
         return members.withColumn("new_pos", sorted_)

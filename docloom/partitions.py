@@ -7,6 +7,16 @@ from pyspark.sql import DataFrame
 from docloom.checkpoints import materialise
 
 
+#: Rows of a table to a task that sorts them.
+TASK_ROWS = 500_000
+
+
+def tasks_for(table: DataFrame, rows: int = TASK_ROWS) -> int:
+    """How many tasks to deal a saved table's rows to, so that what one sorts doesn't grow with the table: as its files count
+    their rows, and the session's shuffle partitions at least."""
+    return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-table.count() // rows))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows dealt by key to several tasks a core, ahead of work that costs far more than reading them does: a small file is
     one task, whatever its rows grow into. Shuffles the rows as they are, so it goes before what makes them large; they are

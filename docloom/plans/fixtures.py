@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.partitions import tasks_for
+
 _GUID = "lpad(cast(p_partkey as string), 6, '0')"
 _ID = "lpad(cast(p_partkey % 1500 as string), 5, '0')"
 _TYPE = "case p_partkey % 5 when 0 then 'Asset' when 1 then 'Location' when 2 then 'Act' when 3 then 'Investigator' else 'Agenda' end"
@@ -88,6 +90,11 @@ def _text(name: str) -> str:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame over the parquet tables."""
     text = _text(name)
+    if name == "members":  # numbered in tasks of a bounded size, if there are more rows than the session's shuffle partitions are for
+        tasks = tasks_for(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+        if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            columns = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
+            text = text.replace("from lineitem", f"from (select /*+ repartition({tasks}, l_orderkey) */ {columns} from lineitem)")
     for table in ("part", "lineitem", "events", "documents"):
         text = text.replace(f"from {table}", f"from parquet.`{sf_dir}/{table}.parquet`")
     return spark.sql(text)

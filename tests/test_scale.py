@@ -7,6 +7,10 @@ import pytest
 from docloom.functions.nesting import nested_objects
 from docloom.functions.spans import Scanner, rewritten
 from docloom.functions.trees import DropKeys, Emptied, RoundState
+from docloom.operators import dedupe
+from docloom.partitions import tasks_for
+from docloom.plans import fixtures
+from docloom.plans.fixtures import view
 from docloom.plans.queries import registered
 
 SF = "/root/testdata/sf0.001"
@@ -85,3 +89,23 @@ def test_an_object_is_read_in_a_few_calls():
 )
 def test_objects_of_a_text(text, want):
     assert list(nested_objects(text, "ObjectStates", "ContainedObjects")) == want
+
+
+def test_tasks_grow_with_the_rows(spark):
+    assert tasks_for(spark.range(10)) == 4 and tasks_for(spark.range(2_500_001)) == 6
+    dealt = dedupe.sort_deck(spark.createDataFrame([(1, 1, 7), (1, 2, 9)], "container_id int, pos int, card_id int"), "card_id", tasks=9)
+    assert "RepartitionByExpression [container_id" in dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.pos, r.new_pos) for r in dealt.orderBy("pos").collect()] == [(1, 2), (2, 1)]
+
+
+def test_members_of_a_large_table_are_numbered_in_dealt_tasks(spark, monkeypatch):
+    want = sorted(view(spark, SF, "members").collect())
+    monkeypatch.setattr(fixtures, "tasks_for", lambda t: 9)
+    dealt = view(spark, SF, "members")
+    assert sorted(dealt.collect()) == want and dealt._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+
+
+@pytest.mark.parametrize("name, members, cards", [("srt1_sort_deck", 2, 1)])
+def test_tables_are_read_and_joined_once(spark, name, members, cards):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("Relation [l_"), plan.count("Relation [p_")) == (members, cards)
