@@ -29,7 +29,7 @@ def delete_manifest(files: DataFrame, doomed: DataFrame) -> tuple[DataFrame, Dat
     """SNK-3: (survivors, manifest) of `files` by `path`: doomed paths go, and so do the sidecars of the same folder
     and stem that exist. Shuffles by path."""
     base = F.regexp_replace("path", r"\.[^./]*$", "")
-    gone = doomed.select("path").unionAll(doomed.select(F.explode(F.array(*(F.concat(base, F.lit(s)) for s in SIDECARS))).alias("path"))).distinct()
+    gone = doomed.select(F.explode(F.array("path", *(F.concat(base, F.lit(s)) for s in SIDECARS))).alias("path")).distinct()
     return files.join(gone, "path", "left_anti"), files.join(gone, "path", "left_semi").select("path")
 
 

@@ -105,7 +105,7 @@ def test_members_of_a_large_table_are_numbered_in_dealt_tasks(spark, monkeypatch
     assert sorted(dealt.collect()) == want and dealt._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
 
 
-@pytest.mark.parametrize("name, members, cards", [("srt1_sort_deck", 2, 1), ("job_clean_decks", 1, 1)])
+@pytest.mark.parametrize("name, members, cards", [("srt1_sort_deck", 2, 1), ("job_clean_decks", 1, 1), ("job_clean_decks_lists", 3, 0)])
 def test_tables_are_read_and_joined_once(spark, name, members, cards):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert (plan.count("Relation [l_"), plan.count("Relation [p_")) == (members, cards)
