@@ -4,6 +4,7 @@ import sys
 
 import pytest
 
+from docloom import checkpoints
 from docloom.checkpoints import materialise
 from docloom.functions.nesting import nested_objects
 from docloom.functions.spans import Scanner, rewritten
@@ -123,3 +124,13 @@ def test_texts_are_parsed_once_a_row(spark, monkeypatch):
     monkeypatch.setattr(jobs, "materialise", kept)
     QUERIES["job_strip_localized_files"](spark, SF)
     assert "from_json" in plans["documents"] and "Filter" not in plans["documents"]
+
+
+def test_written_texts_take_four_fifths_of_the_default_at_most(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checkpoints, "shared_dir", lambda s: f"file://{tmp_path}/app")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    docs.write.parquet(f"file://{tmp_path}/plain")
+    kept = materialise(docs, "texts")
+    size = lambda at: sum(p.stat().st_size for p in at.rglob("*.parquet") if p.is_file())
+    assert 0 < size(tmp_path / "app") < 0.8 * size(tmp_path / "plain")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
