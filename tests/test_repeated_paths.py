@@ -5,7 +5,7 @@ import pytest
 from tests.test_long_keys import QUERIES, SQL, long_keys  # noqa: F401
 from tests.test_queries import rows
 
-NAMES = ["doc25_replace_positional", "doc27_bump_ids", "doc17_embed_short_metadata", "join16_files_by_name", "join1_inline_first", "join1_sidecar_first", "join1_path_lookup"]
+NAMES = ["doc25_replace_positional", "doc27_bump_ids", "doc17_embed_short_metadata", "join16_files_by_name", "join1_inline_first", "join1_sidecar_first", "join1_path_lookup", "join1_named_sidecar"]
 
 
 @pytest.mark.parametrize("name", NAMES)
