@@ -24,7 +24,7 @@ def repeated_codes(tmp_path_factory):
     return at, con
 
 
-NAMES = ["job_sync_records", "job_sync_report", "job_sync_inside_words"]
+NAMES = ["job_sync_records", "job_sync_report", "job_sync_inside_words", "job_sync_inside_words_report"]
 
 
 @pytest.mark.parametrize("name", NAMES)
